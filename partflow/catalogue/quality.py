@@ -181,7 +181,7 @@ def measure_compare(t: Tables):
 @query(f"""
 with {_MEASURES_SQL},
 j as (select own.*, auth.k is not null av, auth.treasury treasury_at, auth.fees fees_at,
-    reserves pot, reserves - reserves // 5 expected, reserves - reserves // 5 + case when pr = '1-URGENT' then 1 else 0 end share
+    own.reserves pot, own.reserves - own.reserves // 5 expected, own.reserves - own.reserves // 5 + case when own.pr = '1-URGENT' then 1 else 0 end share
   from own left join auth on own.k = auth.k),
 r as (select k as epoch, av as authority_available,
   case when not av then 'authority unavailable' else nullif(concat_ws(', ',

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.frames import text_column
 from partflow.functions.keys import PartitionRange
 
 COMPLETED = "completed"
@@ -22,7 +23,7 @@ def requested_values(
     listed = sorted(set(partitions))
     frames = []
     if listed:
-        frames.append(spark.createDataFrame([(v,) for v in listed], "partition_value string"))
+        frames.append(text_column(spark, "partition_value", listed))
     if value_range is not None:
         frames.append(value_range.frame(spark))
     if not frames:

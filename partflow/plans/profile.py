@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.frames import empty_frame
 from partflow.functions.documents import resolve_profiles
 from partflow.operators import profile
 from partflow.scratch import materialise
@@ -44,7 +45,7 @@ def build_profile(
     """
     root = f"{out}/{PROFILE_NAME}"
     existing = (
-        spark.createDataFrame([], PROFILE_SCHEMA) if rebuild else read_snapshot(spark, root, PROFILE_SCHEMA)
+        empty_frame(spark, PROFILE_SCHEMA) if rebuild else read_snapshot(spark, root, PROFILE_SCHEMA)
     )
     before = existing.count()
     registrations = read_with_source(

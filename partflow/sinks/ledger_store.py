@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.frames import empty_frame, one_row
 from partflow.operators import ledger as algebra
 from partflow.operators.keyed import newest_per_key
 from partflow.sources.storage import exists, matching
@@ -49,7 +50,7 @@ class Ledger:
         schema = LEDGER_SCHEMAS[table]
         path = self._location(table)
         if not exists(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
 
     def _conform(self, table: str, rows: DataFrame) -> DataFrame:
@@ -132,5 +133,4 @@ class Ledger:
 
     def _record(self, run: Run, **values) -> None:
         row = {"run_id": run.run_id, "exporter": run.exporter, "run_started_at": run.started_at, **values}
-        schema = LEDGER_SCHEMAS["runs"]
-        self.append("runs", self.spark.createDataFrame([tuple(row.get(n) for n in schema.names)], schema).coalesce(1))
+        self.append("runs", one_row(self.spark, LEDGER_SCHEMAS["runs"], row))

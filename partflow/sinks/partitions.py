@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from partflow.frames import empty_frame
 from partflow.operators.stats import partition_stats
 from partflow.sources.storage import exists, matching, replace_directory
 from partflow.spec import DatasetSpec
@@ -64,7 +65,7 @@ def published_stats(
     schema = type(like.schema)(fields)
     paths = [path for path in paths if exists(spark, path)]
     if not paths:
-        empty = spark.createDataFrame([], schema)
+        empty = empty_frame(spark, schema)
         return partition_stats(empty, F.lit("").cast("string"), slot)
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
     directory = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)

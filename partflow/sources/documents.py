@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.frames import empty_frame
 from partflow.sources.storage import exists, qualified
-from partflow.spec import RESPONSE_SCHEMA
+from partflow.spec import RESPONSE_SCHEMA, flat_schema
 
 
 def read_documents(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
     """Whole text files below ``root`` as ``path`` (relative to it) and ``content``."""
     if not exists(spark, root):
-        return spark.createDataFrame([], "path string, content string")
+        return empty_frame(spark, flat_schema("path string, content string"))
     prefix = qualified(spark, root).rstrip("/") + "/"
     location = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .text(root)
-        .select(location.substr(len(prefix) + 1, 4096).alias("path"), F.col("value").alias("content"))
+        .text(root, wholetext=True)
+        .select(location.alias("_at"), F.col("value").alias("content"))
+        .select(F.expr(f"substring(_at, {len(prefix) + 1})").alias("path"), "content")
     )
 
 
 def read_responses(spark: SparkSession, root: str) -> DataFrame:
     """Landed responses (parquet); empty when none have landed."""
     if not exists(spark, root):
-        return spark.createDataFrame([], RESPONSE_SCHEMA)
+        return empty_frame(spark, RESPONSE_SCHEMA)
     return spark.read.schema(RESPONSE_SCHEMA).option("recursiveFileLookup", True).parquet(root)

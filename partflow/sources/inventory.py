@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.frames import empty_frame
 from partflow.functions.keys import DAY_SHAPE, EPOCH_SHAPE, file_name
 from partflow.sources.storage import exists, qualified
-from partflow.spec import DAILY, DatasetSpec
+from partflow.spec import DAILY, DatasetSpec, flat_schema
 
-INVENTORY_SCHEMA = (
+INVENTORY_SCHEMA = flat_schema(
     "exporter string, partition_value string, partition_type string, file_path string,"
     " file_size bigint, file_count bigint, is_canonical boolean"
 )
-OBJECT_SCHEMA = "key string, size bigint, last_modified timestamp"
+OBJECT_SCHEMA = flat_schema("key string, size bigint, last_modified timestamp")
 
 
 def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
@@ -35,7 +36,7 @@ def inventory(spark: SparkSession, base: str, spec: DatasetSpec) -> DataFrame:
     """
     root = f"{base}/{spec.name}"
     if not exists(spark, root):
-        return spark.createDataFrame([], INVENTORY_SCHEMA)
+        return empty_frame(spark, INVENTORY_SCHEMA)
     shape = DAY_SHAPE if spec.partition_type == DAILY else EPOCH_SHAPE
     directory = f"/{spec.partition_column}=({shape})/[^/]+$"
     parent = F.regexp_replace("path", "/[^/]+$", "")
@@ -72,10 +73,10 @@ def inventory(spark: SparkSession, base: str, spec: DatasetSpec) -> DataFrame:
 def list_objects(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Every object below ``root``: key relative to it, size, time of change."""
     if not exists(spark, root):
-        return spark.createDataFrame([], OBJECT_SCHEMA)
+        return empty_frame(spark, OBJECT_SCHEMA)
     prefix = qualified(spark, root).rstrip("/") + "/"
     return _listing(spark, root, pattern).select(
-        F.expr("substring(path, {})".format(len(prefix) + 1)).alias("key"),
+        F.expr(f"substring(path, {len(prefix) + 1})").alias("key"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partflow.frames import empty_frame
 from partflow.functions.keys import DAY_SHAPE, EPOCH_SHAPE
 from partflow.sources.inventory import inventory
 from partflow.sources.storage import exists, matching
@@ -42,7 +43,7 @@ def read_partitions(
         if schema is None:
             raise FileNotFoundError(directories)
         empty = T.StructType([*schema.fields, T.StructField("partition_value", T.StringType())])
-        return spark.createDataFrame([], empty)
+        return empty_frame(spark, empty)
     found = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet")
     fields = schema if schema is not None else found.parquet(directories).schema
     with_key = T.StructType([f for f in fields.fields if f.name != key]).add(key, T.StringType())
@@ -86,7 +87,7 @@ def read_exports(spark: SparkSession, base: str, dataset: str, schema: T.StructT
     with_date = T.StructType([*schema.fields, T.StructField("date", T.StringType())])
     root = f"{base}/{dataset}"
     if not exists(spark, root):
-        return spark.createDataFrame([], with_date)
+        return empty_frame(spark, with_date)
     return spark.read.schema(with_date).parquet(root)
 
 
@@ -103,5 +104,5 @@ def read_snapshot(
     wanted = T.StructType([f for f in schema.fields if columns is None or f.name in columns])
     path = latest_snapshot(spark, root)
     if path is None:
-        return spark.createDataFrame([], wanted)
+        return empty_frame(spark, wanted)
     return spark.read.schema(wanted).option("recursiveFileLookup", True).parquet(path)

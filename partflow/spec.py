@@ -70,6 +70,7 @@ _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
+    "boolean": T.BooleanType(),
     "timestamp": T.TimestampType(),
 }
 

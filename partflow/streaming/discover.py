@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partflow.frames import empty_frame
 from partflow.operators.stats import partition_stats
 from partflow.sources.storage import exists, is_directory
+from partflow.spec import flat_schema
 
-_STATS_SCHEMA = "partition_value string, row_count bigint, min_slot bigint, max_slot bigint"
+_STATS_SCHEMA = flat_schema("partition_value string, row_count bigint, min_slot bigint, max_slot bigint")
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
@@ -58,7 +60,7 @@ def collect_stats(stream: DataFrame, partition: Column, slot: Column, state: str
 def stats_so_far(spark: SparkSession, state: str) -> DataFrame:
     """Sum of the partial statistics below ``state``."""
     if not exists(spark, state):
-        return spark.createDataFrame([], _STATS_SCHEMA)
+        return empty_frame(spark, _STATS_SCHEMA)
     parts = spark.read.schema(_STATS_SCHEMA).option("recursiveFileLookup", True).parquet(state)
     return parts.groupBy("partition_value").agg(
         F.sum("row_count").alias("row_count"), F.min("min_slot").alias("min_slot"), F.max("max_slot").alias("max_slot")
