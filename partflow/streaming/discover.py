@@ -20,6 +20,9 @@ from partflow.spec import flat_schema
 
 _STATS_SCHEMA = flat_schema("partition_value string, row_count bigint, min_slot bigint, max_slot bigint")
 
+# Fixed value: the schema every file listing has.
+_LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """Parquet files below ``path``, or the single file at it, as a stream."""
@@ -32,6 +35,14 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
+def listing_stream(spark: SparkSession, root: str, max_files: int | None = None) -> DataFrame:
+    """``path`` of parquet files below ``root`` as a stream; the files are listed, not read."""
+    reader = spark.readStream.format("binaryFile").schema(_LISTING).option("recursiveFileLookup", True)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.option("pathGlobFilter", "*.parquet").load(root).select("path")
+
+
 def each_new_batch(stream: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> None:
     """Call ``handle(rows, batch_id)`` for everything not seen before, then stop."""
     query = (

@@ -6,12 +6,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from partflow.plans.publish import PublishJob, Truth, publish_dataset
 from partflow.scratch import materialise
 from partflow.spec import DatasetSpec
-from partflow.streaming.discover import each_new_batch, file_stream
+from partflow.streaming.discover import each_new_batch, listing_stream
 
 
 def publish_new_partitions(
@@ -26,16 +25,13 @@ def publish_new_partitions(
     """Run the publish job on the partitions of every batch of new files.
 
     A repeated batch is harmless: the ledger skips what has been published, and
-    publishing replaces whole partitions. ``job.schema`` is required.
+    publishing replaces whole partitions.
     """
-    key = spec.partition_column
-    fields = [f for f in job.schema.fields if f.name != key]
-    schema = T.StructType(fields).add(key, T.StringType())
-    stream = file_stream(spark, f"{job.base}/{spec.name}", schema, max_files=max_files)
-
-    def handle(rows: DataFrame, batch_id: int) -> None:
-        values = rows.select(F.lit(spec.name).alias("exporter"), F.col(key).alias("partition_value")).distinct()
-        wanted = materialise(values, f"batch-{batch_id}")
+    value = F.regexp_extract("path", f"/{spec.partition_column}=([^/]+)/[^/]+$", 1)
+
+    def handle(files: DataFrame, batch_id: int) -> None:
+        named = files.select(F.lit(spec.name).alias("exporter"), value.alias("partition_value"))
+        wanted = materialise(named.distinct(), f"batch-{batch_id}")
         materialise(publish_dataset(spark, job, spec, truth, now, wanted), f"results-{batch_id}")
 
-    each_new_batch(stream, checkpoint, handle)
+    each_new_batch(listing_stream(spark, f"{job.base}/{spec.name}", max_files), checkpoint, handle)
