@@ -200,11 +200,15 @@ def manifest_listing(t: Tables):
 
 
 @query("""
-with files as (select event_type x, case when value > 200 then event_type || '/old/' else event_type || '/' end
-  || strftime(ts, '%Y-%m-%d') || '/' || event_id || '.parquet' f from events where value > 200 or event_type <> 'click')
-select files.x as exporter, f as file, n as file_count from files
-join (select x, count(*) n from files group by 1) c on c.x = files.x
+select event_type as exporter, case when value > 200 then event_type || '/old/' else event_type || '/' end
+  || strftime(ts, '%Y-%m-%d') || '/' || event_id || '.parquet' as file from events where value > 200 or event_type <> 'click'
 """)
 def file_index(t: Tables):
-    index = catalog.file_index(_objects(t))
-    return index.join(catalog.file_counts(index), "exporter")
+    return catalog.file_index(_objects(t))
+
+
+@query("""
+select event_type as exporter, count(*) as file_count from events where value > 200 or event_type <> 'click' group by 1
+""")
+def file_counts(t: Tables):
+    return catalog.file_counts(catalog.file_index(_objects(t)))

@@ -1 +1 @@
-"""DataFrame operators. All are lazy except ``rangecount``, which says why."""
+"""DataFrame operators. They are lazy, but for ``lookup`` and ``rangecount``, which write a small table."""

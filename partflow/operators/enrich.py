@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow.operators.keyed import newest_per_key
+from partflow.operators.lookup import join_lookup
 from partflow.spec import EPOCH
 
 
@@ -17,11 +18,10 @@ def enrich(fact: DataFrame, profile: DataFrame, key: str, columns: Sequence[str]
 
     The profile is reduced to one row per key first, so the number of fact rows
     never changes. There is no broadcast hint because profiles grow with the
-    data: the optimizer broadcasts one whose measured size is small, and splits
-    the hot keys of the fact side in a shuffled join otherwise.
+    data; see ``join_lookup`` for how the join adapts to the measured size.
     """
     lookup = newest_per_key(profile.select(key, *columns), [key], [])
-    return fact.join(lookup, key, "left").select(*[fact[name] for name in fact.columns], *columns)
+    return join_lookup(fact, lookup, [key]).select(*fact.columns, *columns)
 
 
 def match_counts(enriched: DataFrame, partition: Column, name: str) -> DataFrame:

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from partflow.operators.lookup import join_lookup
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], extreme, extra: Sequence[Column]) -> DataFrame:
     rest = [name for name in df.columns if name not in keys]
@@ -50,4 +52,4 @@ def insert_or_ignore(existing: DataFrame, incoming: DataFrame, keys: Sequence[st
 
 def remove_keys(df: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``done``."""
-    return df.join(done.select(*keys), list(keys), "left_anti")
+    return join_lookup(df, done.select(*keys).distinct(), keys, "left_anti")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from partflow.functions.keys import parse_key
 from partflow.operators.keyed import newest_per_key
+from partflow.operators.lookup import join_lookup
 from partflow.operators.selection import COMPLETED, PARTITION_KEY
 
 _KEY = list(PARTITION_KEY)
@@ -25,7 +26,7 @@ def current_errors(errors: DataFrame, cleared: DataFrame) -> DataFrame:
     """Errors that no later clearing of their partition took away."""
     last = cleared.groupBy(*_KEY).agg(F.max("event_seq").alias("_cleared_at"))
     survives = F.col("_cleared_at").isNull() | (F.col("event_seq") > F.col("_cleared_at"))
-    return errors.join(last, _KEY, "left").where(survives).drop("_cleared_at").select(*errors.columns)
+    return join_lookup(errors, last, _KEY).where(survives).drop("_cleared_at").select(*errors.columns)
 
 
 def failed_partitions(upload_errors: DataFrame, validation_errors: DataFrame, uploads: DataFrame) -> DataFrame:
@@ -37,16 +38,14 @@ def failed_partitions(upload_errors: DataFrame, validation_errors: DataFrame, up
 
 def recovered_partitions(errors: DataFrame, uploads: DataFrame) -> DataFrame:
     """Failures whose partition was uploaded after all, with both times."""
-    return (
-        errors.withColumnRenamed("created_at", "failed_at")
-        .join(uploads.select(*_KEY, F.col("uploaded_at").alias("success_at")), _KEY)
-        .select(*_KEY, "failed_at", "success_at")
-    )
+    success = uploads.select(*_KEY, F.col("uploaded_at").alias("success_at"))
+    failures = errors.withColumnRenamed("created_at", "failed_at")
+    return join_lookup(failures, success, _KEY, "inner").select(*_KEY, "failed_at", "success_at")
 
 
 def partitions_never_uploaded(errors: DataFrame, uploads: DataFrame) -> DataFrame:
     """Errored partitions that no upload record names, whatever its status."""
-    return errors.select(*_KEY).distinct().join(uploads.select(*_KEY), _KEY, "left_anti")
+    return errors.select(*_KEY).distinct().join(uploads.select(*_KEY).distinct(), _KEY, "left_anti")
 
 
 def rebuild_uploads(objects: DataFrame, uploaded_at: Column, event_seq: Column) -> DataFrame:

@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from partflow.functions.text import gibibytes
 
+# all errors of a run share its time; without more to sort by they would all
+# fall into one range, hence one task
+_TIES = ("exporter", "partition_value")
+
 
 def uploads_per_exporter(uploads: DataFrame) -> DataFrame:
     """Number and size of the uploads of every exporter."""
@@ -35,14 +39,14 @@ def uploads_of(uploads: DataFrame, exporter: str) -> DataFrame:
     return (
         uploads.where(F.col("exporter") == exporter)
         .select("partition_value", "uploaded_at", "file_size")
-        .orderBy("partition_value")
+        .orderBy("partition_value", "uploaded_at")
     )
 
 
 def failure_listing(errors: DataFrame) -> DataFrame:
     """Upload failures, newest first."""
     return errors.select("exporter", "partition_value", "error_details", "attempts", "created_at").orderBy(
-        F.desc("created_at")
+        F.desc("created_at"), *_TIES
     )
 
 
@@ -51,5 +55,5 @@ def validation_differences(errors: DataFrame) -> DataFrame:
     return (
         errors.withColumn("diff", F.col("pq_count") - F.col("pg_count"))
         .select("exporter", "partition_value", "pq_count", "pg_count", "diff", "error_details", "created_at")
-        .orderBy(F.desc("created_at"))
+        .orderBy(F.desc("created_at"), *_TIES)
     )

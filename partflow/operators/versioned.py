@@ -36,7 +36,7 @@ def candidates(registered: DataFrame, exported: DataFrame, since: DataFrame, key
     everything = registered.select(key).distinct()
     if rebuild:
         return everything
-    unexported = everything.join(exported.select(key), key, "left_anti")
+    unexported = everything.join(exported.select(key).distinct(), key, "left_anti")
     return unexported.union(since.select(key)).distinct()
 
 

@@ -68,7 +68,7 @@ def run_enrichment(
             ledger.complete_run(run, now, 0, 0)
         return summary
 
-    rows = read_partitions(spark, base, source, values, schema)
+    rows = read_partitions(spark, base, source, values, schema, listed=listed)
     enriched = job.transform(rows)
     publish_partitions(enriched, target, derived, layout)
     if run is None:

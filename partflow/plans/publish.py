@@ -61,7 +61,9 @@ def _values(frame: DataFrame) -> list[str]:
 def validate_partitions(job: PublishJob, spec: DatasetSpec, pending: DataFrame, truth: Truth) -> DataFrame:
     """Verdict and statistics of the pending partitions; ``error_details`` is null for valid ones."""
     spark = pending.sparkSession
-    rows = read_partitions(spark, job.base, spec, _values(pending), job.schema, tolerant=job.schema is not None)
+    rows = read_partitions(
+        spark, job.base, spec, _values(pending), job.schema, tolerant=job.schema is not None, listed=pending
+    )
     daily = spec.partition_type == DAILY
     slot = F.col(spec.slot_column)
     stats = materialise(partition_stats(rows, F.col("partition_value"), slot if daily else None), "stats")
@@ -153,7 +155,7 @@ def _write_and_record(
 ) -> set[str]:
     """Write the valid partitions, read them back, and record which arrived."""
     slot = F.col(spec.slot_column) if spec.partition_type == DAILY else None
-    rows = read_partitions(spark, job.base, spec, valid, job.schema)
+    rows = read_partitions(spark, job.base, spec, valid, job.schema, listed=listed)
     publish_partitions(rows, job.target, spec, job.layout)
     expected = partition_stats(rows, F.col("partition_value"), slot)
     found = published_stats(rows, job.target, spec, valid, slot, job.layout)

@@ -27,6 +27,7 @@ def read_partitions(
     values: Iterable[str] | None = None,
     schema: T.StructType | None = None,
     tolerant: bool = False,
+    listed: DataFrame | None = None,
 ) -> DataFrame:
     """All partitions of a dataset with ``partition_value`` (text) from the path.
 
@@ -34,7 +35,8 @@ def read_partitions(
     file column named like the directory key gives way to the path's value.
     Where a partition holds its canonical file, other files beside it are left
     out. With a ``schema`` a missing dataset is an empty frame, and a ``tolerant``
-    read leaves unreadable files out instead of failing.
+    read leaves unreadable files out instead of failing. ``listed`` is the
+    inventory where the caller has it already.
     """
     root = f"{base}/{spec.name}"
     key = spec.partition_column
@@ -56,18 +58,15 @@ def read_partitions(
     )
     if values is not None:
         rows = rows.where(F.col(key).isin(sorted(set(values))))
-    # partitions that mix their canonical file with others: usually none at all
-    mixed = (
-        inventory(spark, base, spec)
-        .where(F.col("is_canonical") & (F.col("file_count") > 1))
-        .select(F.col("partition_value").alias(key), F.substring_index("file_path", "/", -1).alias("_canonical"))
-    )
-    return (
-        rows.join(mixed, key, "left")
-        .where(F.col("_canonical").isNull() | (F.col("_file") == F.col("_canonical")))
-        .drop("_file", "_canonical")
-        .withColumnRenamed(key, "partition_value")
-    )
+    # usually no partition mixes its canonical file with others; a filter on the
+    # few that do keeps the rows out of a join on their partition, which may be hot
+    listing = inventory(spark, base, spec) if listed is None else listed
+    mixed = listing.where(F.col("is_canonical") & (F.col("file_count") > 1)).select("partition_value", "file_path")
+    canonical = {row.partition_value: row.file_path.rsplit("/", 1)[1] for row in mixed.toLocalIterator()}
+    if canonical:
+        is_mixed = F.col(key).isin(sorted(canonical))
+        rows = rows.where(~is_mixed | F.col("_file").isin(sorted(canonical.values())))
+    return rows.drop("_file").withColumnRenamed(key, "partition_value")
 
 
 def read_with_source(

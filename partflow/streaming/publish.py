@@ -25,7 +25,8 @@ def publish_new_partitions(
     """Run the publish job on the partitions of every batch of new files.
 
     A repeated batch is harmless: the ledger skips what has been published, and
-    publishing replaces whole partitions.
+    publishing replaces whole partitions. A file rewritten under its old name is
+    not new; partitions that failed are the business of ``retry_failed``.
     """
     value = F.regexp_extract("path", f"/{spec.partition_column}=([^/]+)/[^/]+$", 1)
 

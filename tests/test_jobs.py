@@ -342,6 +342,11 @@ def test_stream_publishes_new_partitions(spark, job, truth, tmp_path):
     mark = str(tmp_path / "mark")
     publish_new_partitions(spark, job, BLOCK, truth, NOW, mark)
     assert rows(job.ledger.uploads(), "partition_value") == [("2024-01-01",), ("2024-01-02",), ("2024-01-03",)]
-    write_day(job.base, 5, range(40, 50))
+    # a file under a known name is not new: repairing it is a matter for a retry
+    broken = write_day(job.base, 5, range(40, 50))
+    publish_new_partitions(spark, job, BLOCK, truth, NOW, mark)
+    assert job.ledger.uploads().count() == 3
+    broken.unlink()
+    write_partition(job.base, "block", "date=2024-01-05", {"slot": list(range(40, 50)), "note": ["x"] * 10}, "part-0.parquet")
     publish_new_partitions(spark, job, BLOCK, truth, NOW, mark)
     assert job.ledger.uploads().where("partition_value = '2024-01-05'").count() == 1
