@@ -50,6 +50,11 @@ def day() -> Column:
     return day_text(F.col("ts"))
 
 
+def midnight(text: str) -> Column:
+    """Start of a day; compared with ``ts`` it reaches the scan."""
+    return F.lit(f"{text} 00:00:00").cast("timestamp_ntz")
+
+
 def event_partitions(t: Tables) -> DataFrame:
     """Events as ledger events: exporter = type, partition = day, sequence = event id."""
     return t.events.select(

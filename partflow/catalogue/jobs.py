@@ -10,7 +10,6 @@ from partflow.catalogue.entries import Tables, day, query
 from partflow.catalogue.keyed import _PROFILE_SQL, _batch, _existing_profile, _responses
 from partflow.catalogue.partitions import STATS_DAILY_SQL
 from partflow.catalogue.quality import _EXPORT_SQL, _export
-from partflow.functions.documents import resolve_profiles
 from partflow.operators import profile
 from partflow.operators.enrich import Enrichment, enrich
 from partflow.operators.ledger import run_summary
@@ -132,9 +131,8 @@ def profile_snapshot_roundtrip(t: Tables):
     root = new_dir(t.spark, "profile")
     write_snapshot(_existing_profile(t), root, "000001", "drep_id")
     existing = read_snapshot(t.spark, root, PROFILE_SCHEMA)
-    newest = _batch(t)
-    outcomes = resolve_profiles(profile.join_responses(newest.select("drep_id"), _responses(t), "drep_id"))
-    write_snapshot(profile.merge_profiles(existing, newest, outcomes, "now"), root, "000002", "drep_id")
+    batch = profile.answered_batch(_batch(t), _responses(t))
+    write_snapshot(profile.merge_profiles(existing, batch, "now"), root, "000002", "drep_id")
     return read_snapshot(t.spark, root, PROFILE_SCHEMA, ["drep_id", "fetch_status"])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from partflow.catalogue.entries import Tables, day, query
+from partflow.catalogue.entries import Tables, day, midnight, query
 from partflow.functions.documents import resolve_profiles
 from partflow.operators import keyed, profile, registry, versioned
 from partflow.operators.enrich import enrich, match_counts
@@ -35,7 +35,7 @@ def insert_or_ignore_first_seen(t: Tables):
     rows = t.events.select(
         F.col("user_id").alias("script_hash"), F.col("event_type").alias("source"), F.col("event_id").alias("first_seen"), "ts"
     )
-    start = F.to_timestamp_ntz(F.lit("2024-01-03 00:00:00"))
+    start = midnight("2024-01-03")
     existing = keyed.first_per_key(rows.where(F.col("ts") < start).drop("ts"), ["script_hash"], ["first_seen"])
     return keyed.insert_or_ignore(existing, rows.where(F.col("ts") >= start).drop("ts"), ["script_hash"], ["first_seen"])
 
@@ -59,11 +59,11 @@ def any_url_per_key(t: Tables):
     return profile.newest_registrations(_registrations(t)).select("drep_id", "has_url", "block")
 
 
-def _registrations(t: Tables):
+def _registrations(t: Tables, events=None):
     """Events as registrations of their user; only large signups bring a URL, others a blank."""
     user = F.col("user_id").cast("string")
     large = (F.col("event_type") == "signup") & (F.col("value") > 80)
-    return t.events.select(
+    return (t.events if events is None else events).select(
         user.alias("drep_id"),
         F.concat(F.lit("hash_"), user).alias("drep_hash"),
         F.when(large, F.concat(F.lit("https://r/"), user)).otherwise(" \t").alias("anchor_url"),
@@ -77,7 +77,7 @@ def _registrations(t: Tables):
 
 def _existing_profile(t: Tables):
     """Profile up to the day before last of the users who ever had a large event."""
-    rows = t.events.where(day() < "2024-01-30").select(
+    rows = t.events.where(F.col("ts") < midnight("2024-01-30")).select(
         F.col("user_id").cast("string").alias("drep_id"), F.col("event_id").alias("source_block"), F.col("value").alias("v")
     )
     newest = keyed.newest_per_key(rows, ["drep_id"], ["source_block"], F.max("v").alias("highest"))
@@ -129,7 +129,7 @@ resp as (select user_id k, max(event_id) i, arg_max(value, event_id) v from even
 
 
 def _batch(t: Tables):
-    return profile.newest_registrations(_registrations(t).where(F.col("source_date") >= "2024-01-29"))
+    return profile.newest_registrations(_registrations(t, t.events.where(F.col("ts") >= midnight("2024-01-29"))))
 
 
 @query(f"""
@@ -161,9 +161,8 @@ select cast(k as varchar) as drep_id, case when keep then est else a end as fetc
 from m
 """)
 def profile_merge(t: Tables):
-    newest = _batch(t)
-    outcomes = resolve_profiles(profile.join_responses(newest.select("drep_id"), _responses(t), "drep_id"))
-    merged = profile.merge_profiles(_existing_profile(t), newest, outcomes, "now")
+    batch = profile.answered_batch(_batch(t), _responses(t))
+    merged = profile.merge_profiles(_existing_profile(t), batch, "now")
     return merged.select(
         "drep_id", "fetch_status", "source_block", "source_date", "drep_name", "anchor_url", "http_status",
         "last_checked_at", "updated_at",
@@ -187,7 +186,7 @@ def keys_since_watermark(t: Tables):
 def _exports(t: Tables):
     """Purchases of the first days as earlier exports."""
     version = F.ceil(F.col("value") / 100).cast("int")
-    early = t.events.where((F.col("event_type") == "purchase") & (day() < "2024-01-05"))
+    early = t.events.where((F.col("event_type") == "purchase") & (F.col("ts") < midnight("2024-01-05")))
     return early.select(F.col("user_id").cast("string").alias("pool_hash"), version.alias("version"), day().alias("date"))
 
 

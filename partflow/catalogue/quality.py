@@ -9,6 +9,7 @@ from partflow.operators import ledger, measures, reconcile, selection
 from partflow.operators.assets import clean_assets
 from partflow.operators.keyed import remove_keys
 from partflow.operators.stats import partition_stats, truth_day_bounds, truth_epoch_counts
+from partflow.scratch import materialise
 
 # The export as it went wrong: two days without their error events, one day's
 # first hour filed a day early, one day's first signups too, and the first day
@@ -53,7 +54,7 @@ from pq left join blk on pq.p = blk.p join cnt on cnt.p = pq.p
 def reconcile_daily(t: Tables):
     stats = partition_stats(_export(t), F.col("partition_value"), F.col("event_id"))
     bounds = truth_day_bounds(t.events, day(), F.col("event_id"))
-    return reconcile.reconcile_daily(stats, t.events, F.col("event_id"), bounds)
+    return reconcile.reconcile_daily(materialise(stats, "stats"), t.events, F.col("event_id"), bounds)
 
 
 # One flag's rows of two years are lost; one quantity's rows of a year are filed

@@ -80,40 +80,28 @@ def measure_report(
     nothing else is checked and the key does not pass.
     """
     available = F.col("_authority").isNotNull()
-    differing = [
-        F.when(
-            ~F.col(name).cast("bigint").eqNullSafe(F.col(f"_authority.{name}")),
-            F.concat(
-                F.lit(f"{name}: parquet="),
-                F.coalesce(F.col(name).cast("string"), F.lit("null")),
-                F.lit(" authority="),
-                F.coalesce(F.col(f"_authority.{name}").cast("string"), F.lit("null")),
-            ),
-        )
+    expected = _expected_share("rewards_pot")
+    differs = {name: ~F.col(name).cast("bigint").eqNullSafe(F.col(f"_authority.{name}")) for name in measures}
+    bad_split = F.coalesce(F.col("rewards_pot") > 0, F.lit(False)) & ~F.col("pool_rewards_pot").eqNullSafe(expected)
+    # decided on the values, so that a filter on it need not build the texts
+    all_pass = available & ~bad_split
+    for difference in differs.values():
+        all_pass = all_pass & ~difference
+
+    def shown(value: Column) -> Column:
+        return F.coalesce(value.cast("string"), F.lit("null"))
+
+    def pair(first: str, one: Column, second: str, other: Column) -> Column:
+        return F.concat(F.lit(first), shown(one), F.lit(second), shown(other))
+
+    texts = [
+        F.when(differs[name], pair(f"{name}: parquet=", F.col(name), " authority=", F.col(f"_authority.{name}")))
         for name in measures
     ]
-    expected = _expected_share("rewards_pot")
-    split = F.when(
-        (F.col("rewards_pot") > 0) & ~F.col("pool_rewards_pot").eqNullSafe(expected),
-        F.concat(
-            F.lit("pool_ratio: got="),
-            F.coalesce(F.col("pool_rewards_pot").cast("string"), F.lit("null")),
-            F.lit(" expected="),
-            expected.cast("string"),
-        ),
-    )
-    text = F.when(~available, F.lit("authority unavailable")).otherwise(
-        joined_messages(*differing, split, separator=", ")
-    )
-    return (
-        _beside(export, authority, key, measures)
-        .withColumn("error_details", text)
-        .select(
-            key,
-            available.alias("authority_available"),
-            F.col("error_details").isNull().alias("all_pass"),
-            "error_details",
-        )
+    texts.append(F.when(bad_split, pair("pool_ratio: got=", F.col("pool_rewards_pot"), " expected=", expected)))
+    details = F.when(~available, "authority unavailable").otherwise(joined_messages(*texts, separator=", "))
+    return _beside(export, authority, key, measures).select(
+        key, available.alias("authority_available"), all_pass.alias("all_pass"), details.alias("error_details")
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partflow.functions.documents import NO_RESPONSE
+from partflow.functions.documents import NO_RESPONSE, resolve_profiles
 from partflow.functions.text import has_text
 from partflow.operators.keyed import newest_per_key
 from partflow.spec import PROFILE_SCHEMA
@@ -49,29 +49,31 @@ def classify(newest: DataFrame, existing: DataFrame) -> DataFrame:
     )
 
 
-def merge_profiles(
-    existing: DataFrame, newest: DataFrame, outcomes: DataFrame, now: str
-) -> DataFrame:
-    """The profile after one batch.
+def answered_batch(newest: DataFrame, responses: DataFrame) -> DataFrame:
+    """Newest registrations with what the landed responses say about their keys.
 
-    ``newest`` comes from ``newest_registrations``; ``outcomes`` holds at most
-    one resolved response per ``drep_id`` (``anchor_url``, ``drep_name``,
-    ``http_status``, ``success``). A key without one counts as failed. A kept
-    success only has its check time moved, so its block does not advance and the
-    key is tried again next time. Keys outside the batch pass through.
+    The response replaces the registered URL. Only the documents of keys in the
+    batch are parsed.
     """
-    old = F.struct(*PROFILE_SCHEMA.names)
-    batch = newest.join(
-        outcomes.select("drep_id", F.struct("anchor_url", "drep_name", "http_status", "success").alias("out")),
-        "drep_id",
-        "left",
-    ).select("drep_id", F.struct(*[c for c in newest.columns if c != "drep_id"], "out").alias("new"))
-    both = existing.select("drep_id", old.alias("old")).join(batch, "drep_id", "full_outer")
+    return resolve_profiles(join_responses(newest.drop("anchor_url"), responses, "drep_id"))
+
+
+def merge_profiles(existing: DataFrame, batch: DataFrame, now: str) -> DataFrame:
+    """The profile after one batch, as ``answered_batch`` gives it.
+
+    A key without a response counts as failed. A kept success only has its check
+    time moved, so its block does not advance and the key is tried again next
+    time. Keys outside the batch pass through.
+    """
+    old, new = F.struct(*PROFILE_SCHEMA.names), F.struct(*[c for c in batch.columns if c != "drep_id"])
+    both = existing.select("drep_id", old.alias("old")).join(
+        batch.select("drep_id", new.alias("new")), "drep_id", "full_outer"
+    )
 
     action = _action(F.col("old.source_block"), F.col("new.block"), F.col("new.has_url"))
     pass_through = F.col("new").isNull() | (action == UNCHANGED)
     no_url = action == NO_URL
-    resolved = ~no_url & F.coalesce(F.col("new.out.success"), F.lit(False))
+    resolved = ~no_url & F.coalesce(F.col("new.success"), F.lit(False))
     keep_success = F.coalesce(F.col("old.fetch_status") == SUCCESS, F.lit(False))
 
     def written(status: str, url, name, http_status):
@@ -97,16 +99,16 @@ def merge_profiles(
         F.when(pass_through, F.col("old"))
         .when(
             resolved,
-            written(SUCCESS, F.col("new.out.anchor_url"), F.col("new.out.drep_name"), F.col("new.out.http_status")),
+            written(SUCCESS, F.col("new.anchor_url"), F.col("new.drep_name"), F.col("new.http_status")),
         )
         .when(keep_success, F.col("old").withField("last_checked_at", F.lit(now)))
         .when(no_url, written(NO_URL, nothing, nothing, nothing))
         .otherwise(
             written(
                 FAILED,
-                F.coalesce("new.out.anchor_url", F.lit("")),
+                F.coalesce("new.anchor_url", F.lit("")),
                 nothing,
-                F.col("new.out.http_status"),
+                F.col("new.http_status"),
             )
         )
     )

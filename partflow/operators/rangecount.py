@@ -5,10 +5,13 @@ stretches a range over everything. Counting needs no join on the ranges at all:
 
     count in [lo, hi] = C(hi) - C(lo - 1),   C(x) = points not above x
 
-The domain of the ranges is cut into at most ``BINS`` equal bins. One pass over
-the points counts them per bin, and per single value only in the bins that hold
-an end of some range. Every point is looked at once and combined before the
-shuffle, so neither a hot value nor overlapping ranges make a hot task.
+Values are read as numbers of a few large digits. A point is counted under its
+shortest leading part that no range end shares, so far from all ends one counter
+serves a whole stretch of values, and only next to an end single values are told
+apart. Adding the counters up towards shorter parts, C(x) is the sum, digit by
+digit, of what lies left of x among its siblings. Siblings are at most ``2 **
+DIGIT_BITS``, however the points lie: a hot value, overlapping ranges or one
+absurd end make no large group.
 """
 
 from __future__ import annotations
@@ -18,77 +21,94 @@ from pyspark.sql import functions as F
 
 from partflow.scratch import materialise
 
-#: Upper bound of the bins, hence of every frame that is keyed by bin.
-MAX_BINS = 1 << 16
-#: Bins per range end; about this share of the points is counted by single value.
-_BINS_PER_END = 64
+#: Size of a digit, hence the most counters that are ever summed up together.
+DIGIT_BITS = 12
+#: Up to so many range ends (numbers of eight bytes) their leading parts are broadcast.
+_BROADCAST_ENDS = 100_000
 
 
 def count_in_ranges(points: DataFrame, value: Column, ranges: DataFrame, low: str, high: str) -> DataFrame:
     """``ranges`` with ``in_range``: the points whose integer ``value`` lies in [low, high].
 
-    A range with a null end counts nothing. Two intermediate tables go to the
-    shared folder because each is used several times and must be computed once:
-    the ranges (one row per partition, often an aggregate over a huge scan) and
-    the counts. The outer ends of the ranges come back as literals and reach the
-    scan of the points as pushed filters.
+    A range with a null end counts nothing. ``ranges`` (distinct rows, one per
+    partition) is read several times, so pass a written table rather than an
+    aggregate over a huge scan; the counters are written out for the same reason.
+    The outer ends of the ranges come back as literals and reach the scan of the
+    points as pushed filters.
     """
-    ranges = materialise(ranges, "ranges")
     ends = ranges.select(F.explode(F.array(F.col(low) - 1, F.col(high))).alias("at")).dropna()
     first, last, n_ends = ends.agg(F.min("at"), F.max("at"), F.count("at")).first()
     if first is None:
         return ranges.withColumn("in_range", F.lit(0).cast("bigint"))
-    bins = min(MAX_BINS, _BINS_PER_END * n_ends)
-    width = -(-(last - first + 1) // bins)
+    levels = max(1, -(-(last - first).bit_length() // DIGIT_BITS))
+
+    def part(at: Column, level: int) -> Column:
+        """The first ``level`` digits of a value."""
+        return F.shiftright(at - first, DIGIT_BITS * (levels - level))
+
     at = F.col("at")
-    at_bin = F.expr(f"(at - {first}) div {width}")
+    counters = points.where(value.between(first + 1, last)).select(value.cast("bigint").alias("at"))
+    for level in range(1, levels):
+        shared = ends.select(part(at, level).alias(f"shared{level}")).distinct()
+        if n_ends <= _BROADCAST_ENDS:
+            shared = F.broadcast(shared)
+        counters = counters.join(shared, part(at, level) == F.col(f"shared{level}"), "left")
+    level_of, part_of = F.lit(levels), part(at, levels)
+    for level in range(levels - 1, 0, -1):
+        alone = F.col(f"shared{level}").isNull()
+        level_of = F.when(alone, level).otherwise(level_of)
+        part_of = F.when(alone, part(at, level)).otherwise(part_of)
+    counters = materialise(
+        counters.groupBy(level_of.alias("level"), part_of.alias("part")).agg(F.count(F.lit(1)).alias("n")),
+        "range-counters",
+    )
 
-    marks = ends.distinct().withColumn("bin", at_bin)
-    # at most MAX_BINS rows of one number, so safe to broadcast whatever the data
-    split_bins = marks.select("bin").distinct().withColumn("split", F.lit(True))
-    counted = materialise(
-        points.where(value.between(first + 1, last))
-        .select(value.cast("bigint").alias("at"))
-        .withColumn("bin", at_bin)
-        .join(F.broadcast(split_bins), "bin", "left")
-        .groupBy("bin", F.when(F.col("split"), at).alias("at"))
-        .agg(F.count(F.lit(1)).alias("n")),
-        "range-counts",
+    # a counter also counts for every shorter part of its value
+    shorter = F.explode(
+        F.expr(f"transform(sequence(1, level), l -> struct(l as level, shiftright(part, {DIGIT_BITS} * (level - l)) as part))")
     )
-    # C within the bins that hold an end
-    up_to_here = Window.partitionBy("bin").orderBy("at").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
+    nodes = (
+        counters.select(shorter.alias("node"), "n")
+        .groupBy("node.level", "node.part")
+        .agg(F.sum("n").alias("n"))
+        .select("level", F.shiftright("part", DIGIT_BITS).alias("parent"), F.col("part").alias("place"), "n")
     )
-    values = counted.where(at.isNotNull()).withColumn("is_mark", F.lit(False))
-    inside = (
-        values.union(marks.select("bin", "at", F.lit(0).cast("bigint"), F.lit(True)))
-        .withColumn("inside", F.sum("n").over(up_to_here))
+    # what an end needs on each level: all before its own part, and on the last
+    # level, where the part is the value itself, that too
+    places = [
+        F.struct(
+            F.lit(level).alias("level"),
+            F.shiftright(part(at, level), DIGIT_BITS).alias("parent"),
+            (part(at, level) - (0 if level == levels else 1)).alias("place"),
+        )
+        for level in range(1, levels + 1)
+    ]
+    marks = ends.select(F.explode(F.array(*places)).alias("mark")).select("mark.*").distinct()
+    siblings = Window.partitionBy("level", "parent").orderBy("place")
+    up_to_here = siblings.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    left = (
+        nodes.withColumn("is_mark", F.lit(False))
+        .unionByName(marks.withColumns({"n": F.lit(0).cast("bigint"), "is_mark": F.lit(True)}))
+        .withColumn("c", F.sum("n").over(up_to_here))
         .where("is_mark")
+        .select(F.struct("level", "parent", "place").alias("mark"), "c")
     )
-    # points in the bins before: a running sum over at most MAX_BINS rows
-    bins_before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    before = (
-        counted.select("bin", "n")
-        .union(marks.select("bin", F.lit(0).cast("bigint")))
-        .groupBy("bin")
-        .agg(F.sum("n").alias("n"))
-        .select("bin", F.coalesce(F.sum("n").over(bins_before), F.lit(0)).alias("before"))
-    )
-    upto = inside.join(before, "bin").select("at", (F.col("before") + F.col("inside")).alias("c"))
 
-    # both ends of a range meet C in one join: C(hi) counts plus, C(lo - 1) minus
     signed = F.explode(
         F.array(
             F.struct((F.col(low) - 1).alias("at"), F.lit(-1).alias("sign")),
             F.struct(F.col(high).alias("at"), F.lit(1).alias("sign")),
         )
     )
-    difference = F.sum(F.col("_end.sign") * F.col("c"))
+    names = ranges.columns
+    wanted = ranges.withColumn("_end", signed).withColumn("at", F.col("_end.at"))
+    wanted = wanted.withColumn("mark", F.explode(F.array(*places)))
+    both_ends = F.col(low).isNotNull() & F.col(high).isNotNull()
+    total = F.greatest(F.coalesce(F.sum(F.col("_end.sign") * F.col("c")), F.lit(0)), F.lit(0))
     return (
-        ranges.withColumn("_end", signed)
-        .join(upto.select(at.alias("_at"), "c"), F.col("_end.at") == F.col("_at"), "left")
-        .groupBy(*ranges.columns)
-        .agg(F.count("c").alias("_ends"), difference.alias("_n"))
-        .withColumn("in_range", F.when(F.col("_ends") == 2, F.greatest("_n", F.lit(0))).otherwise(0))
-        .drop("_ends", "_n")
+        wanted.join(left, "mark", "left")
+        .groupBy(*names)
+        .agg(total.alias("_n"))
+        .withColumn("in_range", F.when(both_ends, F.col("_n")).otherwise(0))
+        .select(*names, "in_range")
     )

@@ -21,8 +21,8 @@ def reconcile_daily(
 ) -> DataFrame:
     """Verdict on every daily partition in ``stats``.
 
-    ``stats`` comes from ``partition_stats`` and ``day_bounds`` from
-    ``truth_day_bounds``. A partition is invalid when the truth knows nothing of
+    ``stats`` comes from ``partition_stats``, written out because it is read
+    several times, and ``day_bounds`` from ``truth_day_bounds``. A partition is invalid when the truth knows nothing of
     its day, when the truth holds another number of rows in the partition's own
     slot range, or when that range leaves the day's. The last two can both apply.
     """

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.frames import empty_frame
-from partflow.functions.documents import resolve_profiles
 from partflow.operators import profile
 from partflow.scratch import materialise
 from partflow.sinks.snapshots import write_snapshot
@@ -59,7 +58,6 @@ def build_profile(
     summary["actions"] = {row.action: row["count"] for row in actions.toLocalIterator()}
     if dry_run:
         return summary
-    outcomes = resolve_profiles(profile.join_responses(newest.select("drep_id"), responses, "drep_id"))
-    merged = profile.merge_profiles(existing, newest, outcomes, now)
+    merged = profile.merge_profiles(existing, profile.answered_batch(newest, responses), now)
     summary["profiles_after"] = write_snapshot(merged, root, label, "drep_id")
     return summary

@@ -104,7 +104,7 @@ def publish_dataset(
     requested = keep_requested(listed, wanted)
     pending = materialise(keep_pending(requested, ledger.uploads()), "pending")
 
-    if truth is not None:
+    if truth is not None and not pending.isEmpty():
         verdicts = validate_partitions(job, spec, pending, truth)
     else:
         unchecked = [F.lit(None).cast(f.dataType).alias(f.name) for f in _VERDICT.fields]
@@ -118,7 +118,7 @@ def publish_dataset(
         invalid = verdicts.where(F.col("error_details").isNotNull())
         ledger.append("validation_errors", invalid.select(F.lit(spec.name).alias("exporter"), "*", *stamp))
         if valid:
-            published = _write_and_record(spark, job, spec, listed, verdicts, valid, now, run.run_id)
+            published = _write_and_record(spark, job, spec, listed, verdicts, valid, now, run.run_id, truth is not None)
         ledger.complete_run(run, now, len(valid), len(published))
 
     checked = truth is not None
@@ -152,12 +152,20 @@ def _write_and_record(
     valid: list[str],
     now: dt.datetime,
     run_id: int,
+    checked_before: bool,
 ) -> set[str]:
     """Write the valid partitions, read them back, and record which arrived."""
     slot = F.col(spec.slot_column) if spec.partition_type == DAILY else None
     rows = read_partitions(spark, job.base, spec, valid, job.schema, listed=listed)
     publish_partitions(rows, job.target, spec, job.layout)
-    expected = partition_stats(rows, F.col("partition_value"), slot)
+    if checked_before:
+        # the statistics of the verdicts are those of the source
+        measures = {"row_count": "pq_count", "min_slot": "pq_min_slot", "max_slot": "pq_max_slot"}
+        expected = verdicts.where(F.col("partition_value").isin(valid)).select(
+            "partition_value", *[F.col(old).alias(new) for new, old in measures.items()]
+        )
+    else:
+        expected = partition_stats(rows, F.col("partition_value"), slot)
     found = published_stats(rows, job.target, spec, valid, slot, job.layout)
     checked = materialise(verify_published(expected, found), "verified")
     arrived = checked.where("is_published").select("partition_value")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from partflow.frames import empty_frame
 from partflow.operators.stats import partition_stats
-from partflow.sources.storage import exists, matching, replace_directory
+from partflow.sources.storage import Storage
 from partflow.spec import DatasetSpec
 
 BARE = "bare"
@@ -36,12 +36,12 @@ def publish_partitions(rows: DataFrame, target: str, spec: DatasetSpec, layout:
     spark = rows.sparkSession
     staging = f"{target}/_staging-{uuid.uuid4().hex}"
     rows.hint("rebalance", _VALUE).write.partitionBy(_VALUE).parquet(staging)
-    values = []
-    for path in matching(spark, f"{staging}/{_VALUE}=*"):
-        value = path.rsplit("=", 1)[1]
-        replace_directory(spark, path, partition_directory(target, spec, value, layout))
-        values.append(value)
-    return values
+    storage = Storage(spark)
+    staged = {path.rsplit("=", 1)[1]: path for path in storage.matching(f"{staging}/{_VALUE}=*")}
+    storage.replace_directories(
+        (path, partition_directory(target, spec, value, layout)) for value, path in staged.items()
+    )
+    return list(staged)
 
 
 def publish_day_snapshot(rows: DataFrame, target: str, dataset: str, day: str, suffix: int) -> str:
@@ -60,10 +60,12 @@ def published_stats(
 ) -> DataFrame:
     """Statistics of published partitions, read back from the target."""
     spark = like.sparkSession
-    paths = [partition_directory(target, spec, v, layout) for v in values]
+    wanted = [partition_directory(target, spec, v, layout) for v in values]
+    storage = Storage(spark)
+    present = set(storage.matching(f"{target}/{spec.name}/*"))
+    paths = [path for path in map(storage.qualified, wanted) if path in present]
     fields = [f for f in like.schema.fields if f.name != _VALUE]
     schema = type(like.schema)(fields)
-    paths = [path for path in paths if exists(spark, path)]
     if not paths:
         empty = empty_frame(spark, schema)
         return partition_stats(empty, F.lit("").cast("string"), slot)

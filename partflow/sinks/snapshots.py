@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from partflow.sources.storage import replace_directory
+from partflow.sources.storage import Storage
 
 
 def write_snapshot(rows: DataFrame, root: str, label: str, order: str) -> int:
@@ -21,5 +21,5 @@ def write_snapshot(rows: DataFrame, root: str, label: str, order: str) -> int:
     rows.orderBy(order).write.parquet(staging)
     written = spark.read.schema(rows.schema).parquet(staging).count()
     if written:
-        replace_directory(spark, staging, f"{root}/snapshot={label}")
+        Storage(spark).replace_directories([(staging, f"{root}/snapshot={label}")])
     return written

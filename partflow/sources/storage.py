@@ -2,41 +2,61 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import SparkSession
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+class Storage:
+    """File systems as the session is configured to reach them."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._settings = spark._jsparkSession.sessionState().newHadoopConf()
+
+    def _at(self, text: str):
+        path = self._path(text)
+        return path.getFileSystem(self._settings), path
+
+    def qualified(self, text: str) -> str:
+        """The path with scheme and authority, spelled as listings spell it."""
+        files, path = self._at(text)
+        return files.makeQualified(path).toString()
+
+    def exists(self, text: str) -> bool:
+        files, path = self._at(text)
+        return files.exists(path)
+
+    def is_directory(self, text: str) -> bool:
+        files, path = self._at(text)
+        return files.exists(path) and files.getFileStatus(path).isDirectory()
 
+    def matching(self, pattern: str) -> list[str]:
+        """Paths that match a glob pattern, sorted."""
+        files, path = self._at(pattern)
+        return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
 
-def _file_system(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    def replace_directories(self, moves: Iterable[tuple[str, str]]) -> None:
+        """Move each source to its target, which it replaces; names change, no data is read."""
+        for source, target in moves:
+            files, path = self._at(target)
+            if not files.delete(path, True):
+                files.mkdirs(path.getParent())
+            if not files.rename(self._path(source), path):
+                raise OSError(f"cannot move {source} to {target}")
 
 
 def qualified(spark: SparkSession, path: str) -> str:
-    """``path`` with scheme and authority, spelled as listings spell it."""
-    return _file_system(spark, path).makeQualified(_path(spark, path)).toString()
+    return Storage(spark).qualified(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    return _file_system(spark, path).exists(_path(spark, path))
+    return Storage(spark).exists(path)
 
 
 def is_directory(spark: SparkSession, path: str) -> bool:
-    found = _file_system(spark, path)
-    return found.exists(_path(spark, path)) and found.getFileStatus(_path(spark, path)).isDirectory()
+    return Storage(spark).is_directory(path)
 
 
 def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match a glob pattern, sorted."""
-    found = _file_system(spark, pattern).globStatus(_path(spark, pattern))
-    return sorted(status.getPath().toString() for status in found or [])
-
-
-def replace_directory(spark: SparkSession, source: str, target: str) -> None:
-    """Move ``source`` to ``target``, which it replaces; only names change, no data is read."""
-    files = _file_system(spark, target)
-    files.mkdirs(_path(spark, target).getParent())
-    files.delete(_path(spark, target), True)
-    if not files.rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"cannot move {source} to {target}")
+    return Storage(spark).matching(pattern)

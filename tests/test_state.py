@@ -84,7 +84,8 @@ def test_merge_ladder(spark):
         outcomes, "drep_id string, anchor_url string, drep_name string, http_status int, success boolean"
     )
     held = spark.createDataFrame(existing, PROFILE_SCHEMA)
-    merged = profile.merge_profiles(held, newest, answers, "now")
+    batch = newest.drop("anchor_url").join(answers, "drep_id", "left")
+    merged = profile.merge_profiles(held, batch, "now")
     assert merged.schema.names == PROFILE_SCHEMA.names
     assert [f.dataType for f in merged.schema.fields] == [f.dataType for f in PROFILE_SCHEMA.fields]
     got = {
