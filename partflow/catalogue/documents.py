@@ -78,7 +78,8 @@ _PER_FILE = 50
 def _suppliers(t: Tables):
     bucket = F.expr(f"s_suppkey div {_PER_FILE}")
     nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return t.supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).withColumn("bucket", bucket)
+    suppliers = t.supplier.select("s_suppkey", "s_name", "s_nationkey").distinct()
+    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).withColumn("bucket", bucket)
 
 
 def _contract(kind: str):
@@ -99,7 +100,7 @@ def _as_file(project: str, items: str, *group: str):
 _FLAT_SQL = """
 select cast(s_suppkey as varchar) as script_hash, n_name as project_name, s_name as contract_name, 'DeFi' as category, '' as sub_category,
   'spend' as purpose, 'Plutus' as language, '{source}' as source
-from supplier join nation on s_nationkey = n_nationkey
+from (select distinct s_suppkey, s_name, s_nationkey from supplier) join nation on s_nationkey = n_nationkey
 """
 
 
@@ -119,7 +120,7 @@ def registry_parse_scripts(t: Tables):
 
 @query("""
 select cast(s_suppkey as varchar) as script_hash, r_name as project_name, n_name as contract_name, 'crfa_v1' as source
-from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+from (select distinct s_suppkey, s_name, s_nationkey from supplier) join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey
 """)
 def registry_parse_versions(t: Tables):
     version = F.struct(F.col("s_suppkey").cast("string").alias("scriptHash"))

@@ -21,7 +21,7 @@ from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
 from partflow.sinks.snapshots import write_snapshot
 from partflow.sources.inventory import inventory
-from partflow.sources.partitions import read_partitions, read_snapshot
+from partflow.sources.partitions import footer_stats, read_partitions, read_snapshot
 from partflow.spec import DAILY, EPOCH, PROFILE_SCHEMA, DatasetSpec
 from partflow.streaming.discover import collect_stats, file_stream
 
@@ -57,6 +57,13 @@ def publish_roundtrip(t: Tables):
     return published_stats(rows, target, _EVENTS, values, F.col("event_id"))
 
 
+@query(STATS_DAILY_SQL)
+def partition_stats_from_footers(t: Tables):
+    base = _land_events(t)
+    values = [row.partition_value for row in inventory(t.spark, base, _EVENTS).toLocalIterator()]
+    return footer_stats(t.spark, base, _EVENTS, values, "event_id")
+
+
 @query("select distinct 'events' as exporter, strftime(ts, '%Y-%m-%d') as partition_value, 'daily' as partition_type from events")
 def inventory_scan(t: Tables):
     listed = inventory(t.spark, _land_events(t), _EVENTS)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +20,12 @@ from partflow.scratch import materialise
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.partitions import BARE, publish_partitions, published_stats, verify_published
 from partflow.sources.inventory import inventory
-from partflow.sources.partitions import read_partitions
+from partflow.sources.partitions import footer_stats, read_partitions
 from partflow.sources.probe import probe_suspects
 from partflow.spec import DAILY, DatasetSpec, flat_schema
 
+logger = logging.getLogger(__name__)
+
 _VERDICT = flat_schema(
     "pq_count bigint, pg_count bigint, pq_min_slot bigint, pq_max_slot bigint,"
     " pg_min_slot bigint, pg_max_slot bigint, error_details string"
@@ -58,16 +62,29 @@ def _values(frame: DataFrame) -> list[str]:
     return [row.partition_value for row in frame.select("partition_value").toLocalIterator()]
 
 
+def _statistics(job: PublishJob, spec: DatasetSpec, pending: DataFrame) -> DataFrame:
+    """Statistics of the pending partitions, from footers where they suffice, else from a scan."""
+    spark = pending.sparkSession
+    values = _values(pending)
+    slot = spec.slot_column if spec.partition_type == DAILY else None
+    if pending.where(F.col("is_canonical") & (F.col("file_count") > 1)).isEmpty():
+        try:
+            return footer_stats(spark, job.base, spec, values, slot)
+        except Py4JJavaError:
+            # an empty, an unreadable, or a file without statistics for the slot
+            logger.info("%s: footers do not suffice, scanning", spec.name)
+    tolerant = job.schema is not None
+    rows = read_partitions(spark, job.base, spec, values, job.schema, tolerant, listed=pending)
+    found = partition_stats(rows, F.col("partition_value"), F.col(slot) if slot else None)
+    return materialise(found, "stats")
+
+
 def validate_partitions(job: PublishJob, spec: DatasetSpec, pending: DataFrame, truth: Truth) -> DataFrame:
     """Verdict and statistics of the pending partitions; ``error_details`` is null for valid ones."""
     spark = pending.sparkSession
-    rows = read_partitions(
-        spark, job.base, spec, _values(pending), job.schema, tolerant=job.schema is not None, listed=pending
-    )
-    daily = spec.partition_type == DAILY
     slot = F.col(spec.slot_column)
-    stats = materialise(partition_stats(rows, F.col("partition_value"), slot if daily else None), "stats")
-    if daily:
+    stats = _statistics(job, spec, pending)
+    if spec.partition_type == DAILY:
         day_bounds = truth_day_bounds(truth.blocks, truth.block_day, F.col(truth.block_slot))
         verdicts = reconcile_daily(stats, truth.rows, slot, day_bounds)
     else:

@@ -13,12 +13,22 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
 }
 
 
+def side_session(spark: SparkSession, **settings: str) -> SparkSession:
+    """A session beside ``spark``, on the same executors, that reads with other settings.
+
+    What it computes has to be written out: frames of two sessions do not mix.
+    """
+    beside = spark.newSession()
+    for key, value in settings.items():
+        beside.conf.set(key, value)
+    return beside
+
+
 def build_session(app_name: str = "partflow", master: str | None = None, **extra: str) -> SparkSession:
     """Session with :data:`SETTINGS`; ``extra`` adds or overrides settings by name."""
     builder = SparkSession.builder.appName(app_name)

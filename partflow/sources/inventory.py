@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from partflow.frames import empty_frame
 from partflow.functions.keys import DAY_SHAPE, EPOCH_SHAPE, file_name
+from partflow.scratch import new_dir
+from partflow.session import side_session
 from partflow.sources.storage import exists, qualified
 from partflow.spec import DAILY, DatasetSpec, flat_schema
 
@@ -18,13 +20,22 @@ OBJECT_SCHEMA = flat_schema("key string, size bigint, last_modified timestamp")
 
 
 def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile")
+    """Path, length and time of change of the files below ``root``.
+
+    A scan plans its tasks by the size of the files even if it opens none, so the
+    listing is made under a split size that gives each core one task, and kept.
+    """
+    path = new_dir(spark, "listing")
+    files = (
+        side_session(spark, **{"spark.sql.files.maxPartitionBytes": "1t"})
+        .read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(root)
         .select("path", "length", "modificationTime")
     )
+    files.write.parquet(path)
+    return spark.read.schema(files.schema).parquet(path)
 
 
 def inventory(spark: SparkSession, base: str, spec: DatasetSpec) -> DataFrame:

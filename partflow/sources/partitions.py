@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from partflow.frames import empty_frame
 from partflow.functions.keys import DAY_SHAPE, EPOCH_SHAPE
+from partflow.scratch import new_dir
+from partflow.session import side_session
 from partflow.sources.inventory import inventory
 from partflow.sources.storage import exists, matching
 from partflow.spec import DAILY, DatasetSpec
@@ -69,6 +71,37 @@ def read_partitions(
     return rows.drop("_file").withColumnRenamed(key, "partition_value")
 
 
+def footer_stats(
+    spark: SparkSession, base: str, spec: DatasetSpec, values: Iterable[str], slot: str | None = None
+) -> DataFrame:
+    """Statistics per partition from the footers of its files; no page is read.
+
+    Equal to ``partition_stats`` over the partitions' rows where every file
+    counts, which a file without statistics for the slot makes impossible: that
+    raises, and the caller has to scan. The result is written out.
+    """
+    root, key = f"{base}/{spec.name}", spec.partition_column
+    settings = {
+        "spark.sql.sources.useV1SourceList": "",
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    }
+    rows = (
+        side_session(spark, **settings)
+        .read.option("basePath", root)
+        .option("pathGlobFilter", "*.parquet")
+        .parquet(f"{root}/{key}=*")
+    )
+    measures = [F.count(F.lit(1)).alias("row_count")]
+    if slot is not None:
+        measures += [F.min(slot).alias("min_slot"), F.max(slot).alias("max_slot")]
+    stats = rows.where(F.col(key).isin(sorted(set(values)))).groupBy(key).agg(*measures)
+    stats = stats.withColumnRenamed(key, "partition_value")
+    path = new_dir(spark, "footer-stats")
+    stats.write.parquet(path)
+    return spark.read.schema(stats.schema).parquet(path)
+
+
 def read_with_source(
     spark: SparkSession,
     base: str,

@@ -9,6 +9,7 @@ from partflow.sinks.snapshots import write_snapshot
 from partflow.sources.documents import read_documents, read_responses
 from partflow.sources.inventory import inventory, list_objects
 from partflow.sources.partitions import (
+    footer_stats,
     latest_snapshot,
     read_partition,
     read_partitions,
@@ -77,6 +78,18 @@ def test_read_partitions_prefers_the_canonical_file_and_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in plan
 
 
+def test_footer_statistics(spark, tmp_path):
+    write_partition(tmp_path, "block", "date=2024-01-15", {"slot": [4, 2]})
+    write_partition(tmp_path, "block", "date=2024-01-15", {"slot": [9]}, "more.parquet")
+    write_partition(tmp_path, "block", "date=2024-01-16", {"slot": [7]})
+    write_partition(tmp_path, "reward", "epoch=007", {"slot": [7, 7]})
+    base, days = str(tmp_path), ["2024-01-15", "2024-02-01"]
+    scanned = partition_stats(spark.read.parquet(f"{base}/block/date=2024-01-15"), F.lit("2024-01-15"), F.col("slot"))
+    assert rows(footer_stats(spark, base, BLOCK, days, "slot")) == rows(scanned) == [("2024-01-15", 3, 2, 9)]
+    assert rows(footer_stats(spark, base, REWARD, ["007"])) == [("007", 2)]
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+
+
 def test_read_with_source(spark, tmp_path):
     base = str(tmp_path)
     spec = DatasetSpec("drep_registration", "", "slot", DAILY)
