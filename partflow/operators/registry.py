@@ -82,10 +82,9 @@ def best_source(records: DataFrame, key: str = "script_hash") -> DataFrame:
 
 def not_outranked(records: DataFrame, known: DataFrame, key: str = "script_hash") -> DataFrame:
     """Records whose hash is not already held by a better source."""
-    held = known.select(key, F.col("source").alias("_held_by"))
-    outranked = source_rank(F.col("_held_by")) < source_rank(F.col("source"))
-    kept = records.join(held, key, "left").where(F.col("_held_by").isNull() | ~outranked)
-    return kept.drop("_held_by")
+    held = known.groupBy(key).agg(F.min(source_rank(F.col("source"))).alias("_held"))
+    outranked = F.coalesce(F.col("_held") < source_rank(F.col("source")), F.lit(False))
+    return records.join(held, key, "left").where(~outranked).drop("_held")
 
 
 def changed_files(changes: DataFrame, prefix: str, path: str = "filename", status: str = "status") -> DataFrame:
