@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from partflow.catalogue.entries import Tables, day, event_partitions, query
 from partflow.functions import keys
+from partflow.functions.text import whole_number
 from partflow.operators import catalog, selection
 from partflow.operators.ledger import current_uploads
 from partflow.operators.stats import partition_stats, truth_day_bounds
@@ -31,7 +32,7 @@ def partition_stats_epoch(t: Tables):
 def _range_coverage(rows, value):
     """Rows per exporter on every value from its first to its last, gaps as zero."""
     counts = partition_stats(rows, value, by=["exporter"])
-    number = F.col("partition_value").try_cast("bigint")
+    number = whole_number(F.col("partition_value"))
     first, last = F.min(F.struct(number, "partition_value")), F.max(F.struct(number, "partition_value"))
     text = F.concat(first["partition_value"], F.lit(":"), last["partition_value"])
     ranges = counts.groupBy("exporter").agg(text.alias("text"))

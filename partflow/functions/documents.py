@@ -47,29 +47,35 @@ def _text_at(path: str) -> Column:
 
 
 def _given_name() -> Column:
-    """Name in the document body, else the top-level one; only texts count.
+    """Name in the document body, else the top-level one.
 
-    A body value that is present but no text, or blank, hides the top-level one.
+    Any body value that counts as present hides the top-level one, even if it is
+    no text or blank.
     """
     inner = F.try_variant_get("_doc", "$.json_metadata.body.givenName", "variant")
     outer = F.try_variant_get("_doc", "$.json_metadata.givenName", "variant")
     inner_absent = F.coalesce(F.to_json(inner).rlike(_EMPTY_JSON), F.lit(True))
-    chosen = F.when(inner_absent, outer).otherwise(inner)
-    text = F.try_variant_get(chosen, "$", "string")
-    return F.when((F.schema_of_variant(chosen) == "STRING") & has_text(text), strip(text))
+    return F.when(inner_absent, outer).otherwise(inner)
 
 
 def resolve_profiles(responses: DataFrame) -> DataFrame:
-    """Add ``anchor_url``, ``drep_name``, ``success`` and ``error`` to profile responses."""
+    """Add ``anchor_url``, ``drep_name``, ``success`` and ``error`` to profile responses.
+
+    Only a name that is a text, and not blank, is one. Each step is a column of
+    its own, so that nothing is taken out of the document twice.
+    """
     answered = F.col("_error").isNull()
     has_url = F.try_variant_get("_doc", "$.url", "variant").isNotNull()
+    is_name = (F.schema_of_variant("_name") == "STRING") & has_text(F.col("_text"))
     return (
         _document(responses)
-        .withColumn("drep_name", F.when(answered, _given_name()))
+        .withColumn("_name", F.when(answered, _given_name()))
+        .withColumn("_text", F.try_variant_get("_name", "$", "string"))
+        .withColumn("drep_name", F.when(is_name, strip(F.col("_text"))))
         .withColumn("anchor_url", F.when(answered & has_url, _text_at("$.url")).otherwise(""))
         .withColumn("success", F.col("drep_name").isNotNull())
         .withColumn("error", F.when(~F.col("success"), F.coalesce("_error", F.lit(NO_GIVEN_NAME))))
-        .drop("_doc", "_error")
+        .drop("_doc", "_error", "_name", "_text")
     )
 
 

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.functions.text import whole_number
 from partflow.spec import DAILY, EPOCH
 
 # The shapes of partition values and of published keys.
@@ -125,7 +126,7 @@ def range_values(text: Column) -> Column:
     """Array of the partition values in an ``A:B`` text; null for a malformed one."""
     start = F.split_part(text, F.lit(":"), F.lit(1))
     end = F.split_part(text, F.lit(":"), F.lit(2))
-    first_epoch, last_epoch = start.try_cast("bigint"), end.try_cast("bigint")
+    first_epoch, last_epoch = whole_number(start), whole_number(end)
     first_day, last_day = start.try_cast("date"), end.try_cast("date")
     as_text = lambda values: F.transform(values, lambda v: v.cast("string"))
     return F.when(

@@ -21,6 +21,17 @@ def strip(value: Column) -> Column:
     return F.regexp_replace(value, f"(?U)^{_BLANK}+|{_BLANK}+$", "")
 
 
+def whole_number(value: Column) -> Column:
+    """A text as BIGINT, or null if it is none.
+
+    The shape is looked at first because a failing ``try_cast`` costs an
+    exception per row; only numbers of 19 digits can still be too large.
+    """
+    return F.when(value.rlike("^[+-]?[0-9]{1,18}$"), value.cast("bigint")).when(
+        value.rlike("^[+-]?[0-9]{19}$"), value.try_cast("bigint")
+    )
+
+
 def joined_messages(*messages: Column, separator: str = "; ") -> Column:
     """The non-null messages joined, or null when there is none."""
     return F.nullif(F.concat_ws(separator, *messages), F.lit(""))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partflow.functions.keys import parse_key
+from partflow.functions.text import whole_number
 from partflow.operators.keyed import newest_per_key
 from partflow.operators.lookup import join_lookup
 from partflow.operators.selection import COMPLETED, PARTITION_KEY
@@ -89,7 +90,7 @@ def last_watermarks(runs: DataFrame, mode: str = "latest") -> DataFrame:
     """
     usable = runs.where((F.col("status") == COMPLETED) & F.col("source_data_watermark").isNotNull())
     mark = F.col("source_data_watermark")
-    by_value = F.struct(mark.try_cast("bigint"), mark)
+    by_value = F.struct(whole_number(mark), mark)
     rank = F.struct(F.col("run_id"), mark) if mode == "latest" else by_value
     return usable.groupBy("exporter").agg(F.max_by(mark, rank).alias("source_data_watermark"))
 

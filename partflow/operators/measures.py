@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.functions.text import joined_messages
+from partflow.functions.text import joined_messages, whole_number
 
 # The measures the authority publishes.
 MEASURES = ("treasury", "reserves", "fees", "deposits_stake")
@@ -19,7 +19,7 @@ MEASURES = ("treasury", "reserves", "fees", "deposits_stake")
 
 def _authority_value(name: str) -> Column:
     raw = F.col(name)
-    return F.when(raw.isNull(), F.lit(0)).otherwise(raw.cast("string").try_cast("bigint"))
+    return F.when(raw.isNull(), F.lit(0)).otherwise(whole_number(raw.cast("string")))
 
 
 def _beside(export: DataFrame, authority: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:

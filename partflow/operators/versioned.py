@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from partflow.functions.text import whole_number
+
 
 def distinct_keys(rows: DataFrame, key: str) -> DataFrame:
     """All keys, in order."""
@@ -28,7 +30,7 @@ def max_versions(exports: DataFrame, key: str) -> DataFrame:
 def last_export(partition: Column) -> Column:
     """Aggregate: the latest partition, comparing epochs as numbers; null when there is none."""
     text = partition.cast("string")
-    return F.max_by(text, F.struct(text.try_cast("bigint"), text))
+    return F.max(F.struct(whole_number(text).alias("number"), text.alias("text")))["text"]
 
 
 def candidates(registered: DataFrame, exported: DataFrame, since: DataFrame, key: str, rebuild: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partflow.functions import keys
-from partflow.functions.text import has_text, joined_messages, strip
+from partflow.functions.text import has_text, joined_messages, strip, whole_number
 from partflow.operators.selection import keep_pending, keep_requested, requested_values
 from partflow.spec import STANDARD_DATASETS, DatasetSpec, select_datasets
 
@@ -88,6 +88,12 @@ def test_text(spark):
     assert one(spark, joined_messages(F.lit("a"), F.lit("b"))) == "a; b"
 
 
+def test_whole_number(spark):
+    texts = ["7", "-12", "+5", "9223372036854775807", "9223372036854775808", "1" * 20, "", "x", "1.5", "2024-01-01", None]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").select(whole_number(F.col("v")).alias("n"))
+    assert [r.n for r in df.collect()] == [7, -12, 5, 2**63 - 1] + [None] * 7
+
+
 def test_select_datasets():
     assert len(STANDARD_DATASETS) == 13
     found, unknown = select_datasets(STANDARD_DATASETS, ["reward", "nope"])
