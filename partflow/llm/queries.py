@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import tokenfile, tokens
+from partflow.llm import decontaminate, pieces, quality, simhash, surrogates, tokenfile, tokens, urls, vectors
 from partflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
+#: Stands for a secret that a deployment takes from its own store.
+SURROGATE_KEY = "an example key"
 
 
 def query(sql: str | None = None):
@@ -37,3 +40,64 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op9_token_file(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as the token file gives it back."""
     return tokenfile.round_trip(table(spark, folder, "documents"), BYTE_BPE, end_id=2)
+
+
+@query()
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """SimHash fingerprint and component of every document."""
+    return simhash.simhash_groups(table(spark, folder, "documents"))
+
+
+@query(
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    ), pairs AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+    ), reach AS (
+        SELECT vec_id, vec_id AS other FROM v
+        UNION
+        SELECT reach.vec_id, pairs.b FROM reach JOIN pairs ON pairs.a = reach.other
+    ), low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+    SELECT low.vec_id, (SELECT count(*) FROM pairs WHERE pairs.a = low.vec_id) AS n_links, component_id,
+        low.vec_id = component_id AS kept
+    FROM low
+    """
+)
+def op8_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate embeddings within labels."""
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query(urls.judge_sql())
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on the address of every page."""
+    return urls.judge_urls(table(spark, folder, "pages"))
+
+
+@query()
+def op4_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items that documents hold."""
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query()
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, folder, "documents")
+    scores = quality.score(docs, quality.train(docs, table(spark, folder, "labels")))
+    return scores.select("doc_id", (quality.remainder(F.col("doc_id")) == 2).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op6_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, and whether decoding gives its text back."""
+    return pieces.encode(table(spark, folder, "documents"), PIECE_BPE, with_text=False)
+
+
+@query()
+def op10_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with surrogates for personal data and secrets."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_personal_data(docs, SURROGATE_KEY)

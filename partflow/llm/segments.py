@@ -15,6 +15,8 @@ import os
 import re
 from collections.abc import Callable, Iterable
 
+import numpy as np
+
 from partflow.llm.common import tokenizer_file
 
 #: A space with white space beside it may belong to the piece before it.
@@ -83,23 +85,43 @@ def library(name: str) -> Library:
     return Library(name)
 
 
+#: A word of Latin letters with punctuation behind it: the tokenizer cuts between them.
+_STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%*#$&]+)")
+
+
 class Memo(dict):
-    """What is known of pieces: a fixed table, and a bounded number of pieces met since.
+    """What a worker knows of pieces; ``of`` finds it for a list of them, and adds up over parts.
 
-    Beyond the bound, everything but the fixed table is forgotten and may be met again.
+    When more than ``bound`` pieces are known, all but the first half of them are
+    forgotten (frequent ones tend to come first) and may be met again.
     """
 
-    def __init__(self, fixed: dict, bound: int, of: Callable[[list[str]], list]) -> None:
-        super().__init__(fixed)
-        self.fixed, self.bound, self.of = fixed, bound, of
+    def __init__(self, bound: int, of: Callable[[list[str]], list]) -> None:
+        super().__init__()
+        self.bound, self.of = bound, of
 
     def learn(self, texts: list[list[str]]) -> None:
         """Make sure that all pieces of these texts are known."""
         wanted = set().union(*texts).difference(self)
-        if len(self) + len(wanted) > self.bound + len(self.fixed):
-            self.clear()
-            self.update(self.fixed)
+        if len(self) + len(wanted) > self.bound:
+            for piece in list(self)[self.bound // 2 :]:
+                del self[piece]
             wanted = set().union(*texts).difference(self)
-        if wanted:
-            listed = list(wanted)
+        cut = {p: (m[1], "\n" + m[2]) for p in wanted if (m := _STEM.fullmatch(p))}
+        listed = list(wanted.difference(cut).union(*cut.values()).difference(self))
+        if listed:
             self.update(zip(listed, self.of(listed)))
+        for piece, (stem, end) in cut.items():
+            self[piece] = self[stem] + self[end]
+
+
+@functools.lru_cache(maxsize=4)
+def counts_memo(name: str, bound: int) -> Memo:
+    """The worker's memory of token counts; it outlives a task."""
+    return Memo(bound, lambda pieces: [len(ids) for ids in library(name).encode_pieces(pieces)])
+
+
+@functools.lru_cache(maxsize=4)
+def ids_memo(name: str, bound: int, kind: str) -> Memo:
+    """The worker's memory of token ids, as bytes of type ``kind``; it outlives a task."""
+    return Memo(bound, lambda pieces: [np.asarray(ids, kind).tobytes() for ids in library(name).encode_pieces(pieces)])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.llm.common import in_batches, materialise, new_dir
-from partflow.llm.segments import Memo, library
+from partflow.llm.segments import ids_memo, library
 
 SCALE_BITS = 18
 _LOW = np.uint64(1 << 31)
@@ -36,7 +36,8 @@ LANES = 1024
 CHECKPOINT_STEPS = 256
 #: Ids that a written partition holds, about.
 PARTITION_IDS = 1 << 23
-CACHE_PIECES = 400_000
+#: Pieces in a worker's cache, at some 200 bytes each.
+CACHE_PIECES = 800_000
 
 _BLOCK = (
     "part int, block int, n_docs int, n_ids long, lanes int, doc_ids binary, no_id binary, lengths binary,"
@@ -53,13 +54,13 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = library(tokenizer)
         kind = np.dtype(id_type(lib.size))
-        pack = lambda lists: [np.asarray(ids, kind).tobytes() for ids in lists]
-        memo = Memo({}, CACHE_PIECES, lambda p: pack(lib.encode_pieces(p)))
+        memo = ids_memo(tokenizer, CACHE_PIECES, kind.str)
         last = np.asarray([end_id], kind).tobytes()
         for batch, texts in in_batches(batches):
             cut = [lib.pieces(one) for one in texts]
             memo.learn([p for p in cut if p is not None])
-            whole = iter(pack(lib.encode([one for one, p in zip(texts, cut) if p is None])) if None in cut else [])
+            rest = [one for one, p in zip(texts, cut) if p is None]
+            whole = iter([np.asarray(i, kind).tobytes() for i in lib.encode(rest)] if rest else [])
             ids = [(next(whole) if p is None else b"".join(map(memo.__getitem__, p))) + last for p in cut]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(b) // kind.itemsize for b in ids], pa.int64()), pa.array(ids, pa.binary())],

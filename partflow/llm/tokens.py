@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partflow.llm.common import in_batches
-from partflow.llm.segments import Memo, library
+from partflow.llm.segments import counts_memo, library
 
 #: Entries and longest entry (characters) of the broadcast table: with four bytes a
 #: character at most, it can't exceed 65536 * (4 * 48 + 3) bytes, 13 MB.
@@ -28,8 +28,8 @@ TABLE_CHARS = 48
 #: Pieces that a task names as its most frequent, and pieces that it counts at a time.
 TASK_ENTRIES = 4096
 TASK_COUNTED = 1 << 18
-#: Pieces in a worker's cache.
-CACHE_PIECES = 400_000
+#: Pieces in a worker's cache, the table's among them.
+CACHE_PIECES = 600_000
 
 
 def frequent_pieces(docs: DataFrame, tokenizer: str, text: str = "text", entries: int = TABLE_ENTRIES) -> DataFrame:
@@ -84,7 +84,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = library(tokenizer)
-        memo = Memo(unpack_table(packed.value), CACHE_PIECES, lambda p: [len(ids) for ids in own.encode_pieces(p)])
+        memo = counts_memo(tokenizer, CACHE_PIECES)
+        memo.update(unpack_table(packed.value))
         for batch, texts in in_batches(batches):
             cut = [own.pieces(one) for one in texts]
             memo.learn([p for p in cut if p is not None])
