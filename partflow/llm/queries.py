@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import decontaminate, pieces, quality, simhash, surrogates, tokenfile, tokens, urls, vectors
+from partflow.llm import decontaminate, ngrams, pieces, quality, simhash, surrogates, tokenfile, tokens, urls, vectors
 from partflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,30 @@ def op10_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with surrogates for personal data and secrets."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return surrogates.replace_personal_data(docs, SURROGATE_KEY)
+
+
+@query(
+    r"""
+    WITH cut AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), words AS (
+        SELECT doc_id, i, w[i] AS word, CASE WHEN i > 1 THEN w[i - 1] END AS before FROM cut, unnest(range(1, len(w) + 1)) AS r(i)
+    ), one AS (SELECT word, count(*) AS n FROM words GROUP BY word),
+    two AS (SELECT before, word, count(*) AS n FROM words WHERE before IS NOT NULL GROUP BY before, word),
+    scored AS (
+        SELECT words.doc_id, CASE WHEN two.n >= 2 THEN ln(two.n / first.n)
+            ELSE ln(0.4 * one.n / (SELECT sum(n) FROM one)) END AS s
+        FROM words JOIN one ON words.word = one.word
+        LEFT JOIN two ON words.before = two.before AND words.word = two.word
+        LEFT JOIN one first ON words.before = first.word
+    ), sums AS (SELECT doc_id, count(*) AS n, avg(s) AS score FROM scored GROUP BY doc_id)
+    SELECT cut.doc_id, coalesce(sums.n, 0)::BIGINT AS n_words, round(sums.score, 6) AS score
+    FROM cut LEFT JOIN sums ON cut.doc_id = sums.doc_id
+    """
+)
+def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Stupid-backoff score of every document under a model of all documents."""
+    scores = ngrams.score_documents(table(spark, folder, "documents"))
+    return scores.withColumn("score", F.round("score", 6))
