@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from partflow.llm.common import in_batches
 
@@ -210,44 +211,70 @@ def find_leaks(
     item id are items of their own; further columns are ignored; empty tables give no
     rows. The benchmark is read to the driver and broadcast in blocks of ``index_items``.
     """
-    spark = docs.sparkSession
-    given = items.select(F.col(item).alias("item"), F.col(item_text).alias("text"), (F.col(answer) if answer else F.lit(None).cast("string")).alias("answer"))
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item].dataType.simpleString()
-    schema = f"key {kind}, item_id {item_kind}, first_word long, score double, question_overlap double, answer_overlap double"
-
-    def over(block: list) -> DataFrame:
-        parts = []
-        for i, question, reply in block:
-            words = words_of(question)
-            parts.append((i, *(split_item(words) if reply is None else (words, words_of(reply)))))
-        shared = spark.sparkContext.broadcast(parts)
+    kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item].dataType
+    schema = f"key {kind}, item_id {item_kind.simpleString()}, first_word long, score double, question_overlap double, answer_overlap double"
+    arrow_item = to_arrow_type(item_kind)
+    found = None
+    for shared in _blocks(items, item, item_text, answer, index_items):
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, threshold)
             places, size = Places(index.term), max(passage, 2 * index.longest)
             for batch, texts in in_batches(batches):
-                found = [(i, *f) for i, one in enumerate(texts) for f in search_text(index, places, one, size, overlap)]
-                columns = list(zip(*found)) or [[]] * 6
+                leaks = [(i, *f) for i, one in enumerate(texts) for f in search_text(index, places, one, size, overlap)]
+                columns = list(zip(*leaks)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("key").take(pa.array(columns[0], pa.int64())),
-                        pa.array([index.items[p][0] for p in columns[1]], batch_item),
+                        pa.array([index.items[p][0] for p in columns[1]], arrow_item),
                         *[pa.array(c, t) for c, t in zip(columns[2:], [pa.int64(), pa.float64(), pa.float64(), pa.float64()])],
                     ],
                     ["key", "item_id", "first_word", "score", "question_overlap", "answer_overlap"],
                 )
 
-        return rows.mapInArrow(run, schema)
+        part = rows.mapInArrow(run, schema)
+        found = part if found is None else found.unionAll(part)
+    return found.withColumnRenamed("key", key)
+
+
+def drop_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    threshold: float = THRESHOLD,
+    overlap: float = OVERLAP,
+    passage: int = PASSAGE,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    answer: str | None = None,
+    index_items: int = INDEX_ITEMS,
+) -> DataFrame:
+    """The rows that hold no item as :func:`find_leaks` finds them, with all their columns."""
+    at_text, schema = docs.columns.index(text), docs.schema
+    for shared in _blocks(items, item, item_text, answer, index_items):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            index = Index(shared.value, threshold)
+            places, size = Places(index.term), max(passage, 2 * index.longest)
+            for batch in batches:
+                named = pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
+                for part, texts in in_batches([named], str(at_text)):
+                    clean_ = [not search_text(index, places, one, size, overlap) for one in texts]
+                    yield pa.RecordBatch.from_arrays(part.filter(pa.array(clean_)).columns, batch.schema.names)
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
 
-    from pyspark.sql.pandas.types import to_arrow_type
 
-    batch_item = to_arrow_type(items.schema[item].dataType)
-    block, found = [], None
+def _blocks(items: DataFrame, item: str, item_text: str, answer: str | None, size: int) -> list:
+    """Broadcasts of the items' words, ``size`` items each; one without items if there are none."""
+    spark = items.sparkSession
+    given = items.select(F.col(item).alias("item"), F.col(item_text).alias("text"), (F.col(answer) if answer else F.lit(None).cast("string")).alias("answer"))
+    blocks: list[list] = [[]]
     for r in given.where(F.col("text").isNotNull()).toLocalIterator():
-        block.append((r["item"], r["text"], r["answer"]))
-        if len(block) == index_items:
-            found, block = over(block) if found is None else found.unionAll(over(block)), []
-    if block or found is None:
-        found = over(block) if found is None else found.unionAll(over(block))
-    return found.withColumnRenamed("key", key)
+        words = words_of(r["text"])
+        if len(blocks[-1]) == size:
+            blocks.append([])
+        blocks[-1].append((r["item"], *(split_item(words) if r["answer"] is None else (words, words_of(r["answer"])))))
+    return [spark.sparkContext.broadcast(block) for block in blocks]

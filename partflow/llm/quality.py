@@ -136,3 +136,28 @@ def score(docs: DataFrame, weights: np.ndarray | None, key: str = "doc_id", text
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, score double")
     return rows.select(F.col("key").alias(key), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(docs: DataFrame, weights: np.ndarray | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows whose text scores ``threshold`` or more, with all their columns.
+
+    Texts are judged as by :func:`score`. Without a model nothing is known against any
+    row, and all stay.
+    """
+    if weights is None:
+        return docs
+    shared, at_text = docs.sparkSession.sparkContext.broadcast(weights), docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, hashes = shared.value, Hashes()
+        least = np.log(threshold / (1 - threshold))
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
+            for part, texts in in_batches([named], str(at_text)):
+                good = []
+                for one in texts:
+                    at, x = features(one, hashes)
+                    good.append(bool(w[at] @ x + w[DIMS] >= least))
+                yield pa.RecordBatch.from_arrays(part.filter(pa.array(good)).columns, batch.schema.names)
+
+    return docs.mapInArrow(run, docs.schema)

@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partflow.llm.common import in_batches, materialise
 from partflow.llm.graph import components
@@ -157,10 +158,40 @@ def simhash_groups(docs: DataFrame, radius: int = 3, width: int = 3, key: str =
     alone has a null id. Further columns are ignored; an empty table gives no rows.
     """
     prints = materialise(fingerprints(docs, key, text, width).select(F.col(key).alias("key"), "fp"), "fingerprints")
-    classes = materialise(prints.groupBy("fp").agg(F.min("key").alias("first")), "distinct-prints")
-    linked = components(links_within(classes.select("fp"), radius)).select(F.col("node").alias("fp"), "component")
-    rooted = materialise(classes.join(linked, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root")), "rooted-prints")
+    rooted = _rooted(prints, radius)
     heads = materialise(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "print-heads")
     ids = materialise(rooted.join(heads, "root").select("fp", "component_id"), "print-components")
     text_of = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(ids, "fp").select(F.col("key").alias(key), text_of.alias("fingerprint"), "component_id")
+
+
+def _rooted(prints: DataFrame, radius: int) -> DataFrame:
+    """``fp, first, root`` of the different fingerprints: their smallest key, and the fingerprint that stands for their component."""
+    classes = materialise(prints.groupBy("fp").agg(F.min("key").alias("first")), "distinct-prints")
+    linked = components(links_within(classes.select("fp"), radius)).select(F.col("node").alias("fp"), "component")
+    return materialise(classes.join(linked, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root")), "rooted-prints")
+
+
+def drop_near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each component, with all its columns: that with the smallest key.
+
+    Components are those of :func:`simhash_groups`; null keys come last, and of rows with
+    equal keys one stays.
+    """
+    # read back once written, the numbers of rows are fixed
+    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    marked = marked.withColumn("at", F.monotonically_increasing_id())
+    schema = T.StructType([marked.schema["row"], marked.schema["key"], marked.schema["at"], T.StructField("fp", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in in_batches(batches):
+            found = np.fromiter((fingerprint(t, width) for t in texts), np.uint64, len(texts))
+            arrays = [batch.column("row"), batch.column("key"), batch.column("at"), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "key", "at", "fp"])
+
+    rows = materialise(marked.mapInArrow(run, schema), "fingerprinted", "zstd")
+    roots = _rooted(rows.select("key", "fp"), radius).select("fp", "root")
+    of_row = rows.select("key", "at", "fp").join(roots, "fp")
+    first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "at")).alias("first")
+    kept = materialise(of_row.groupBy("root").agg(first).select("first.at"), "kept-rows")
+    return rows.join(kept, "at", "left_semi").select("row.*")
