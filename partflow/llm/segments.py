@@ -13,7 +13,7 @@ import functools
 import json
 import os
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 import numpy as np
 
@@ -22,6 +22,9 @@ from partflow.llm.common import tokenizer_file
 #: A space with white space beside it may belong to the piece before it.
 _UNEVEN = re.compile(r"\s\s")
 _EVEN_SPACE = re.compile(r"(?<=\S)(?= \S)")
+_SOLID = re.compile(r"\S+")
+#: Pieces that the library gets at a time.
+_TOGETHER = 64
 
 
 class Library:
@@ -49,6 +52,9 @@ class Library:
                 and not first.get("add_prefix_space", True)
             )
             self.size = tokenizer.get_vocab_size()
+            line = tokenizer.encode("\n", add_special_tokens=False).ids
+            self.line = line[0] if len(line) == 1 else -1
+            self.in_pieces = self.in_pieces and len(line) == 1
             self.encode: Callable[[list[str]], list[list[int]]] = lambda texts: [
                 e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             ]
@@ -75,8 +81,26 @@ class Library:
         found[0] = "\n" + found[0]
         return found
 
-    def encode_pieces(self, pieces: Iterable[str]) -> list[list[int]]:
-        return self.encode([p[1:] if p[:1] == "\n" else " " + p for p in pieces])
+    def encode_pieces(self, pieces: list[str], kind: str = "<u4") -> list[bytes]:
+        """Ids of each piece, as bytes of type ``kind``.
+
+        Most pieces are given to the library many at a time, each on a line of its own: a
+        line break after a piece without white space is a token of its own.
+        """
+        width = np.dtype(kind).itemsize
+        out: dict[int, bytes] = {}
+        lines = [i for i, p in enumerate(pieces) if _SOLID.fullmatch(p)]
+        groups = [lines[i : i + _TOGETHER] for i in range(0, len(lines), _TOGETHER)]
+        for group, ids in zip(groups, self.encode(["\n".join([" " + pieces[i] for i in group]) for group in groups])):
+            ids = np.asarray(ids, kind)
+            data, begin = ids.tobytes(), 0
+            for i, end in zip(group, np.append(np.flatnonzero(ids == self.line), len(ids)).tolist(), strict=True):
+                out[i] = data[begin * width : end * width]
+                begin = end + 1
+        rest = [i for i in range(len(pieces)) if i not in out]
+        alone = [pieces[i][1:] if pieces[i][:1] == "\n" else " " + pieces[i] for i in rest]
+        out.update((i, np.asarray(ids, kind).tobytes()) for i, ids in zip(rest, self.encode(alone) if alone else []))
+        return [out[i] for i in range(len(pieces))]
 
 
 @functools.lru_cache(maxsize=4)
@@ -89,39 +113,51 @@ def library(name: str) -> Library:
 _STEM = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:%*#$&]+)")
 
 
-class Memo(dict):
-    """What a worker knows of pieces; ``of`` finds it for a list of them, and adds up over parts.
+class Memo:
+    """What a worker knows of pieces (``known``); ``of`` finds it for a list of them, and adds up over parts.
 
     When more than ``bound`` pieces are known, all but the first half of them are
     forgotten (frequent ones tend to come first) and may be met again.
     """
 
     def __init__(self, bound: int, of: Callable[[list[str]], list]) -> None:
-        super().__init__()
+        self.known: dict[str, object] = {}
         self.bound, self.of = bound, of
 
     def learn(self, texts: list[list[str]]) -> None:
         """Make sure that all pieces of these texts are known."""
-        wanted = set().union(*texts).difference(self)
-        if len(self) + len(wanted) > self.bound:
-            for piece in list(self)[self.bound // 2 :]:
-                del self[piece]
-            wanted = set().union(*texts).difference(self)
-        cut = {p: (m[1], "\n" + m[2]) for p in wanted if (m := _STEM.fullmatch(p))}
-        listed = list(wanted.difference(cut).union(*cut.values()).difference(self))
+        known = self.known
+        wanted = {p for pieces in texts for p in pieces if p not in known}
+        if len(known) + len(wanted) > self.bound:
+            for piece in list(known)[self.bound // 2 :]:
+                del known[piece]
+            wanted = {p for pieces in texts for p in pieces if p not in known}
+        cut, listed = [], set()
+        for piece in wanted:
+            match = _STEM.fullmatch(piece)
+            if match is None:
+                listed.add(piece)
+            else:
+                stem, end = match[1], "\n" + match[2]
+                cut.append((piece, stem, end))
+                if stem not in known:
+                    listed.add(stem)
+                if end not in known:
+                    listed.add(end)
         if listed:
-            self.update(zip(listed, self.of(listed)))
-        for piece, (stem, end) in cut.items():
-            self[piece] = self[stem] + self[end]
+            ordered = list(listed)
+            known.update(zip(ordered, self.of(ordered)))
+        for piece, stem, end in cut:
+            known[piece] = known[stem] + known[end]
 
 
 @functools.lru_cache(maxsize=4)
 def counts_memo(name: str, bound: int) -> Memo:
     """The worker's memory of token counts; it outlives a task."""
-    return Memo(bound, lambda pieces: [len(ids) for ids in library(name).encode_pieces(pieces)])
+    return Memo(bound, lambda pieces: [len(ids) // 4 for ids in library(name).encode_pieces(pieces)])
 
 
 @functools.lru_cache(maxsize=4)
 def ids_memo(name: str, bound: int, kind: str) -> Memo:
     """The worker's memory of token ids, as bytes of type ``kind``; it outlives a task."""
-    return Memo(bound, lambda pieces: [np.asarray(ids, kind).tobytes() for ids in library(name).encode_pieces(pieces)])
+    return Memo(bound, lambda pieces: library(name).encode_pieces(pieces, kind))

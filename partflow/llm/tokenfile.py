@@ -37,7 +37,7 @@ CHECKPOINT_STEPS = 256
 #: Ids that a written partition holds, about.
 PARTITION_IDS = 1 << 23
 #: Pieces in a worker's cache, at some 200 bytes each.
-CACHE_PIECES = 800_000
+CACHE_PIECES = 1_400_000
 
 _BLOCK = (
     "part int, block int, n_docs int, n_ids long, lanes int, doc_ids binary, no_id binary, lengths binary,"
@@ -55,13 +55,14 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
         lib = library(tokenizer)
         kind = np.dtype(id_type(lib.size))
         memo = ids_memo(tokenizer, CACHE_PIECES, kind.str)
+        known = memo.known.__getitem__
         last = np.asarray([end_id], kind).tobytes()
         for batch, texts in in_batches(batches):
             cut = [lib.pieces(one) for one in texts]
             memo.learn([p for p in cut if p is not None])
             rest = [one for one, p in zip(texts, cut) if p is None]
             whole = iter([np.asarray(i, kind).tobytes() for i in lib.encode(rest)] if rest else [])
-            ids = [(next(whole) if p is None else b"".join(map(memo.__getitem__, p))) + last for p in cut]
+            ids = [(next(whole) if p is None else b"".join(map(known, p))) + last for p in cut]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(b) // kind.itemsize for b in ids], pa.int64()), pa.array(ids, pa.binary())],
                 ["doc_id", "n", "ids"],

@@ -29,7 +29,7 @@ TABLE_CHARS = 48
 TASK_ENTRIES = 4096
 TASK_COUNTED = 1 << 18
 #: Pieces in a worker's cache, the table's among them.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_000_000
 
 
 def frequent_pieces(docs: DataFrame, tokenizer: str, text: str = "text", entries: int = TABLE_ENTRIES) -> DataFrame:
@@ -59,7 +59,7 @@ def frequent_pieces(docs: DataFrame, tokenizer: str, text: str = "text", entries
 def pack_table(pieces: list[str], tokenizer: str) -> tuple[bytes, bytes]:
     """The compact table: the pieces with zero bytes between them, and two bytes of token count each."""
     lib = library(tokenizer)
-    counts = [len(ids) for ids in lib.encode_pieces(pieces)] if pieces else []
+    counts = [len(ids) // 4 for ids in lib.encode_pieces(pieces)]
     return "\0".join(pieces).encode(), b"".join(n.to_bytes(2, "little") for n in counts)
 
 
@@ -85,13 +85,14 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = library(tokenizer)
         memo = counts_memo(tokenizer, CACHE_PIECES)
-        memo.update(unpack_table(packed.value))
+        memo.known.update(unpack_table(packed.value))
+        known = memo.known.__getitem__
         for batch, texts in in_batches(batches):
             cut = [own.pieces(one) for one in texts]
             memo.learn([p for p in cut if p is not None])
             whole = [one for one, p in zip(texts, cut) if p is None]
             rest = iter([len(ids) for ids in own.encode(whole)] if whole else [])
-            counts = [next(rest) if p is None else sum(map(memo.__getitem__, p)) for p in cut]
+            counts = [next(rest) if p is None else sum(map(known, p)) for p in cut]
             sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), sizes, pa.array(counts, pa.int64())], ["key", "n_bytes", "n_tokens"]
