@@ -170,7 +170,7 @@ def score_documents(
             logs = np.where(fits, np.log(np.maximum(whole, 1)) - np.log(np.maximum(before, 1)), logs + np.log(alpha))
             shared = np.where(fits, 0.0, shared)
         n = len(sizes)
-        sums, backed = np.bincount(of, logs, n), np.bincount(of, shared, n)
+        sums, backed = (np.bincount(of, x, n).astype(np.float64) for x in (logs, shared))
         return pa.table({"key": texts["key"], "n_words": pa.array(sizes), "sum": pa.array(sums), "backed": pa.array(backed)})
 
     scored = rows.groupBy("chunk").cogroup(joined.groupBy("chunk")).applyInArrow(score, f"key {kind}, n_words long, sum double, backed double")
