@@ -3,9 +3,10 @@
 The index lists, for each term, the items that hold it with their BM25 impact, as a share
 of the item's own score (what it gets if all its terms are found). Lists are cut into
 blocks of items with the largest impact of each block. A passage asks for all items at
-or above the threshold with block-max WAND: list maxima choose the next item that can
-reach it, block maxima skip whole blocks, and the rest are scored in full. A passage
-without one of the terms that any item at the threshold must hold is done at once.
+or above the threshold with block-max WAND. As the threshold is fixed, the lists from
+which a pivot can come are known when the index is built: an item below it without any
+of its essential terms is never a pivot. Pivots in blocks whose maxima add up to less
+than the threshold are skipped with their block; the rest are scored in full.
 Retrieved items are then verified: the passage must hold most of the item's question and
 most of its answer, as runs of five words.
 """
@@ -13,7 +14,6 @@ most of its answer, as runs of five words.
 from __future__ import annotations
 
 import math
-from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +27,7 @@ from partflow.llm.common import in_batches
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score at which it is retrieved, and share of runs that verifies it.
-THRESHOLD = 0.6
+THRESHOLD = 0.75
 OVERLAP = 0.8
 RUN = 5
 #: Words of a passage (more if an item is longer than half of it); passages begin every half.
@@ -73,22 +73,23 @@ class Index:
         n, mean = len(docs), sum(map(len, docs)) / max(1, len(docs))
         idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in held.items()}
         self.term = {t: i for i, t in enumerate(held)}
-        lists: list[list[tuple[int, float]]] = [[] for _ in self.term]
         self.must = np.zeros(len(self.term) + 1, bool)  # the last stands for words of no item
+        self.essential: dict[int, list[int]] = {}
+        self.blocks: list[dict[int, float]] = [{} for _ in self.term]
+        self.impacts: list[list[tuple[int, float]]] = []
         for at, d in enumerate(docs):
             tf = Counter(d)
             raw = {t: idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(d) / mean)) for t, c in tf.items()}
             own = sum(raw.values())
             spare = own * (1 - threshold)
+            self.impacts.append([(self.term[t], w / own) for t, w in raw.items()])
             for t in sorted(raw, key=lambda t: (held[t], -len(t), t)):  # rare ones first
                 if spare > -1e-9 * own:  # without these terms the rest is below the threshold
                     self.must[self.term[t]] = True
+                    self.essential.setdefault(self.term[t], []).append(at)
                 spare -= raw[t]
-                lists[self.term[t]].append((at, raw[t] / own))
-        self.ids = [np.asarray([a for a, _ in p], np.int64).tolist() for p in lists]
-        self.impacts = [[w for _, w in p] for p in lists]
-        self.top = [max(w) for w in self.impacts]
-        self.blocks = [[max(w[i : i + _BLOCK]) for i in range(0, len(w), _BLOCK)] for w in self.impacts]
+                most = self.blocks[self.term[t]]
+                most[at // _BLOCK] = max(most.get(at // _BLOCK, 0.0), raw[t] / own)
         code = lambda ws: [self.term[w] for w in ws]
         self.question = [runs(code(q)) for _, q, _ in self.items]
         self.answer = [runs(code(a)) for _, _, a in self.items]
@@ -97,41 +98,18 @@ class Index:
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
         """Items (by place) with their share of their own score, if at the threshold or above."""
         limit = self.threshold - 1e-9
-        cursors = [[self.ids[t][0], 0, t] for t in terms]  # item, place in the list, term
-        found = []
-        while cursors:
-            cursors.sort()
-            bound, pivot = 0.0, None
-            for c in cursors:
-                bound += self.top[c[2]]
-                if bound >= limit:
-                    pivot = c[0]
-                    break
-            if pivot is None:
-                break
-            upto = [c for c in cursors if c[0] <= pivot]
-            at_block = []
-            for c in upto:  # the block of each list that may hold the pivot
-                place = c[1] if c[0] == pivot else bisect_left(self.ids[c[2]], pivot, c[1])
-                at_block.append(place // _BLOCK)
-            most = sum(self.blocks[c[2]][b] for c, b in zip(upto, at_block) if b < len(self.blocks[c[2]]))
-            if most < limit:  # nothing up to the end of the shortest block can reach it
-                goal = min([self.ids[c[2]][min((b + 1) * _BLOCK, len(self.ids[c[2]])) - 1] for c, b in zip(upto, at_block)])
-                goal = max(pivot, goal) + 1
-                later = [c[0] for c in cursors if c[0] > pivot]
-                goal = min([goal, *later])
-            elif upto[0][0] == pivot:
-                score = sum(self.impacts[c[2]][c[1]] for c in upto)
+        pivots: dict[int, set[int]] = {}
+        for t in terms:
+            for item in self.essential.get(t, ()):
+                pivots.setdefault(item // _BLOCK, set()).add(item)
+        found, held = [], set(terms)
+        for block in sorted(pivots):
+            if sum(self.blocks[t].get(block, 0.0) for t in terms) < limit:
+                continue  # no item of the block can reach it
+            for item in sorted(pivots[block]):
+                score = sum(w for t, w in self.impacts[item] if t in held)
                 if score >= limit:
-                    found.append((pivot, score))
-                goal = pivot + 1
-            else:
-                goal = pivot
-            for c in upto:
-                if c[0] < goal:
-                    c[1] = bisect_left(self.ids[c[2]], goal, c[1])
-                    c[0] = self.ids[c[2]][c[1]] if c[1] < len(self.ids[c[2]]) else -1
-            cursors = [c for c in cursors if c[0] >= 0]
+                    found.append((item, score))
         return found
 
     def verify(self, item: int, passage: list[int]) -> tuple[float, float]:
