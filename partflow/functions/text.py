@@ -22,13 +22,14 @@ def strip(value: Column) -> Column:
 
 
 def whole_number(value: Column) -> Column:
-    """A text as BIGINT, or null if it is none.
+    """A text as BIGINT, or null if it is none or too large for one.
 
     The shape is looked at first because a failing ``try_cast`` costs an
-    exception per row; only numbers of 19 digits can still be too large.
+    exception per row; leading zeros count for nothing, so only numbers of 19
+    digits and more can still be too large.
     """
-    return F.when(value.rlike("^[+-]?[0-9]{1,18}$"), value.cast("bigint")).when(
-        value.rlike("^[+-]?[0-9]{19}$"), value.try_cast("bigint")
+    return F.when(value.rlike("^[+-]?0*[0-9]{1,18}$"), F.regexp_replace(value, "^([+-]?)0+(?=[0-9])", "$1").cast("bigint")).when(
+        value.rlike("^[+-]?0*[0-9]{19}$"), F.regexp_replace(value, "^([+-]?)0+(?=[0-9])", "$1").try_cast("bigint")
     )
 
 

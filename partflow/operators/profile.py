@@ -117,7 +117,12 @@ def merge_profiles(existing: DataFrame, batch: DataFrame, now: str) -> DataFrame
 
 def join_responses(ids: DataFrame, responses: DataFrame, key: str) -> DataFrame:
     """One response row per id: the one fetched last, or a transport error when none landed."""
-    latest = newest_per_key(responses, ["id"], ["fetched_at"]).withColumnRenamed("id", key)
+    # only answers to these ids, and only their times, go through the reduction; of the
+    # answers fetched at the last time, which are few, all columns decide
+    asked = responses.join(ids.select(F.col(key).alias("id")).distinct(), "id", "left_semi")
+    times = asked.groupBy("id").agg(F.max("fetched_at").alias("_last"))
+    latest = asked.join(times, "id").where(F.col("fetched_at").eqNullSafe(F.col("_last"))).drop("_last")
+    latest = newest_per_key(latest, ["id"], ["fetched_at"]).withColumnRenamed("id", key)
     unanswered = F.col("http_status").isNull() & F.col("transport_error").isNull()
     return ids.join(latest, key, "left").withColumn(
         "transport_error", F.when(unanswered, NO_RESPONSE).otherwise(F.col("transport_error"))

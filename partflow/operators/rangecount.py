@@ -23,8 +23,6 @@ from partflow.scratch import materialise
 
 #: Size of a digit, hence the most counters that are ever summed up together.
 DIGIT_BITS = 12
-#: Up to so many range ends (numbers of eight bytes) their leading parts are broadcast.
-_BROADCAST_ENDS = 100_000
 
 
 def count_in_ranges(points: DataFrame, value: Column, ranges: DataFrame, low: str, high: str) -> DataFrame:
@@ -37,7 +35,7 @@ def count_in_ranges(points: DataFrame, value: Column, ranges: DataFrame, low: st
     points as pushed filters.
     """
     ends = ranges.select(F.explode(F.array(F.col(low) - 1, F.col(high))).alias("at")).dropna()
-    first, last, n_ends = ends.agg(F.min("at"), F.max("at"), F.count("at")).first()
+    first, last = ends.agg(F.min("at"), F.max("at")).first()
     if first is None:
         return ranges.withColumn("in_range", F.lit(0).cast("bigint"))
     levels = max(1, -(-(last - first).bit_length() // DIGIT_BITS))
@@ -49,9 +47,9 @@ def count_in_ranges(points: DataFrame, value: Column, ranges: DataFrame, low: st
     at = F.col("at")
     counters = points.where(value.between(first + 1, last)).select(value.cast("bigint").alias("at"))
     for level in range(1, levels):
-        shared = ends.select(part(at, level).alias(f"shared{level}")).distinct()
-        if n_ends <= _BROADCAST_ENDS:
-            shared = F.broadcast(shared)
+        # written out, its size is known: the optimizer broadcasts a small one, and next to
+        # a large one splits the partitions of hot leading parts
+        shared = materialise(ends.select(part(at, level).alias(f"shared{level}")).distinct(), "range-parts")
         counters = counters.join(shared, part(at, level) == F.col(f"shared{level}"), "left")
     level_of, part_of = F.lit(levels), part(at, levels)
     for level in range(levels - 1, 0, -1):

@@ -8,15 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partflow.functions.keys import object_key
 from partflow.operators.enrich import Enrichment, enrich
 from partflow.operators.selection import COMPLETED, keep_pending, keep_requested
-from partflow.operators.stats import partition_stats
-from partflow.scratch import materialise
+from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
-from partflow.sinks.partitions import BARE, publish_partitions, published_stats, verify_published
-from partflow.sources.inventory import inventory
-from partflow.sources.partitions import read_partitions, read_snapshot
+from partflow.sinks.partitions import BARE, move_staged, published_objects, stage_partitions, staged_stats, verify_published
+from partflow.sources.inventory import inventory, inventory_files
+from partflow.sources.partitions import file_stats, read_partitions, read_snapshot
+from partflow.sources.probe import file_verdicts
 from partflow.spec import EPOCH, PROFILE_SCHEMA, DatasetSpec
 
 PROFILE_COLUMNS = ("anchor_url", "drep_name")
@@ -30,6 +29,38 @@ def profile_enrichment(spark: SparkSession, out: str) -> Enrichment:
     )
 
 
+def _enrich(
+    spark: SparkSession,
+    job: Enrichment,
+    base: str,
+    target: str,
+    source: DatasetSpec,
+    derived: DatasetSpec,
+    listed: DataFrame,
+    values: list[str],
+    layout: str,
+    schema: T.StructType | None,
+) -> DataFrame:
+    """Write the enriched partitions that can be read whole; one row per partition with ``is_published``, ``error_details``."""
+    rows = read_partitions(spark, base, source, values, schema, True, listed=listed)
+    files = materialise(file_stats(rows), "file-stats")
+    pending = listed.where(F.col("partition_value").isin(values))
+    faults = materialise(file_verdicts(inventory_files(spark, base, pending), files.drop("partition_value")), "faults")
+    enriched = job.transform(rows)
+    staging = stage_partitions(enriched, target)
+    expected = files.groupBy("partition_value").agg(F.sum("row_count").alias("row_count"))
+    checked = verify_published(expected, staged_stats(enriched, staging)).join(faults, "partition_value", "full_outer")
+    differs = F.lit("Upload verification failed: rows differ at the target")
+    whole = F.coalesce("is_published", F.lit(False)) & F.col("error_details").isNull()
+    checked = checked.withColumn("is_published", whole).withColumn(
+        "error_details", F.when(~whole, F.coalesce("error_details", differs))
+    )
+    checked = materialise(checked, "verified")
+    arrived = {row.partition_value for row in checked.where("is_published").select("partition_value").toLocalIterator()}
+    move_staged(spark, staging, target, derived, layout, arrived)
+    return checked
+
+
 def run_enrichment(
     spark: SparkSession,
     job: Enrichment,
@@ -45,7 +76,9 @@ def run_enrichment(
     """Enrich the partitions the ledger does not have under the derived name.
 
     The watermark is the furthest partition handled, epochs compared as numbers;
-    a dry run writes the data, as a local preview, but no upload and no watermark.
+    a dry run writes the data to a preview below the shared folder, but no upload
+    and no watermark. A partition with a file that can't be read, or that does not
+    arrive whole, is an upload error and takes no other with it.
     """
     source = DatasetSpec(job.source, "", "", job.partition_type)
     derived = DatasetSpec(job.name, "", "", job.partition_type)
@@ -68,28 +101,44 @@ def run_enrichment(
             ledger.complete_run(run, now, 0, 0)
         return summary
 
-    rows = read_partitions(spark, base, source, values, schema, listed=listed)
-    enriched = job.transform(rows)
-    publish_partitions(enriched, target, derived, layout)
-    if run is None:
-        return summary
-
-    expected = partition_stats(rows, F.col("partition_value"))
-    found = published_stats(enriched, target, derived, values, layout=layout)
-    checked = materialise(verify_published(expected, found), "verified")
-    key = object_key(F.lit(job.name), F.col("partition_value"), F.lit(job.partition_type))
-    uploads = checked.where("is_published").select(
-        F.lit(job.name).alias("exporter"),
-        "partition_value",
-        key.alias("s3_key"),
-        F.substring_index(key, "/", -1).alias("file_name"),
-        "row_count",
-        F.lit(0).alias("file_size"),
-        F.lit(now).alias("uploaded_at"),
-        F.lit(COMPLETED).alias("status"),
-        F.lit(run.run_id).alias("event_seq"),
-    )
-    ledger.append("uploads", uploads)
+    try:
+        checked = _enrich(spark, job, base, new_dir(spark, "preview") if run is None else target, source, derived, listed, values, layout, schema)
+        if run is None:
+            return summary
+        uploads = (
+            checked.where("is_published")
+            .join(published_objects(spark, target, derived), "partition_value")
+            .select(
+                F.lit(job.name).alias("exporter"),
+                "partition_value",
+                "s3_key",
+                F.element_at(F.split("s3_key", "/"), -1).alias("file_name"),
+                "row_count",
+                "file_size",
+                F.lit(now).alias("uploaded_at"),
+                F.lit(COMPLETED).alias("status"),
+                F.lit(run.run_id).alias("event_seq"),
+            )
+        )
+        ledger.append("uploads", uploads)
+        lost = checked.where("NOT is_published").join(listed.drop("error_details"), "partition_value")
+        ledger.append(
+            "upload_errors",
+            lost.select(
+                F.lit(job.name).alias("exporter"),
+                "partition_value",
+                "file_path",
+                "file_size",
+                "error_details",
+                F.lit(1).alias("attempts"),
+                F.lit(now).alias("created_at"),
+                F.lit(run.run_id).alias("event_seq"),
+            ),
+        )
+    except Exception as error:
+        if run is not None:
+            ledger.complete_run(run, now, len(values), 0, "failed", f"{type(error).__name__}: {str(error)[:500]}")
+        raise
     summary["uploaded"] = checked.where("is_published").count()
     summary["errors"] = len(values) - summary["uploaded"]
     furthest = max(values, key=int) if job.partition_type == EPOCH else max(values)

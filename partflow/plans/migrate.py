@@ -52,7 +52,7 @@ def migrate_layout(
     checks = None
     for spec in specs:
         rows = read_partitions(spark, source, spec)
-        values = publish_partitions(rows, target, spec)
+        values = publish_partitions(rows, target, spec, arranged=True)
         expected = partition_stats(rows, F.col("partition_value"))
         verified = verify_published(expected, published_stats(rows, target, spec, values))
         verified = verified.select(F.lit(spec.name).alias("exporter"), *verified.columns)

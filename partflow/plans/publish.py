@@ -6,22 +6,22 @@ import datetime as dt
 import logging
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partflow.functions.keys import object_key
 from partflow.operators.ledger import run_summary
-from partflow.operators.reconcile import reconcile_daily, reconcile_epoch, suspect_partitions
+from partflow.operators.reconcile import reconcile_daily, reconcile_epoch
 from partflow.operators.selection import COMPLETED, keep_pending, keep_requested
-from partflow.operators.stats import partition_stats, truth_day_bounds, truth_epoch_counts
+from partflow.operators.stats import truth_day_bounds, truth_epoch_counts
 from partflow.scratch import materialise
 from partflow.sinks.ledger_store import Ledger
-from partflow.sinks.partitions import BARE, publish_partitions, published_stats, verify_published
-from partflow.sources.inventory import inventory
-from partflow.sources.partitions import footer_stats, read_partitions
-from partflow.sources.probe import probe_suspects
+from partflow.sinks.partitions import BARE, move_staged, published_objects, stage_partitions, staged_stats, verify_published
+from partflow.sources.inventory import inventory, inventory_files
+from partflow.sources.partitions import file_stats, footer_stats, read_partitions
+from partflow.sources.probe import file_verdicts, is_file_fault
 from partflow.spec import DAILY, DatasetSpec, flat_schema
 
 logger = logging.getLogger(__name__)
@@ -36,7 +36,8 @@ _VERDICT = flat_schema(
 class Truth:
     """The table of record of a dataset, and the blocks that tell which slots a day has.
 
-    Either is any DataFrame; over JDBC the slot and day filters reach the database.
+    Either is any DataFrame. Jobs filter its slots, its epochs, and its days where
+    ``block_day`` is a column, to those at hand; such filters reach the source.
     """
 
     rows: DataFrame
@@ -47,7 +48,7 @@ class Truth:
 
 @dataclass(frozen=True)
 class PublishJob:
-    """Where a dataset is read, published and recorded. ``schema`` lets unreadable files be found."""
+    """Where a dataset is read, published and recorded. ``schema`` saves looking for it in the files."""
 
     base: str
     target: str
@@ -62,41 +63,71 @@ def _values(frame: DataFrame) -> list[str]:
     return [row.partition_value for row in frame.select("partition_value").toLocalIterator()]
 
 
-def _statistics(job: PublishJob, spec: DatasetSpec, pending: DataFrame) -> DataFrame:
-    """Statistics of the pending partitions, from footers where they suffice, else from a scan."""
+def _statistics(job: PublishJob, spec: DatasetSpec, pending: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Statistics of the pending partitions, and those with faults (``partition_value, error_details``; None: none).
+
+    Footers are asked first. Where a file has none, is empty or lacks statistics, all
+    files are read one by one and those that can't be, or that break off, are named.
+    """
     spark = pending.sparkSession
     values = _values(pending)
     slot = spec.slot_column if spec.partition_type == DAILY else None
     if pending.where(F.col("is_canonical") & (F.col("file_count") > 1)).isEmpty():
         try:
-            return footer_stats(spark, job.base, spec, values, slot)
-        except Py4JJavaError:
-            # an empty, an unreadable, or a file without statistics for the slot
+            return footer_stats(spark, job.base, spec, values, slot), None
+        except (PySparkException, Py4JError) as error:
+            if not is_file_fault(error):
+                raise
             logger.info("%s: footers do not suffice, scanning", spec.name)
-    tolerant = job.schema is not None
-    rows = read_partitions(spark, job.base, spec, values, job.schema, tolerant, listed=pending)
-    found = partition_stats(rows, F.col("partition_value"), F.col(slot) if slot else None)
-    return materialise(found, "stats")
-
-
-def validate_partitions(job: PublishJob, spec: DatasetSpec, pending: DataFrame, truth: Truth) -> DataFrame:
-    """Verdict and statistics of the pending partitions; ``error_details`` is null for valid ones."""
-    spark = pending.sparkSession
+    rows = read_partitions(spark, job.base, spec, values, job.schema, True, listed=pending)
+    files = materialise(file_stats(rows, slot), "file-stats")
+    measures = [F.sum("row_count").alias("row_count")]
+    if slot is not None:
+        measures += [F.min("min_slot").alias("min_slot"), F.max("max_slot").alias("max_slot")]
+    stats = materialise(files.groupBy("partition_value").agg(*measures), "stats")
+    faults = file_verdicts(inventory_files(spark, job.base, pending), files.drop("partition_value"))
+    return stats, materialise(faults, "faults")
+
+
+def _truth_verdicts(job: PublishJob, spec: DatasetSpec, stats: DataFrame, truth: Truth) -> DataFrame:
+    """Verdicts of the truth, of which only the days or epochs at hand are read."""
     slot = F.col(spec.slot_column)
-    stats = _statistics(job, spec, pending)
     if spec.partition_type == DAILY:
-        day_bounds = truth_day_bounds(truth.blocks, truth.block_day, F.col(truth.block_slot))
-        verdicts = reconcile_daily(stats, truth.rows, slot, day_bounds)
+        first, last = stats.agg(F.min("partition_value"), F.max("partition_value")).first()
+        day_bounds = truth_day_bounds(truth.blocks, truth.block_day, F.col(truth.block_slot), first, last)
+        return reconcile_daily(stats, truth.rows, slot, day_bounds)
+    number = F.col("partition_value").cast("bigint")
+    first, last = stats.agg(F.min(number), F.max(number)).first()
+    return reconcile_epoch(stats, truth_epoch_counts(truth.rows, slot, first, last))
+
+
+def validate_partitions(job: PublishJob, spec: DatasetSpec, pending: DataFrame, truth: Truth | None) -> DataFrame:
+    """Verdict and statistics of the pending partitions; ``error_details`` is null for valid ones.
+
+    A partition with a file that cannot be read is invalid whatever the rest of it
+    holds. Without ``truth`` only that is looked at. ``source_rows``, ``source_min``
+    and ``source_max`` are what has to arrive at the target.
+    """
+    stats, faults = _statistics(job, spec, pending)
+    if truth is not None:
+        verdicts = _truth_verdicts(job, spec, stats, truth)
     else:
-        verdicts = reconcile_epoch(stats, truth_epoch_counts(truth.rows, slot))
-    suspects = materialise(suspect_partitions(pending, stats), "suspects")
-    broken = probe_suspects(spark, suspects).select("partition_value", "error_details")
-    verdicts = verdicts.unionByName(broken, allowMissingColumns=True)
+        verdicts = stats.select("partition_value", F.lit(None).cast("string").alias("error_details"))
     fields = [
         (F.col(f.name) if f.name in verdicts.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in _VERDICT.fields
     ]
-    return materialise(verdicts.select("partition_value", *fields), "verdicts")
+    verdicts = verdicts.select("partition_value", *fields)
+    if faults is not None:
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in _VERDICT.fields if f.name != "error_details"]
+        verdicts = verdicts.join(faults, "partition_value", "left_anti").unionByName(
+            faults.select("partition_value", *nothing, "error_details")
+        )
+    slots = [F.col(c).cast("bigint") if c in stats.columns else F.lit(None).cast("bigint") for c in ("min_slot", "max_slot")]
+    source = stats.select(
+        "partition_value", F.col("row_count").alias("source_rows"), slots[0].alias("source_min"), slots[1].alias("source_max")
+    )
+    return materialise(verdicts.join(source, "partition_value", "left"), "verdicts")
 
 
 def publish_dataset(
@@ -111,8 +142,10 @@ def publish_dataset(
     """Scan, select, validate, write, verify and record one dataset.
 
     Without ``truth`` validation is skipped: counts are recorded as zero and
-    slots as null. A partition that fails takes no other with it. A dry run
-    validates but writes nothing, neither data nor ledger.
+    slots as null. A partition that fails takes no other with it: files that can't
+    be read make it invalid, and one that does not arrive whole is an upload error.
+    A run that ends with an exception is closed as failed. A dry run validates but
+    writes nothing, neither data nor ledger.
 
     Returns one row per scanned partition with its ``outcome``.
     """
@@ -121,7 +154,7 @@ def publish_dataset(
     requested = keep_requested(listed, wanted)
     pending = materialise(keep_pending(requested, ledger.uploads()), "pending")
 
-    if truth is not None and not pending.isEmpty():
+    if not pending.isEmpty():
         verdicts = validate_partitions(job, spec, pending, truth)
     else:
         unchecked = [F.lit(None).cast(f.dataType).alias(f.name) for f in _VERDICT.fields]
@@ -131,11 +164,15 @@ def publish_dataset(
     published: set[str] = set()
     if not dry_run:
         run = ledger.start_run(spec.name, now)
-        stamp = [F.lit(now).alias("created_at"), F.lit(run.run_id).alias("event_seq")]
-        invalid = verdicts.where(F.col("error_details").isNotNull())
-        ledger.append("validation_errors", invalid.select(F.lit(spec.name).alias("exporter"), "*", *stamp))
-        if valid:
-            published = _write_and_record(spark, job, spec, listed, verdicts, valid, now, run.run_id, truth is not None)
+        try:
+            stamp = [F.lit(now).alias("created_at"), F.lit(run.run_id).alias("event_seq")]
+            invalid = verdicts.where(F.col("error_details").isNotNull())
+            ledger.append("validation_errors", invalid.select(F.lit(spec.name).alias("exporter"), "*", *stamp))
+            if valid:
+                published = _write_and_record(spark, job, spec, listed, verdicts, valid, now, run.run_id)
+        except Exception as error:
+            ledger.complete_run(run, now, len(valid), 0, "failed", f"{type(error).__name__}: {str(error)[:500]}")
+            raise
         ledger.complete_run(run, now, len(valid), len(published))
 
     checked = truth is not None
@@ -169,34 +206,30 @@ def _write_and_record(
     valid: list[str],
     now: dt.datetime,
     run_id: int,
-    checked_before: bool,
 ) -> set[str]:
-    """Write the valid partitions, read them back, and record which arrived."""
+    """Write the valid partitions, read back what was staged, publish and record what arrived whole."""
     slot = F.col(spec.slot_column) if spec.partition_type == DAILY else None
-    rows = read_partitions(spark, job.base, spec, valid, job.schema, listed=listed)
-    publish_partitions(rows, job.target, spec, job.layout)
-    if checked_before:
-        # the statistics of the verdicts are those of the source
-        measures = {"row_count": "pq_count", "min_slot": "pq_min_slot", "max_slot": "pq_max_slot"}
-        expected = verdicts.where(F.col("partition_value").isin(valid)).select(
-            "partition_value", *[F.col(old).alias(new) for new, old in measures.items()]
-        )
-    else:
-        expected = partition_stats(rows, F.col("partition_value"), slot)
-    found = published_stats(rows, job.target, spec, valid, slot, job.layout)
-    checked = materialise(verify_published(expected, found), "verified")
+    rows = read_partitions(spark, job.base, spec, valid, job.schema, True, listed=listed)
+    staging = stage_partitions(rows, job.target, arranged=True)
+    good = verdicts.where(F.col("error_details").isNull())
+    measures = {"row_count": "source_rows"} | ({} if slot is None else {"min_slot": "source_min", "max_slot": "source_max"})
+    expected = good.select("partition_value", *[F.col(old).alias(new) for new, old in measures.items()])
+    checked = materialise(verify_published(expected, staged_stats(rows, staging, slot)), "verified")
     arrived = checked.where("is_published").select("partition_value")
+    moved = set(move_staged(spark, staging, job.target, spec, job.layout, set(_values(arrived))))
 
-    details = listed.where(F.col("partition_value").isin(valid))
-    key = object_key(F.col("exporter"), F.col("partition_value"), F.col("partition_type"))
+    details = listed.join(good.select("partition_value"), "partition_value", "left_semi")
+    sizes = published_objects(spark, job.target, spec)
     uploads = (
-        details.join(arrived, "partition_value", "left_semi")
-        .join(verdicts, "partition_value")
+        details.drop("file_size", "file_count")
+        .join(arrived, "partition_value", "left_semi")
+        .join(sizes, "partition_value")
+        .join(good, "partition_value")
         .select(
             "exporter",
             "partition_value",
-            key.alias("s3_key"),
-            F.substring_index(key, "/", -1).alias("file_name"),
+            "s3_key",
+            F.element_at(F.split("s3_key", "/"), -1).alias("file_name"),
             F.coalesce("pq_count", F.lit(0)).alias("row_count"),
             F.col("pq_min_slot").alias("min_slot"),
             F.col("pq_max_slot").alias("max_slot"),
@@ -218,7 +251,7 @@ def _write_and_record(
         F.lit(run_id).alias("event_seq"),
     )
     job.ledger.append("upload_errors", lost)
-    return set(_values(arrived))
+    return moved
 
 
 def retry_failed(

@@ -12,8 +12,8 @@ from partflow.functions.documents import resolve_pools
 from partflow.operators import registry, versioned
 from partflow.operators.keyed import remove_keys
 from partflow.operators.profile import join_responses
-from partflow.scratch import materialise
-from partflow.sinks.ledger_store import Ledger
+from partflow.scratch import materialise, new_dir
+from partflow.sinks.ledger_store import Ledger, Run
 from partflow.sources.partitions import read_exports, read_partitions
 from partflow.spec import DAILY, POOL_DATA_SCHEMA, REGISTRY_SCHEMA, DatasetSpec, flat_schema
 
@@ -33,6 +33,15 @@ def _export(rows: DataFrame, out: str, dataset: str, day: str, schema: T.StructT
     return ready
 
 
+def _root(spark: SparkSession, out: str, run: Run | None) -> str:
+    """Where an export goes: a dry run writes to a preview below the shared folder."""
+    return out if run is not None else new_dir(spark, "preview")
+
+
+def _name(run: Run | None) -> str:
+    return "preview" if run is None else f"{run.run_id:09d}"
+
+
 def pool_candidates(
     spark: SparkSession, base: str, out: str, watermark: str | None, rebuild: bool = False
 ) -> DataFrame:
@@ -67,8 +76,7 @@ def export_pools(
     versions = versioned.max_versions(read_exports(spark, out, POOL_DATA, POOL_DATA_SCHEMA), "pool_hash")
     numbered = versioned.assign_versions(resolved, versions, "pool_hash", rebuild)
     stamped = numbered.withColumn("fetched_at", F.lit(now))
-    name = f"{run.run_id:09d}" if run else now.strftime("%H%M%S")
-    exported = _export(stamped, out, POOL_DATA, now.date().isoformat(), POOL_DATA_SCHEMA, name)
+    exported = _export(stamped, _root(spark, out, run), POOL_DATA, now.date().isoformat(), POOL_DATA_SCHEMA, _name(run))
     if run is not None:
         rows = read_partitions(spark, base, POOL_REGISTRATIONS, schema=_POOL_KEY)
         last_day = rows.agg(F.max("partition_value")).first()[0] if exported is not None else None
@@ -86,13 +94,16 @@ def export_registry(
     now: dt.datetime,
     changes: dict[str, DataFrame] | None = None,
     dry_run: bool = False,
+    rebuild: bool = False,
 ) -> DataFrame | None:
     """Export the contracts of every source whose revision moved.
 
     ``files`` holds the landed files (``path``, ``content``) of each source and
     ``latest`` the landed revisions (``source``, ``latest_sha``). ``changes``
     holds the changed file names of a source where they are known; without them
-    the source is read in full. The revision advances even if nothing changed.
+    the source is read in full. The revision of a source advances once its files
+    have been read, even if nothing in them changed; one whose files have not landed
+    keeps its revision and is due again. ``rebuild`` reads every landed source in full.
     """
     changes = changes or {}
     known_diffs = F.col("source").isin(list(changes)) if changes else F.lit(False)
@@ -101,11 +112,12 @@ def export_registry(
     )
     # one row per source, and the sources are the fixed few in registry.SOURCES
     modes = {r.source: r.mode for r in plan.where(F.col("source").isin(*registry.SOURCES)).toLocalIterator()}
-    records = None
+    records, handled = None, [source for source, mode in modes.items() if mode == "skip"]
     for source in registry.SOURCES:
-        mode = modes.get(source)
+        mode = "full" if rebuild else modes.get(source)
         if mode in (None, "skip") or source not in files:
             continue
+        handled.append(source)
         landed = files[source]
         if mode == "incremental":
             changed = registry.changed_files(changes[source], registry.PREFIXES[source])
@@ -122,8 +134,7 @@ def export_registry(
         versions = versioned.max_versions(read_exports(spark, out, REGISTRY, REGISTRY_SCHEMA), "script_hash")
         numbered = versioned.assign_versions(best.withColumn("success", F.lit(True)), versions, "script_hash")
         stamped = numbered.withColumn("fetched_at", F.lit(now))
-        name = f"{run.run_id:09d}" if run else now.strftime("%H%M%S")
-        exported = _export(stamped, out, REGISTRY, now.date().isoformat(), REGISTRY_SCHEMA, name)
+        exported = _export(stamped, _root(spark, out, run), REGISTRY, now.date().isoformat(), REGISTRY_SCHEMA, _name(run))
         if run is not None:
             seen = best.select("script_hash", "source").withColumns(
                 {"first_seen_at": F.lit(now), "event_seq": F.lit(run.run_id)}
@@ -131,7 +142,7 @@ def export_registry(
             # the first source to bring a hash keeps it, so only unknown ones are added
             ledger.append("registry_hashes", remove_keys(seen, known, ["script_hash"]))
     if run is not None:
-        state = plan.select("source", F.col("latest_sha").alias("last_commit_sha")).withColumns(
+        state = plan.where(F.col("source").isin(handled)).select("source", F.col("latest_sha").alias("last_commit_sha")).withColumns(
             {"last_checked_at": F.lit(now), "event_seq": F.lit(run.run_id)}
         )
         ledger.append("registry_state", state)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partflow.frames import empty_frame
 from partflow.operators.stats import partition_stats
+from partflow.sources.inventory import list_objects
 from partflow.sources.storage import Storage
-from partflow.spec import DatasetSpec
+from partflow.spec import EPOCH, DatasetSpec
 
 BARE = "bare"
 HIVE = "hive"
@@ -24,24 +25,80 @@ def partition_directory(target: str, spec: DatasetSpec, value: str, layout: str
     return f"{target}/{spec.name}/{name}"
 
 
-def publish_partitions(rows: DataFrame, target: str, spec: DatasetSpec, layout: str = BARE) -> list[str]:
-    """Write ``rows`` (with ``partition_value``), replacing the partitions they belong to.
+def stage_partitions(rows: DataFrame, target: str, arranged: bool = False) -> str:
+    """Write ``rows`` (with ``partition_value``) to a new staging directory below ``target``.
 
-    One job writes everything to a staging directory; ``rebalance`` makes files
-    of the advisory size, splitting a huge partition over many tasks and packing
-    small ones. Then each partition is moved into place, so readers see the old
-    or the new one, never half. Publishing the same rows again changes nothing.
-    Returns the values published.
+    One job writes everything. ``rebalance`` makes files of the advisory size,
+    splitting a huge partition over many tasks and packing small ones; rows read
+    from partitioned files are ``arranged`` already and are written where they are
+    read, without a shuffle.
     """
-    spark = rows.sparkSession
     staging = f"{target}/_staging-{uuid.uuid4().hex}"
-    rows.hint("rebalance", _VALUE).write.partitionBy(_VALUE).parquet(staging)
+    (rows if arranged else rows.hint("rebalance", _VALUE)).write.partitionBy(_VALUE).parquet(staging)
+    return staging
+
+
+def staged_stats(like: DataFrame, staging: str, slot: Column | None = None) -> DataFrame:
+    """Statistics of the partitions in a staging directory, read back from it."""
+    spark = like.sparkSession
+    schema = type(like.schema)([f for f in like.schema.fields if f.name != _VALUE]).add(_VALUE, "string")
+    if not Storage(spark).matching(f"{staging}/{_VALUE}=*"):
+        return partition_stats(empty_frame(spark, schema), F.col(_VALUE), slot)
+    return partition_stats(spark.read.schema(schema).parquet(staging), F.col(_VALUE), slot)
+
+
+def move_staged(
+    spark: SparkSession, staging: str, target: str, spec: DatasetSpec, layout: str = BARE, only: set[str] | None = None
+) -> list[str]:
+    """Put staged partitions (all, or ``only`` some) in the place of the published ones, and remove the rest.
+
+    Readers see the old or the new partition, or for the moment between two
+    renames none. Returns the values published.
+    """
     storage = Storage(spark)
+    storage.restore(f"{target}/{spec.name}")
     staged = {path.rsplit("=", 1)[1]: path for path in storage.matching(f"{staging}/{_VALUE}=*")}
+    chosen = {value: path for value, path in staged.items() if only is None or value in only}
+    for value, path in chosen.items():
+        files = storage.matching(f"{path}/*.parquet")
+        if len(files) == 1:  # a partition that is one file has the name partitions have
+            between = "-epoch-" if spec.partition_type == EPOCH else "-"
+            storage.rename(files[0], f"{path}/{spec.name}{between}{value}.parquet")
     storage.replace_directories(
-        (path, partition_directory(target, spec, value, layout)) for value, path in staged.items()
+        (path, partition_directory(target, spec, value, layout)) for value, path in chosen.items()
+    )
+    storage.delete(staging)
+    return list(chosen)
+
+
+def publish_partitions(
+    rows: DataFrame, target: str, spec: DatasetSpec, layout: str = BARE, arranged: bool = False
+) -> list[str]:
+    """Write ``rows`` (with ``partition_value``), replacing the partitions they belong to.
+
+    Publishing the same rows again changes nothing. Returns the values published.
+    """
+    staging = stage_partitions(rows, target, arranged)
+    return move_staged(rows.sparkSession, staging, target, spec, layout)
+
+
+def published_objects(spark: SparkSession, target: str, spec: DatasetSpec) -> DataFrame:
+    """Objects of the published partitions as they are: ``partition_value, s3_key, file_size, file_count``.
+
+    The key is that of a partition's only file, else its directory's.
+    """
+    objects = list_objects(spark, f"{target}/{spec.name}", "*.parquet")
+    directory = F.regexp_replace("key", "/[^/]+$", "")
+    found = objects.groupBy(directory.alias("_directory")).agg(
+        F.min("key").alias("_key"), F.sum("size").alias("file_size"), F.count(F.lit(1)).alias("file_count")
+    )
+    key = F.when(F.col("file_count") == 1, F.col("_key")).otherwise(F.col("_directory"))
+    return found.select(
+        F.regexp_replace("_directory", "^[^=]*=", "").alias("partition_value"),
+        F.concat(F.lit(f"{spec.name}/"), key).alias("s3_key"),
+        "file_size",
+        "file_count",
     )
-    return list(staged)
 
 
 def publish_day_snapshot(rows: DataFrame, target: str, dataset: str, day: str, suffix: int) -> str:

@@ -20,6 +20,8 @@ def write_snapshot(rows: DataFrame, root: str, label: str, order: str) -> int:
     staging = f"{root}/_staging-{uuid.uuid4().hex}"
     rows.orderBy(order).write.parquet(staging)
     written = spark.read.schema(rows.schema).parquet(staging).count()
-    if written:
+    if not written:
+        Storage(spark).delete(staging)
+    else:
         Storage(spark).replace_directories([(staging, f"{root}/snapshot={label}")])
     return written

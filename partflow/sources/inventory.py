@@ -81,6 +81,21 @@ def inventory(spark: SparkSession, base: str, spec: DatasetSpec) -> DataFrame:
     )
 
 
+def inventory_files(spark: SparkSession, base: str, listed: DataFrame) -> DataFrame:
+    """The files that make up the partitions in ``listed`` (rows of :func:`inventory`): ``path``, ``partition_value``.
+
+    A partition that is its canonical file has that one, any other all of its directory.
+    """
+    name = listed.select("exporter").first()
+    if name is None:
+        return listed.select(F.col("file_path").alias("path"), "partition_value")
+    files = _listing(spark, f"{base}/{name.exporter}", "*.parquet").select("path")
+    whole = listed.where("is_canonical").select(F.col("file_path").alias("path"), "partition_value")
+    parents = listed.where("NOT is_canonical").select(F.col("file_path").alias("_parent"), "partition_value")
+    inside = files.withColumn("_parent", F.regexp_replace("path", "/[^/]+$", "")).join(parents, "_parent")
+    return whole.unionByName(inside.select("path", "partition_value"))
+
+
 def list_objects(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Every object below ``root``: key relative to it, size, time of change."""
     if not exists(spark, root):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from partflow.functions.keys import DAY_SHAPE, EPOCH_SHAPE
 from partflow.scratch import new_dir
 from partflow.session import side_session
 from partflow.sources.inventory import inventory
+from partflow.sources.probe import is_file_fault
 from partflow.sources.storage import exists, matching
 from partflow.spec import DAILY, DatasetSpec
 
@@ -49,14 +52,13 @@ def read_partitions(
         empty = T.StructType([*schema.fields, T.StructField("partition_value", T.StringType())])
         return empty_frame(spark, empty)
     found = spark.read.option("basePath", root).option("pathGlobFilter", "*.parquet")
-    fields = schema if schema is not None else found.parquet(directories).schema
+    fields = schema if schema is not None else _schema(found, directories)
     with_key = T.StructType([f for f in fields.fields if f.name != key]).add(key, T.StringType())
     rows = (
         found.schema(with_key)
         .option("ignoreCorruptFiles", tolerant)
         .parquet(directories)
         .where(F.col(key).rlike(f"^({DAY_SHAPE if spec.partition_type == DAILY else EPOCH_SHAPE})$"))
-        .withColumn("_file", F.col("_metadata.file_name"))
     )
     if values is not None:
         rows = rows.where(F.col(key).isin(sorted(set(values))))
@@ -67,8 +69,33 @@ def read_partitions(
     canonical = {row.partition_value: row.file_path.rsplit("/", 1)[1] for row in mixed.toLocalIterator()}
     if canonical:
         is_mixed = F.col(key).isin(sorted(canonical))
-        rows = rows.where(~is_mixed | F.col("_file").isin(sorted(canonical.values())))
-    return rows.drop("_file").withColumnRenamed(key, "partition_value")
+        rows = rows.where(~is_mixed | F.col("_metadata.file_name").isin(sorted(canonical.values())))
+    return rows.withColumnRenamed(key, "partition_value")
+
+
+def _schema(reader, directories: str) -> T.StructType:
+    """Schema of a dataset by its first file, or where that is broken by those that aren't."""
+    try:
+        return reader.parquet(directories).schema
+    except (PySparkException, Py4JError) as error:
+        if not is_file_fault(error):
+            raise
+        return reader.option("mergeSchema", True).option("ignoreCorruptFiles", True).parquet(directories).schema
+
+
+def file_stats(rows: DataFrame, slot: str | None = None) -> DataFrame:
+    """Per file that can be read: ``path``, ``partition_value``, ``row_count`` by its footer, ``rows_read``, slot range.
+
+    ``rows`` is a tolerant read; where pages break off, fewer rows are read than counted.
+    """
+    path = F.col("_metadata.file_path").alias("path")
+    counted = rows.select(path, "partition_value").groupBy("path", "partition_value").agg(F.count(F.lit(1)).alias("row_count"))
+    if slot is None:
+        return counted.withColumn("rows_read", F.col("row_count"))
+    ranges = rows.select(path, F.col(slot).alias("slot")).groupBy("path").agg(
+        F.count(F.lit(1)).alias("rows_read"), F.min("slot").alias("min_slot"), F.max("slot").alias("max_slot")
+    )
+    return counted.join(ranges, "path", "left").withColumn("rows_read", F.coalesce("rows_read", F.lit(0)))
 
 
 def footer_stats(

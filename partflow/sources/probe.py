@@ -1,62 +1,88 @@
-"""Why a partition yielded no rows: its files are empty, or cannot be read."""
+"""Which files of partitions cannot be read, found by asking Spark for their footers."""
 
 from __future__ import annotations
 
-import io
-from collections.abc import Iterator
-
-import pandas as pd
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+# Texts of the ledger.
 UNREADABLE = "Parquet read error: unreadable file"
 EMPTY = "Partition holds no rows"
 
-#: A file without rows is its footer alone; beyond this size it cannot be that.
-_FOOTER_LIMIT = 16 * 1024 * 1024
+_FAULTS = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "is not a Parquet file", "statistic")
 
 
-def _readable(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
+def is_file_fault(error: Exception) -> bool:
+    """Whether a failed job failed on a file's content, and not on the cluster, rights or memory."""
+    text = str(error)
+    if hasattr(error, "java_exception"):
+        text += error.java_exception.toString()
+        cause = error.java_exception.getCause()
+        while cause is not None:
+            text += cause.toString()
+            cause = cause.getCause()
+    return any(fault in text for fault in _FAULTS)
 
-    for batch in batches:
-        verdicts = []
-        for content in batch["content"]:
-            try:
-                pq.ParquetFile(io.BytesIO(content))
-                verdicts.append(True)
-            except Exception:  # noqa: BLE001 - any failure to open means unreadable
-                verdicts.append(False)
-        yield pd.DataFrame({"file": batch["path"], "readable": verdicts})
 
+def _counted(spark: SparkSession, paths: list[str]) -> bool:
+    """Whether all these files have a footer; no column is read."""
+    try:
+        spark.read.schema(T.StructType()).option("ignoreCorruptFiles", False).parquet(*paths).count()
+        return True
+    except (PySparkException, Py4JError) as error:
+        if not is_file_fault(error):
+            raise
+        return False
 
-def probe_suspects(spark: SparkSession, suspects: DataFrame) -> DataFrame:
-    """``suspects`` (inventory rows without statistics) with ``error_details``.
 
-    Only the suspects' own files are opened, on the executors. Their paths pass
-    through the driver, as the paths of any read do.
+def unreadable_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files without a readable footer, whatever their size.
+
+    All are asked at once; where that fails, each half by itself, so a few broken
+    files among many cost a few jobs.
     """
+    if not paths or _counted(spark, paths):
+        return []
+    if len(paths) == 1:
+        return paths
+    half = len(paths) // 2
+    return unreadable_files(spark, paths[:half]) + unreadable_files(spark, paths[half:])
+
+
+def probe_suspects(spark: SparkSession, suspects: DataFrame) -> DataFrame:
+    """``suspects`` (inventory rows without statistics: a file or a directory) with ``error_details``."""
     paths = [row.file_path for row in suspects.select("file_path").toLocalIterator()]
     if not paths:
         return suspects.withColumn("error_details", F.lit(None).cast("string"))
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.parquet")
-        .load(paths)
-    )
-    small = files.where(F.col("length") <= _FOOTER_LIMIT).select("path", "content")
-    large = files.where(F.col("length") > _FOOTER_LIMIT).select("path", F.lit(False))
-    readable = small.mapInPandas(_readable, "file string, readable boolean").union(large)
-    # a suspect is a file or a directory of files, so match either name
-    parent = F.regexp_replace("file", "/[^/]+$", "")
-    verdict = (
-        readable.select(F.explode(F.array("file", parent)).alias("file_path"), "readable")
-        .groupBy("file_path")
-        .agg(F.bool_and("readable").alias("readable"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    files = [row.path for row in listed.load(paths).select("path").toLocalIterator()]
+    broken = spark.createDataFrame([(p,) for p in unreadable_files(spark, files)], "path string")
+    either = broken.select(F.explode(F.array("path", F.regexp_replace("path", "/[^/]+$", ""))).alias("file_path")).distinct()
+    marked = suspects.join(either.withColumn("_broken", F.lit(True)), "file_path", "left")
+    details = F.when(F.col("_broken"), UNREADABLE).otherwise(EMPTY)
+    return marked.withColumn("error_details", details).select(*suspects.columns, "error_details")
+
+
+def file_verdicts(files: DataFrame, found: DataFrame) -> DataFrame:
+    """Partitions with a file that cannot be read, or without rows: ``partition_value, error_details``.
+
+    ``files`` lists the files that count (``path``, ``partition_value``); ``found`` has
+    ``path``, ``row_count`` (by the footer) and ``rows_read`` of those that could be read.
+    A file whose pages break off counts as unreadable. Only files without rows are opened
+    once more; their paths pass through the driver, as the paths of any read do.
+    """
+    spark = files.sparkSession
+    beside = files.join(found, "path", "left")
+    silent = [r.path for r in beside.where("row_count IS NULL").select("path").toLocalIterator()]
+    broken = spark.createDataFrame([(p,) for p in unreadable_files(spark, silent)], "path string")
+    state = beside.join(broken.withColumn("_broken", F.lit(True)), "path", "left").withColumn(
+        "_broken", F.coalesce("_broken", F.col("rows_read") < F.col("row_count"), F.lit(False))
     )
-    return (
-        suspects.join(verdict, "file_path", "left")
-        .withColumn("error_details", F.when(F.col("readable"), EMPTY).otherwise(UNREADABLE))
-        .select(*suspects.columns, "error_details")
+    per_partition = state.groupBy("partition_value").agg(
+        F.bool_or("_broken").alias("_broken"), F.sum(F.coalesce("row_count", F.lit(0))).alias("_rows")
     )
+    details = F.when(F.col("_broken"), UNREADABLE).when(F.col("_rows") == 0, EMPTY)
+    return per_partition.select("partition_value", details.alias("error_details")).where("error_details IS NOT NULL")

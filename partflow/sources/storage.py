@@ -3,10 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
 
+#: Directories moved at the same time, and the start of the name of those moved aside
+#: (readers leave out names that begin so).
+_MOVES_AT_ONCE = 16
+_ASIDE = "_replaced-"
+
+
+def _aside(target: str) -> str:
+    parent, name = target.rstrip("/").rsplit("/", 1)
+    return f"{parent}/{_ASIDE}{name}"
+
+
 class Storage:
     """File systems as the session is configured to reach them."""
 
@@ -36,14 +48,51 @@ class Storage:
         files, path = self._at(pattern)
         return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
 
+    def delete(self, text: str) -> None:
+        """Delete a file or directory, if it is there."""
+        files, path = self._at(text)
+        files.delete(path, True)
+
     def replace_directories(self, moves: Iterable[tuple[str, str]]) -> None:
-        """Move each source to its target, which it replaces; names change, no data is read."""
-        for source, target in moves:
-            files, path = self._at(target)
-            if not files.delete(path, True):
-                files.mkdirs(path.getParent())
-            if not files.rename(self._path(source), path):
-                raise OSError(f"cannot move {source} to {target}")
+        """Move each source to its target, which it replaces; names change, no data is read.
+
+        The old target is moved aside first, brought back if the new one can't be
+        put in its place, and deleted last: at no time is it the only copy that is
+        deleted. What a crash between the two moves left aside is brought back by
+        :meth:`restore`. Moves wait for the file system, so several go on at once.
+        """
+        with ThreadPoolExecutor(_MOVES_AT_ONCE) as pool:
+            list(pool.map(lambda move: self._replace(*move), list(moves)))
+
+    def _replace(self, source: str, target: str) -> None:
+        files, path = self._at(target)
+        aside = self._path(_aside(target))
+        if files.exists(path):
+            files.delete(aside, True)
+            if not files.rename(path, aside):
+                raise OSError(f"cannot move {target} aside")
+        else:
+            files.mkdirs(path.getParent())
+        if not files.rename(self._path(source), path):
+            if files.exists(aside):
+                files.rename(aside, path)
+            raise OSError(f"cannot move {source} to {target}")
+        files.delete(aside, True)
+
+    def rename(self, source: str, target: str) -> None:
+        files, path = self._at(target)
+        if not files.rename(self._path(source), path):
+            raise OSError(f"cannot rename {source} to {target}")
+
+    def restore(self, parent: str) -> None:
+        """Bring back what replacements that were cut short have left aside below ``parent``."""
+        for left in self.matching(f"{parent}/{_ASIDE}*"):
+            files, aside = self._at(left)
+            target = self._path(aside.getParent(), aside.getName()[len(_ASIDE) :])
+            if files.exists(target):
+                files.delete(aside, True)
+            else:
+                files.rename(aside, target)
 
 
 def qualified(spark: SparkSession, path: str) -> str:
