@@ -43,6 +43,9 @@ _SCRIPT = {"cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}"}
 _NAME = r"\p{Lu}[\p{L}'’-]{1,30}"
 _TITLE = "|".join(t for titles in TITLES.values() for t in titles)
 _KNOWN = "|".join(n for names in GIVEN.values() for n in names)
+#: Titles and given names stand at the start of a text or after one of these.
+_BETWEEN = " \t\n\r\f\x0b\xa0\"'“”„‘«»()[]{}<>.,;:!?¡¿/|*_#&%$+=~–—…"
+_AFTER = "(?<![^" + "".join("\\" + c if c in "[]()" else c for c in _BETWEEN) + "])"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: What is looked for, in order of preference, and the quantifiers of which are all bounded.
 PATTERNS = {
@@ -56,11 +59,10 @@ PATTERNS = {
     "card": r"(?<![\w+-])\d(?:[ -]?\d){12,18}(?!\w)",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\w)"
     r"|(?<![\w+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w.-])",
-    "name": rf"(?<![\p{{L}}])(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_KNOWN}) {_NAME})(?![\p{{L}}])",
+    "name": rf"{_AFTER}(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_KNOWN}) {_NAME})(?![\p{{L}}])",
 }
-#: A text without a match of this has no entity; it is cheap to look for.
-_HINT = rf"[0-9@]|password|passwd|pwd|{_TITLE}|{_KNOWN}"
 _ALL = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_OTHERS = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "name")
 _DIGITS = ("card", "phone", "ssn", "iban")
 #: Draws after which something is wrong with the corpus or the key.
 MOST_DRAWS = 64
@@ -241,7 +243,11 @@ def replace_personal_data(docs: DataFrame, secret: str = "change me", text: str
     docs = docs.drop("n_entities")
     columns = docs.columns
     body = F.col(text)
-    has = F.coalesce(body.rlike(_HINT) & body.rlike(_ALL), F.lit(False))
+    # cheap looks first: most texts have neither a digit nor a sign that others need
+    hint = body.rlike("[0-9@]") | body.contains("password") | body.contains("passwd") | body.contains("pwd")
+    words = F.split(F.translate(body, _BETWEEN, " " * len(_BETWEEN)), " ")
+    named = F.arrays_overlap(words, F.array(*map(F.lit, f"{_TITLE}|{_KNOWN}".split("|")))) & body.rlike(PATTERNS["name"])
+    has = F.coalesce((hint & body.rlike(_OTHERS)) | named, F.lit(False))
     matches = F.regexp_extract_all(F.col("body"), F.lit(_ALL), F.lit(0))
     rows = docs.where(has).select(F.struct(*columns).alias("row"), body.alias("body"))
     cut = rows.select("row", matches.alias("matches"), F.split("body", _ALL, -1).alias("gaps"))
