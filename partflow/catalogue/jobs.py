@@ -15,13 +15,14 @@ from partflow.operators.enrich import Enrichment, enrich
 from partflow.operators.ledger import run_summary
 from partflow.plans.enrichment import run_enrichment
 from partflow.plans.migrate import migrate_layout
-from partflow.plans.publish import PublishJob, Truth, publish_dataset, retry_failed
+from partflow.plans.publish import PublishJob, Truth, publish_dataset, retry_failed, validate_partitions
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
 from partflow.sinks.snapshots import write_snapshot
 from partflow.sources.inventory import inventory
 from partflow.sources.partitions import footer_stats, read_partitions, read_snapshot
+from partflow.sources.storage import Storage
 from partflow.spec import DAILY, EPOCH, PROFILE_SCHEMA, DatasetSpec
 from partflow.streaming.discover import collect_stats, file_stream
 
@@ -108,6 +109,54 @@ def retry_after_failures(t: Tables):
     return uploads.select("exporter", "partition_value", F.col("event_seq").cast("int").alias("run"))
 
 
+def _spoiled(t: Tables) -> str:
+    """Events by day, some days spoiled by their day of the month: modulo 4, 0 is unreadable, 1 half unreadable, 2 without rows."""
+    kind = F.dayofmonth(F.to_date("partition_value")) % 4
+    rows = t.events.withColumn("partition_value", day())
+    base = new_dir(t.spark, "spoiled")
+    root, storage = f"{base}/events", Storage(t.spark)
+    publish_partitions(rows.where(kind.isin(1, 3)), base, _EVENTS, HIVE)
+    days = rows.select("partition_value", kind.alias("kind")).distinct()
+    for r in days.where("kind <> 3").toLocalIterator():
+        folder = f"{root}/date={r.partition_value}"
+        if r.kind == 1:  # not the only file any more, so no longer the partition by its name
+            storage.rename(f"{folder}/events-{r.partition_value}.parquet", f"{folder}/a.parquet")
+        if r.kind == 2:
+            t.events.where("false").write.parquet(folder)
+        else:
+            t.spark.range(1).select(F.lit("no parquet").alias("line")).coalesce(1).write.text(f"{base}/broken/{r.partition_value}")
+            part = storage.matching(f"{base}/broken/{r.partition_value}/part-*")[0]
+            storage.make_directory(folder)
+            storage.rename(part, f"{folder}/b.parquet")
+    return base
+
+
+@query("""
+select strftime(ts, '%Y-%m-%d') as partition_value,
+  case when day(ts) % 4 = 2 then 'Partition holds no rows' else 'Parquet read error: unreadable file' end as error_details
+from events where day(ts) % 4 <> 3 group by 1, 2
+""")
+def suspect_partitions(t: Tables):
+    job = PublishJob(_spoiled(t), "", Ledger(t.spark, new_dir(t.spark, "ledger")), t.events.schema)
+    pending = materialise(inventory(t.spark, job.base, _EVENTS), "inventory")
+    verdicts = validate_partitions(job, _EVENTS, pending, None)
+    return verdicts.where("error_details IS NOT NULL").select("partition_value", "error_details")
+
+
+@query("""
+select run, strftime(ts, '%Y-%m-%d') as partition_value, case when day(ts) % 4 = 3 then 'uploaded' else 'invalid' end as outcome
+from events, (values ('truth'), ('no truth'), ('no schema')) as r(run) group by all
+""")
+def publish_with_broken_file(t: Tables):
+    base, found = _spoiled(t), None
+    truth = Truth(t.events, t.events, "event_id", day())
+    for run, table, schema in (("truth", truth, t.events.schema), ("no truth", None, t.events.schema), ("no schema", None, None)):
+        job = PublishJob(base, new_dir(t.spark, "published"), Ledger(t.spark, new_dir(t.spark, "ledger")), schema)
+        part = publish_dataset(t.spark, job, _EVENTS, table, _NOW).select(F.lit(run).alias("run"), "partition_value", "outcome")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 @query("""
 select 'events' as exporter, strftime(ts, '%Y-%m-%d') as partition_value, count(*) as row_count, count(*) as found_row_count, true as is_published
 from events group by 1, 2

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
+logger = logging.getLogger(__name__)
+
 
 #: Directories moved at the same time, and the start of the name of those moved aside
 #: (readers leave out names that begin so).
@@ -73,12 +77,21 @@ class Storage:
                 raise OSError(f"cannot move {target} aside")
         else:
             files.mkdirs(path.getParent())
-        if not files.rename(self._path(source), path):
+        try:
+            moved = files.rename(self._path(source), path)
+        except Py4JError as error:
+            moved = False
+            logger.warning("moving %s to %s: %s", source, target, error)
+        if not moved:
             if files.exists(aside):
                 files.rename(aside, path)
             raise OSError(f"cannot move {source} to {target}")
         files.delete(aside, True)
 
+    def make_directory(self, text: str) -> None:
+        files, path = self._at(text)
+        files.mkdirs(path)
+
     def rename(self, source: str, target: str) -> None:
         files, path = self._at(target)
         if not files.rename(self._path(source), path):
