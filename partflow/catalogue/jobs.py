@@ -5,26 +5,29 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partflow.catalogue.entries import Tables, day, query
 from partflow.catalogue.keyed import _PROFILE_SQL, _batch, _existing_profile, _responses
 from partflow.catalogue.partitions import STATS_DAILY_SQL
 from partflow.catalogue.quality import _EXPORT_SQL, _export
+from partflow.functions.keys import source_date
 from partflow.operators import profile
 from partflow.operators.enrich import Enrichment, enrich
 from partflow.operators.ledger import run_summary
 from partflow.plans.enrichment import run_enrichment
 from partflow.plans.migrate import migrate_layout
-from partflow.plans.publish import PublishJob, Truth, publish_dataset, retry_failed, validate_partitions
+from partflow.plans.publish import PublishJob, Truth, publish_all, publish_dataset, retry_failed, validate_partitions
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
 from partflow.sinks.snapshots import write_snapshot
 from partflow.sources.inventory import inventory
-from partflow.sources.partitions import footer_stats, read_partitions, read_snapshot
+from partflow.sources.partitions import footer_stats, read_partition, read_partitions, read_snapshot, read_with_source
 from partflow.sources.storage import Storage
 from partflow.spec import DAILY, EPOCH, PROFILE_SCHEMA, DatasetSpec
 from partflow.streaming.discover import collect_stats, file_stream
+from partflow.streaming.publish import publish_new_partitions
 
 _NOW = dt.datetime(2024, 2, 1)
 _EVENTS = DatasetSpec("events", "events", "event_id", DAILY)
@@ -157,6 +160,55 @@ def publish_with_broken_file(t: Tables):
     return found
 
 
+@query("""
+with n as (select 'events' as exporter, count(distinct strftime(ts, '%Y-%m-%d')) as n from events
+  union all select 'orders', count(distinct year(o_orderdate)) from orders)
+select exporter, n as scanned, cast(0 as bigint) as skipped_existing, n as validated, cast(0 as bigint) as validation_errors,
+  n as uploaded, cast(0 as bigint) as upload_errors, cast(null as varchar) as error_details from n
+""")
+def publish_every_dataset(t: Tables):
+    orders = t.orders.withColumn("partition_value", F.year("o_orderdate").cast("string"))
+    yearly = DatasetSpec("orders", "orders", "o_year", EPOCH)
+    ledger, target = Ledger(t.spark, new_dir(t.spark, "ledger")), new_dir(t.spark, "published")
+    jobs = {
+        "events": (PublishJob(_land_events(t), target, ledger), Truth(t.events, t.events, "event_id", day())),
+        "orders": (PublishJob(_land(orders, yearly), target, ledger), Truth(t.orders.select(F.year("o_orderdate").alias("o_year")))),
+    }
+    return publish_all(t.spark, jobs, [_EVENTS, yearly], _NOW)
+
+
+@query("select event_id, user_id, strftime(ts, '%Y-%m-%d') as source_date from events")
+def rows_with_source(t: Tables):
+    schema = T.StructType([f for f in t.events.schema.fields if f.name in ("event_id", "user_id")])
+    return read_with_source(t.spark, _land_events(t), _EVENTS, schema)
+
+
+@query("""
+select event_id, user_id, strftime(ts, '%Y-%m-%d') as source_date from events
+where strftime(ts, '%Y-%m-%d') = (select max(strftime(ts, '%Y-%m-%d')) from events)
+""")
+def newest_partition_alone(t: Tables):
+    # one partition is the feature: its columns come from the file, its day from where the file lies
+    newest = inventory(t.spark, _land_events(t), _EVENTS).orderBy(F.desc("partition_value")).first()
+    rows = read_partition(t.spark, newest.file_path)
+    return rows.select("event_id", "user_id", source_date(F.col("_metadata.file_path")).alias("source_date"))
+
+
+@query("""
+select distinct 'events' as exporter, strftime(ts, '%Y-%m-%d') as partition_value from events
+""")
+def streamed_publication(t: Tables):
+    # two batches: the days of the first half of the month land before the first, the rest before the second
+    rows = t.events.withColumn("partition_value", day())
+    early = F.dayofmonth("ts") <= 15
+    work = new_dir(t.spark, "stream")
+    job = PublishJob(f"{work}/landed", f"{work}/published", Ledger(t.spark, f"{work}/ledger"))
+    for part in (early, ~early):
+        publish_partitions(rows.where(part), job.base, _EVENTS, HIVE)
+        publish_new_partitions(t.spark, job, _EVENTS, Truth(t.events, t.events, "event_id", day()), _NOW, f"{work}/checkpoint")
+    return job.ledger.uploads().select("exporter", "partition_value")
+
+
 @query("""
 select 'events' as exporter, strftime(ts, '%Y-%m-%d') as partition_value, count(*) as row_count, count(*) as found_row_count, true as is_published
 from events group by 1, 2

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partflow.frames import empty_frame, one_row
 from partflow.operators.ledger import run_summary
 from partflow.operators.reconcile import reconcile_daily, reconcile_epoch
 from partflow.operators.selection import COMPLETED, keep_pending, keep_requested
@@ -22,7 +24,7 @@ from partflow.sinks.partitions import BARE, move_staged, published_objects, stag
 from partflow.sources.inventory import inventory, inventory_files
 from partflow.sources.partitions import file_stats, footer_stats, read_partitions
 from partflow.sources.probe import file_verdicts, is_file_fault
-from partflow.spec import DAILY, DatasetSpec, flat_schema
+from partflow.spec import DAILY, DatasetSpec, flat_schema, select_datasets
 
 logger = logging.getLogger(__name__)
 
@@ -32,6 +34,10 @@ _VERDICT = flat_schema(
 )
 
 
+_RESULT = flat_schema("exporter string, partition_value string, outcome string, was_validated boolean")
+_NAME = flat_schema("exporter string")
+
+
 @dataclass(frozen=True)
 class Truth:
     """The table of record of a dataset, and the blocks that tell which slots a day has.
@@ -254,6 +260,43 @@ def _write_and_record(
     return moved
 
 
+def publish_all(
+    spark: SparkSession,
+    jobs: Mapping[str, tuple[PublishJob, Truth | None]],
+    specs: Iterable[DatasetSpec],
+    now: dt.datetime,
+    names: Iterable[str] | None = None,
+    group: str | None = None,
+    dry_run: bool = False,
+) -> DataFrame:
+    """Publish the datasets of ``specs`` chosen by name or group, one after another.
+
+    ``jobs`` has the job and the truth of each by name. Returns one summary row per
+    dataset; where its run broke off, ``error_details`` says why and the counts are
+    zero. No dataset stops another.
+    """
+    chosen, unknown = select_datasets(specs, names, group)
+    unknown += [spec.name for spec in chosen if spec.name not in jobs]
+    if unknown:
+        raise ValueError(f"unknown datasets: {', '.join(unknown)}")
+    summary = None
+    for spec in chosen:
+        error_details, results = None, None
+        try:
+            job, truth = jobs[spec.name]
+            results = materialise(publish_dataset(spark, job, spec, truth, now, dry_run=dry_run), "results")
+        except Exception as error:
+            logger.exception("%s: the run broke off", spec.name)
+            error_details = f"{type(error).__name__}: {str(error)[:500]}"
+        counted = run_summary(results if results is not None else empty_frame(spark, _RESULT))
+        row = one_row(spark, _NAME, {"exporter": spec.name}).join(counted, "exporter", "left")
+        row = row.fillna(0).withColumn("error_details", F.lit(error_details).cast("string"))
+        summary = row if summary is None else summary.unionByName(row)
+    if summary is None:
+        return run_summary(empty_frame(spark, _RESULT)).withColumn("error_details", F.lit(None).cast("string"))
+    return summary
+
+
 def retry_failed(
     spark: SparkSession,
     job: PublishJob,
