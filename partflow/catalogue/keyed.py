@@ -196,9 +196,11 @@ exported as (select user_id k, cast(ceil(value / 100) as integer) v from events
 """
 
 
-@query(f"with {_EXPORTS_SQL} select cast(k as varchar) as pool_hash, max(v) as max_version from exported group by 1")
+@query("select cast(user_id as varchar) as pool_hash, max(cast(ceil(value / 100) as integer)) as max_version from events group by 1")
 def max_versions(t: Tables):
-    return versioned.max_versions(_exports(t), "pool_hash")
+    version = F.ceil(F.col("value") / 100).cast("int")
+    exports = t.events.select(F.col("user_id").cast("string").alias("pool_hash"), version.alias("version"))
+    return versioned.max_versions(exports, "pool_hash")
 
 
 @query(f"""
@@ -257,19 +259,19 @@ def cross_run_priority(t: Tables):
 
 
 @query("""
-with clicks as (select user_id s, event_id i, strftime(ts, '%Y-%m-%d') d, value v from events where event_type = 'click'),
-latest as (select s, max(i) i, arg_max(v, i) v from clicks group by 1),
-state as (select s, max(i) i from clicks where d < '2024-01-29' and v > 20 group by 1)
+with heads as (select user_id s, event_id i, strftime(ts, '%Y-%m-%d') d, value v from events),
+latest as (select s, max(i) i, arg_max(v, i) v from heads group by 1),
+state as (select s, max(i) i from heads where d < '2024-01-29' and v > 20 group by 1)
 select latest.s as source, state.i as last_sha, latest.i as latest_sha,
   case when state.i is null then 'full' when state.i = latest.i then 'skip' when v > 100 then 'full' else 'incremental' end as mode
 from latest left join state on latest.s = state.s
 """)
 def source_revision_changed(t: Tables):
-    clicks = t.events.where("event_type = 'click'").select(F.col("user_id").alias("source"), F.col("event_id").alias("sha"), day().alias("d"), "value")
-    latest = keyed.newest_per_key(clicks.select("source", "sha", "value"), ["source"], ["sha"]).select(
+    heads = t.events.select(F.col("user_id").alias("source"), F.col("event_id").alias("sha"), day().alias("d"), "value")
+    latest = keyed.newest_per_key(heads.select("source", "sha", "value"), ["source"], ["sha"]).select(
         "source", F.col("sha").alias("latest_sha"), (F.col("value") <= 100).alias("diff_known")
     )
-    state = clicks.where((F.col("d") < "2024-01-29") & (F.col("value") > 20)).select(
+    state = heads.where((F.col("d") < "2024-01-29") & (F.col("value") > 20)).select(
         "source", F.col("sha").alias("last_commit_sha"), F.col("sha").alias("event_seq")
     )
     return registry.revision_plan(latest, state)

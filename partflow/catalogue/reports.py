@@ -8,19 +8,19 @@ from partflow.catalogue.entries import Tables, day, event_partitions, query
 from partflow.functions.keys import day_text
 from partflow.operators import ledger, reports
 
-# Events as a ledger of their partition (type, day): large ones are upload
-# errors, smaller ones validation errors, smaller still uploads, of which the
-# larger ones did not complete.
+# Events as a ledger of their partition (type, day): each is the record of an
+# upload, of which the larger ones did not complete, and of an error, of its
+# upload if it is very large and else of its validation.
 _LEDGER_SQL = """
 led as (select event_type x, strftime(ts, '%Y-%m-%d') p, event_id i, value v, user_id u from events),
 uploads as (select x, p, i, v, u from (select *, row_number() over (partition by x, p order by i desc, v desc) r
-  from led where v > 100 and v <= 110) where r = 1)
+  from led) where r = 1)
 """
 
 
 def _uploads(t: Tables):
     status = F.when(F.col("value") <= 107, "completed").otherwise("failed")
-    records = event_partitions(t).where("value > 100 and value <= 110")
+    records = event_partitions(t)
     return ledger.current_uploads(
         records.select(
             "exporter",
@@ -45,50 +45,53 @@ def ledger_current(t: Tables):
 @query(f"""
 with {_LEDGER_SQL}
 select distinct x as exporter, p as partition_value from led
-where (v > 200 or (v > 150 and v <= 170))
-  and not exists (select 1 from uploads w where w.x = led.x and w.p = led.p and w.v <= 107)
+where not exists (select 1 from uploads w where w.x = led.x and w.p = led.p and w.v <= 107)
 """)
 def failed_partitions(t: Tables):
     events = event_partitions(t)
-    validation = events.where("value > 150 and value <= 170")
+    validation = events.where("value <= 200")
     return ledger.failed_partitions(events.where("value > 200"), validation, _uploads(t))
 
 
-def _per_user_day(t: Tables, kind: str):
-    """Events of one type, partitioned by user and day."""
-    return t.events.where(F.col("event_type") == kind).select(
+#: Kinds of events that stand for errors, and for successes.
+_ERRORS, _SUCCESSES = ("error", "view", "click"), ("purchase", "signup")
+
+
+def _per_user_day(t: Tables, kinds: tuple[str, ...]):
+    """Events of some types, partitioned by user and day."""
+    return t.events.where(F.col("event_type").isin(*kinds)).select(
         F.col("user_id").cast("string").alias("exporter"), day().alias("partition_value"), F.col("event_id").alias("event_seq"), "value"
     )
 
 
 @query("""
 select cast(user_id as varchar) as exporter, strftime(ts, '%Y-%m-%d') as partition_value, event_id as event_seq from events e
-where event_type = 'error' and not exists (select 1 from events c where c.event_type = 'purchase' and c.user_id = e.user_id
+where event_type in ('error', 'view', 'click') and not exists (select 1 from events c where c.event_type in ('purchase', 'signup') and c.user_id = e.user_id
   and cast(c.ts as date) = cast(e.ts as date) and c.event_id >= e.event_id)
 """)
 def clear_errors_after_retry(t: Tables):
-    errors = _per_user_day(t, "error").drop("value")
-    return ledger.current_errors(errors, _per_user_day(t, "purchase"))
+    errors = _per_user_day(t, _ERRORS).drop("value")
+    return ledger.current_errors(errors, _per_user_day(t, _SUCCESSES))
 
 
 @query("""
-with u as (select user_id k, cast(ts as date) d, max(event_id) s from events where event_type = 'purchase' group by 1, 2)
+with u as (select user_id k, cast(ts as date) d, max(event_id) s from events where event_type in ('purchase', 'signup') group by 1, 2)
 select cast(e.user_id as varchar) as exporter, strftime(e.ts, '%Y-%m-%d') as partition_value, e.event_id as failed_at, u.s as success_at
-from events e join u on u.k = e.user_id and u.d = cast(e.ts as date) where e.event_type = 'error'
+from events e join u on u.k = e.user_id and u.d = cast(e.ts as date) where e.event_type in ('error', 'view', 'click')
 """)
 def recovered_partitions(t: Tables):
-    errors = _per_user_day(t, "error").withColumnRenamed("event_seq", "created_at")
-    uploads = ledger.current_uploads(_per_user_day(t, "purchase")).withColumnRenamed("event_seq", "uploaded_at")
+    errors = _per_user_day(t, _ERRORS).withColumnRenamed("event_seq", "created_at")
+    uploads = ledger.current_uploads(_per_user_day(t, _SUCCESSES)).withColumnRenamed("event_seq", "uploaded_at")
     return ledger.recovered_partitions(errors, uploads)
 
 
 @query("""
 select distinct cast(user_id as varchar) as exporter, strftime(ts, '%Y-%m-%d') as partition_value from events e
-where event_type = 'error' and not exists (select 1 from events u where u.event_type = 'purchase' and u.user_id = e.user_id
+where event_type in ('error', 'view', 'click') and not exists (select 1 from events u where u.event_type in ('purchase', 'signup') and u.user_id = e.user_id
   and cast(u.ts as date) = cast(e.ts as date))
 """)
 def validation_gaps(t: Tables):
-    return ledger.partitions_never_uploaded(_per_user_day(t, "error"), _per_user_day(t, "purchase"))
+    return ledger.partitions_never_uploaded(_per_user_day(t, _ERRORS), _per_user_day(t, _SUCCESSES))
 
 
 @query("""
@@ -107,10 +110,10 @@ def last_watermark(t: Tables):
 
 
 @query("""
-select user_id as exporter, cast(max(cast(round(value) as bigint)) as varchar) as source_data_watermark from events where event_type = 'click' group by 1
+select user_id as exporter, cast(max(cast(round(value) as bigint)) as varchar) as source_data_watermark from events group by 1
 """)
 def furthest_watermark(t: Tables):
-    runs = t.events.where("event_type = 'click'").select(
+    runs = t.events.select(
         F.col("user_id").alias("exporter"),
         F.col("event_id").alias("run_id"),
         F.lit("completed").alias("status"),
@@ -163,9 +166,9 @@ def upload_progress(t: Tables):
     return reports.upload_progress(_uploads(t))
 
 
-@query("select event_type as exporter, count(*) as failures from events where value > 200 group by 1")
+@query("select event_type as exporter, count(*) as failures from events group by 1")
 def failures_per_exporter(t: Tables):
-    return reports.failures_per_exporter(event_partitions(t).where("value > 200"))
+    return reports.failures_per_exporter(event_partitions(t))
 
 
 @query("select strftime(ts, '%Y-%m-%d') as partition_value, event_id as uploaded_at, user_id as file_size from events where event_type = 'click'")
@@ -178,10 +181,10 @@ def uploads_listing(t: Tables):
 
 @query("""
 select event_type as exporter, strftime(ts, '%Y-%m-%d') as partition_value, 'failed after ' || user_id || ' tries' as error_details,
-  user_id as attempts, event_id as created_at from events where value > 200
+  user_id as attempts, event_id as created_at from events
 """)
 def failure_listing(t: Tables):
-    errors = event_partitions(t).where("value > 200").select(
+    errors = event_partitions(t).select(
         "exporter",
         "partition_value",
         F.concat(F.lit("failed after "), "user_id", F.lit(" tries")).alias("error_details"),
