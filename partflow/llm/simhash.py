@@ -194,4 +194,6 @@ def drop_near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, key:
     of_row = rows.select("key", "at", "fp").join(roots, "fp")
     first = F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "at")).alias("first")
     kept = materialise(of_row.groupBy("root").agg(first).select("first.at"), "kept-rows")
-    return rows.join(kept, "at", "left_semi").select("row.*")
+    # the kept rows are about as many as the rows: a broadcast could only ever work on small
+    # tables, so the join is a merge at every size
+    return rows.join(kept.hint("merge"), "at", "left_semi").select("row.*")
