@@ -51,8 +51,8 @@ _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "hex": r"(?<![A-Za-z0-9])(?=[0-9a-f]{0,127}[a-f])[0-9a-f]{32,128}(?![A-Za-z0-9])",
-    "password": r"(?<=(?:password|passwd|pwd)[=:])[^\s\"']{4,256}",
+    "hex": r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]{0,127}[A-Fa-f])[0-9A-Fa-f]{32,128}(?![A-Za-z0-9])",
+    "password": r"(?<=(?i:password|passwd|pwd)[=:])[^\s\"']{4,256}",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "iban": r"(?<![\w])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -63,6 +63,8 @@ PATTERNS = {
 }
 _ALL = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _OTHERS = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "name")
+#: Found in every text in which one of the other patterns is.
+HINT = "[0-9@]|[Pp][Aa][Ss][Ss][Ww]|[Pp][Ww][Dd]"
 _DIGITS = ("card", "phone", "ssn", "iban")
 #: Draws after which something is wrong with the corpus or the key.
 MOST_DRAWS = 64
@@ -121,7 +123,7 @@ def _parts(match: Column, gap: Column) -> Column:
     name = F.when(titled & (F.size(words) == 2), F.array(surname(title))).otherwise(full)
     out = F.when(whole(PATTERNS["email"]), one("email", F.lower(match)))
     out = out.when(whole(PATTERNS["key"]), one("key", match))
-    out = out.when(whole(PATTERNS["hex"]), one("hex", match))
+    out = out.when(whole(PATTERNS["hex"]), one("hex", F.lower(match)))
     out = out.when(whole(PATTERNS["ip"]), one("ip", match))
     out = out.when(whole(PATTERNS["ssn"]), one("ssn", alnum))
     card = F.when(_luhn(alnum, 0) % 10 == 0, F.array(_part(gap, F.lit("card"), alnum, match)))
@@ -129,7 +131,8 @@ def _parts(match: Column, gap: Column) -> Column:
     out = out.when(match.rlike(r"\A[+(]?\d[\d ().-]+\z"), one("phone", alnum))
     out = out.when(whole(r"[A-Z]{2}\d{2}[A-Z0-9 ]{12,40}"), one("iban", alnum))
     out = out.when(whole(rf"(?:(?:{_TITLE})\.? {_NAME}(?: {_NAME})?|(?:{_KNOWN}) {_NAME})"), name)
-    return out.otherwise(one("password", match))
+    # a password in capitals only is that of a text in capitals
+    return out.otherwise(one("password", F.when(F.upper(match) == match, F.lower(match)).otherwise(match)))
 
 
 def _with_stream(entities: DataFrame, draw: int, secret: str) -> DataFrame:
@@ -202,7 +205,7 @@ def _render(kind: Column, raw: Column, made: Column) -> Column:
         return F.when(c.rlike("[0-9A-Za-z]"), _at(made, k)).otherwise(c)
 
     spaced = F.array_join(F.transform(F.sequence(F.lit(1), F.length(raw)), one), "")
-    loud = kind.rlike("^(?:email|given|surname)") & (F.upper(raw) == raw) & (F.lower(raw) != raw) & (F.length(raw) > 1)
+    loud = kind.rlike("^(?:email|hex|password|given|surname)") & (F.upper(raw) == raw) & (F.lower(raw) != raw) & (F.length(raw) > 1)
     return F.when(kind.isin(*_DIGITS), spaced).when(loud, F.upper(made)).otherwise(made)
 
 
@@ -244,7 +247,7 @@ def replace_personal_data(docs: DataFrame, secret: str = "change me", text: str
     columns = docs.columns
     body = F.col(text)
     # cheap looks first: most texts have neither a digit nor a sign that others need
-    hint = body.rlike("[0-9@]") | body.contains("password") | body.contains("passwd") | body.contains("pwd")
+    hint = body.rlike(HINT)
     words = F.split(F.translate(body, _BETWEEN, " " * len(_BETWEEN)), " ")
     named = F.arrays_overlap(words, F.array(*map(F.lit, f"{_TITLE}|{_KNOWN}".split("|")))) & body.rlike(PATTERNS["name"])
     has = F.coalesce((hint & body.rlike(_OTHERS)) | named, F.lit(False))

@@ -1,0 +1,24 @@
+"""Secrets in any spelling."""
+
+import re
+
+from partflow.llm import surrogates
+
+TOKEN = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b"
+
+
+def replaced(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r.text for r in sorted(surrogates.replace_personal_data(frame, "a secret").collect(), key=lambda r: r.doc_id)]
+
+
+def test_capitals_of_tokens_and_of_password_words(spark):
+    mixed = "9233A8ecf7c5b09fe5949719b6b82bc439e9329B"
+    texts = [f'TOKEN = "{TOKEN.upper()}"', f'token = "{TOKEN}"', f"token = {mixed}", "PASSWORD=HUNTER7XY", "Password:hunter7xy", "Pwd=Hunter7xY", "PASSWD:noDigitsHere"]
+    out = replaced(spark, texts)
+    loud, quiet = re.fullmatch(r'TOKEN = "([0-9A-F]{40})"', out[0]), re.fullmatch(r'token = "([0-9a-f]{40})"', out[1])
+    assert loud and quiet and loud[1].lower() == quiet[1] != TOKEN and mixed not in out[2]
+    assert out[2].removeprefix("token = ").lower() == quiet[1]
+    word = re.fullmatch(r"PASSWORD=([A-Z]{6}[0-9][A-Z]{2})", out[3])
+    assert word and word[1] != "HUNTER7XY" and out[4] == "Password:" + word[1].lower()
+    assert re.fullmatch(r"Pwd=[A-Z][a-z]{5}[0-9][a-z][A-Z]", out[5]) and out[5] != texts[5] and out[6] != texts[6]
