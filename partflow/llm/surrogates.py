@@ -64,7 +64,7 @@ PATTERNS = {
 _ALL = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _OTHERS = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "name")
 #: Found in every text in which one of the other patterns is.
-HINT = "[0-9@]|[Pp][Aa][Ss][Ss][Ww]|[Pp][Ww][Dd]"
+HINT = "[0-9@]|AKIA|ASIA|[A-Fa-f]{32}|[Pp][Aa][Ss][Ss][Ww]|[Pp][Ww][Dd]"
 _DIGITS = ("card", "phone", "ssn", "iban")
 #: Draws after which something is wrong with the corpus or the key.
 MOST_DRAWS = 64
