@@ -8,7 +8,8 @@ which a pivot can come are known when the index is built: an item below it witho
 of its essential terms is never a pivot. Pivots in blocks whose maxima add up to less
 than the threshold are skipped with their block; the rest are scored in full.
 Retrieved items are then verified: the passage must hold most of the item's question and
-most of its answer, as runs of five words.
+most of its answer, as runs of five words, or most of the words of an item without a
+separate answer in their order.
 """
 
 from __future__ import annotations
@@ -61,14 +62,40 @@ def runs(words: list, width: int = RUN) -> set[tuple]:
     return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} if words else set()
 
 
+def in_order(wanted: list, passage: list) -> float:
+    """Share of the wanted words that stand in this order in a stretch of the passage about a quarter longer than they are.
+
+    The longest common subsequence; the bits of an integer are the words wanted.
+    """
+    n = len(wanted)
+    every, places = (1 << n) - 1, {}
+    for i, word in enumerate(wanted):
+        places[word] = places.get(word, 0) | 1 << i
+    step = max(1, n // 8)
+    span, most = stretch(n) + step, 0
+    for begin in range(0, max(1, len(passage) - span + step), step):
+        left = every
+        for word in passage[begin : begin + span]:
+            if word in places:
+                there = left & places[word]
+                left = (left + there | left - there) & every
+        most = max(most, n - left.bit_count())
+    return most / n
+
+
+def stretch(n: int) -> int:
+    """Words of a text in which an item of ``n`` words is looked for."""
+    return n + n // 4
+
+
 class Index:
-    """BM25 over items: ``(item_id, question words, answer words)``."""
+    """BM25 over items: ``(item_id, question words, answer words)``; no answer (None): the item is verified as a whole."""
 
     def __init__(self, items: list[tuple[int, list[str], list[str]]], threshold: float = THRESHOLD) -> None:
         self.items = [i for i in items if i[1] or i[2]]
         self.threshold = threshold
-        docs = [q + a if q is not a else q for _, q, a in self.items]
-        self.longest = max(map(len, docs), default=0)
+        docs = [q + a if a is not None and q is not a else q for _, q, a in self.items]
+        self.longest = max((stretch(len(d)) if i[2] is None else len(d) for d, i in zip(docs, self.items)), default=0)
         held = Counter(t for d in docs for t in set(d))
         n, mean = len(docs), sum(map(len, docs)) / max(1, len(docs))
         idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in held.items()}
@@ -92,8 +119,9 @@ class Index:
                 most[at // _BLOCK] = max(most.get(at // _BLOCK, 0.0), raw[t] / own)
         code = lambda ws: [self.term[w] for w in ws]
         self.question = [runs(code(q)) for _, q, _ in self.items]
-        self.answer = [runs(code(a)) for _, _, a in self.items]
-        self.width = [(min(RUN, len(q)), min(RUN, len(a))) for _, q, a in self.items]
+        self.answer = [runs(code(q if a is None else a)) for _, q, a in self.items]
+        self.width = [(min(RUN, len(q)), min(RUN, len(q if a is None else a))) for _, q, a in self.items]
+        self.whole = [code(q) if a is None and len(q) >= RUN else None for _, q, a in self.items]
 
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
         """Items (by place) with their share of their own score, if at the threshold or above."""
@@ -113,7 +141,10 @@ class Index:
         return found
 
     def verify(self, item: int, passage: list[int]) -> tuple[float, float]:
-        """Shares of the runs of the item's question and answer that a passage holds."""
+        """Shares of the item's question and answer that a passage holds, or twice that of the whole item."""
+        if self.whole[item] is not None:
+            share = in_order(self.whole[item], passage)
+            return share, share
         shares = []
         for wanted, width in zip((self.question[item], self.answer[item]), self.width[item]):
             held = {tuple(passage[i : i + width]) for i in range(len(passage) - width + 1)}
@@ -179,11 +210,14 @@ def find_leaks(
     item_text: str = "text",
     answer: str | None = None,
     index_items: int = INDEX_ITEMS,
+    whole: bool = False,
 ) -> DataFrame:
     """``key, item_id, first_word, score, question_overlap, answer_overlap`` for every item a document holds.
 
     One row for each document row and item, with the item's best passage. Without an
-    ``answer`` column the last quarter of an item's words is its answer. Null and
+    ``answer`` column the last quarter of an item's words is its answer or, with
+    ``whole``, an item is verified by its words in their order, which a changed word
+    does not undo; both overlaps are then that of the item. Null and
     wordless texts and items match nothing. Items of fewer than five words, or parts of
     them, are looked for as a whole. Repeated rows are judged each; rows that repeat an
     item id are items of their own; further columns are ignored; empty tables give no
@@ -194,7 +228,7 @@ def find_leaks(
     schema = f"key {kind}, item_id {item_kind.simpleString()}, first_word long, score double, question_overlap double, answer_overlap double"
     arrow_item = to_arrow_type(item_kind)
     found = None
-    for shared in _blocks(items, item, item_text, answer, index_items):
+    for shared in _blocks(items, item, item_text, answer, index_items, whole):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, threshold)
@@ -227,10 +261,11 @@ def drop_leaks(
     item_text: str = "text",
     answer: str | None = None,
     index_items: int = INDEX_ITEMS,
+    whole: bool = False,
 ) -> DataFrame:
     """The rows that hold no item as :func:`find_leaks` finds them, with all their columns."""
     at_text, schema = docs.columns.index(text), docs.schema
-    for shared in _blocks(items, item, item_text, answer, index_items):
+    for shared in _blocks(items, item, item_text, answer, index_items, whole):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, threshold)
@@ -245,7 +280,7 @@ def drop_leaks(
     return docs
 
 
-def _blocks(items: DataFrame, item: str, item_text: str, answer: str | None, size: int) -> list:
+def _blocks(items: DataFrame, item: str, item_text: str, answer: str | None, size: int, whole: bool = False) -> list:
     """Broadcasts of the items' words, ``size`` items each; one without items if there are none."""
     spark = items.sparkSession
     given = items.select(F.col(item).alias("item"), F.col(item_text).alias("text"), (F.col(answer) if answer else F.lit(None).cast("string")).alias("answer"))
@@ -254,5 +289,9 @@ def _blocks(items: DataFrame, item: str, item_text: str, answer: str | None, siz
         words = words_of(r["text"])
         if len(blocks[-1]) == size:
             blocks.append([])
-        blocks[-1].append((r["item"], *(split_item(words) if r["answer"] is None else (words, words_of(r["answer"])))))
+        if r["answer"] is not None:
+            parts = words, words_of(r["answer"])
+        else:
+            parts = (words, None) if whole else split_item(words)
+        blocks[-1].append((r["item"], *parts))
     return [spark.sparkContext.broadcast(block) for block in blocks]

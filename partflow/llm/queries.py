@@ -79,7 +79,7 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items that documents hold."""
-    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"), whole=True)
 
 
 @query()
