@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import decontaminate, ngrams, pieces, quality, simhash, surrogates, tokenfile, tokens, urls, vectors
+from partflow.llm import decontaminate, ngrams, pieces, quality, repeats, simhash, surrogates, tokenfile, tokens, urls, vectors
 from partflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Stupid-backoff score of every document under a model of all documents."""
     scores = ngrams.score_documents(table(spark, folder, "documents"))
     return scores.withColumn("score", F.round("score", 6))
+
+
+@query()
+def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without its passages of 100 bytes that occur earlier."""
+    return repeats.remove_repeats(table(spark, folder, "documents"))
