@@ -130,7 +130,37 @@ def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumn("score", F.round("score", 6))
 
 
-@query()
+@query(
+    """
+    WITH d AS (
+        SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+    ), parts AS (
+        SELECT doc_id, unnest(list_transform(range(0, n - 99, 500), lambda p: {'a': p, 'm': least(500, n - 99 - p), 't': substr(h, 2 * p + 1, 1198)}),
+            recursive := true) FROM d
+    ), windows AS (
+        SELECT doc_id, unnest(list_transform(range(0, m), lambda i: {'p': a + i, 's': substr(t, 2 * i + 1, 200)}), recursive := true) FROM parts
+    ), firsts AS (
+        SELECT s, min({'d': doc_id, 'p': p}) AS f FROM windows GROUP BY s HAVING count(*) > 1
+    ), repeated AS (
+        SELECT doc_id, p FROM windows JOIN firsts ON windows.s = firsts.s WHERE {'d': doc_id, 'p': p} <> f
+    ), marked AS (
+        SELECT doc_id, p, p > lag(p, 1, -1000) OVER (PARTITION BY doc_id ORDER BY p) + 100 AS opens FROM repeated
+    ), numbered AS (
+        SELECT doc_id, p, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM marked
+    ), runs AS (
+        SELECT doc_id, run, min(p) AS a, max(p) + 100 AS b FROM numbered GROUP BY doc_id, run
+    ), gaps AS (
+        SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM runs
+    ), cut AS (
+        SELECT d.doc_id, sum(b - a) AS removed, count(*) AS spans,
+            string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+        FROM gaps JOIN d ON d.doc_id = gaps.doc_id GROUP BY d.doc_id
+    )
+    SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+        sha256(unhex(coalesce(kept, h))) AS kept_sha256
+    FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
+    """
+)
 def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without its passages of 100 bytes that occur earlier."""
     return repeats.remove_repeats(table(spark, folder, "documents"))
