@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import decontaminate, ngrams, pieces, quality, repeats, simhash, surrogates, tokenfile, tokens, urls, vectors
+from partflow.llm import decontaminate, ngrams, pieces, quality, repeats, simhash, surrogates, tokenfile, tokens, urls, variants, vectors
 from partflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,9 @@ def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
 def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without its passages of 100 bytes that occur earlier."""
     return repeats.remove_repeats(table(spark, folder, "documents"))
+
+
+@query()
+def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents and the words that they are spelling variants of."""
+    return variants.group_variants(table(spark, folder, "documents"))
