@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm import decontaminate, ngrams, pieces, quality, repeats, simhash, surrogates, tokenfile, tokens, urls, variants, vectors
+from partflow.llm import collocations, decontaminate, ngrams, pieces, quality, repeats, simhash, surrogates, tokenfile, tokens, urls, variants, vectors
 from partflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,3 +170,43 @@ def op13_repeats(spark: SparkSession, folder: str) -> DataFrame:
 def op12_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Words of all documents and the words that they are spelling variants of."""
     return variants.group_variants(table(spark, folder, "documents"))
+
+
+@query(
+    r"""
+    WITH cut AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), pieces AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM cut),
+    grams AS (
+        SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+        FROM pieces, (VALUES (1), (2), (3), (4)) AS sizes(size)
+    ), counted AS (SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL),
+    sums AS (SELECT lang, sum(a)::BIGINT AS n FROM counted WHERE size = 1 GROUP BY lang),
+    often AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, a FROM counted WHERE a >= 30),
+    inside AS (
+        SELECT lang, a AS longer, unnest(flatten(list_transform(range(2, size), lambda m:
+            list_transform(range(1, size - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))))) AS phrase
+        FROM often WHERE size > 2
+    ), most AS (SELECT lang, phrase, max(longer) AS longer FROM inside GROUP BY ALL),
+    kept AS (
+        SELECT often.* FROM often LEFT JOIN most ON often.lang = most.lang AND often.phrase = most.phrase
+        WHERE size > 1 AND NOT coalesce(100 * longer::HUGEINT >= 80 * a::HUGEINT, false)
+    ), cuts AS (
+        SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)
+    ), scored AS (
+        SELECT cuts.lang, cuts.phrase, cuts.a, k, h.a AS l, t.a AS r, ((2000000::HUGEINT * cuts.a) // (h.a::HUGEINT + t.a))::BIGINT AS score
+        FROM cuts JOIN often h ON h.lang = cuts.lang AND h.phrase = head JOIN often t ON t.lang = cuts.lang AND t.phrase = tail
+    ), lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM scored),
+    ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+        FROM lowest WHERE nth = 1
+    )
+    SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sums ON sums.lang = ranked.lang WHERE rank <= 2000
+    """
+)
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return collocations.collocations(table(spark, folder, "documents"))

@@ -61,11 +61,19 @@ def test_large_groups_and_common_strings_change_nothing(spark, monkeypatch):
     assert removed(spark, rows, width=60, gram=16) == want
 
 
-def test_runs_of_one_byte_and_long_texts(spark, monkeypatch):
+def test_runs_of_one_byte(spark):
     rows = [(1, "a" * 1000), (2, "a" * 150), (3, "b" * 99), (4, "c" * 100), (5, "xyz" * 400), (6, "a" * 99)]
     assert removed(spark, rows) == plainly(rows, 100)
-    monkeypatch.setattr(repeats, "_STRETCH", 64)
-    assert removed(spark, rows) == plainly(rows, 100)
+
+
+def test_every_window_is_in_one_cell_however_long_the_text(monkeypatch):
+    texts = [("a" * 1000).encode(), b"", b"xyz" * 400, bytes(range(200)) * 3, b"b" * 99]
+    for stretch in (1 << 22, 64):
+        monkeypatch.setattr(repeats, "_STRETCH", stretch)
+        owner, first, count, offset, *_ = repeats.cells(texts)
+        windows = [(o, p) for o, f, n in zip(owner.tolist(), first.tolist(), count.tolist()) for p in range(f, f + n)]
+        assert windows == [(i, p) for i, t in enumerate(texts) for p in range(len(t) - 99)]
+        assert (offset >= count - 1).all() and (offset <= 100 - 32).all()
 
 
 def test_nulls_repeated_rows_and_clashing_columns(spark):
