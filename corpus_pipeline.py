@@ -22,7 +22,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: 0.8 or more of their five-word shingles in common.
 
-    The three bits of op3 find only copies that are all but equal."""
+    Fingerprints of five-word shingles are compared bit-sliced within a radius wide enough
+    for that, among texts that min-hash bands bring together, and verified exactly."""
     return similar.drop_similar(docs)
 
 

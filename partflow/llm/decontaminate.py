@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from partflow.llm.common import in_batches
+from partflow.llm.common import in_batches, numbered
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score at which it is retrieved, and share of runs that verifies it.
@@ -264,20 +264,20 @@ def drop_leaks(
     whole: bool = False,
 ) -> DataFrame:
     """The rows that hold no item as :func:`find_leaks` finds them, with all their columns."""
-    at_text, schema = docs.columns.index(text), docs.schema
+    at_text, names, docs = docs.columns.index(text), docs.columns, numbered(docs)
+    schema = docs.schema
     for shared in _blocks(items, item, item_text, answer, index_items, whole):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = Index(shared.value, threshold)
             places, size = Places(index.term), max(passage, 2 * index.longest)
             for batch in batches:
-                named = pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
-                for part, texts in in_batches([named], str(at_text)):
+                for part, texts in in_batches([batch], f"c{at_text}"):
                     clean_ = [not search_text(index, places, one, size, overlap) for one in texts]
                     yield pa.RecordBatch.from_arrays(part.filter(pa.array(clean_)).columns, batch.schema.names)
 
         docs = docs.mapInArrow(run, schema)
-    return docs
+    return docs.toDF(*names)
 
 
 def _blocks(items: DataFrame, item: str, item_text: str, answer: str | None, size: int, whole: bool = False) -> list:

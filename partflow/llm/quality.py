@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.llm.common import in_batches, materialise
+from partflow.llm.common import in_batches, materialise, numbered
 
 #: Features; the weights that are broadcast are this many doubles, 2 MB.
 DIMS = 1 << 18
@@ -152,12 +152,12 @@ def keep_good(docs: DataFrame, weights: np.ndarray | None, text: str = "text", t
         w, hashes = shared.value, Hashes()
         least = np.log(threshold / (1 - threshold))
         for batch in batches:
-            named = pa.RecordBatch.from_arrays(batch.columns, [str(i) for i in range(batch.num_columns)])
-            for part, texts in in_batches([named], str(at_text)):
+            for part, texts in in_batches([batch], f"c{at_text}"):
                 good = []
                 for one in texts:
                     at, x = features(one, hashes)
                     good.append(bool(w[at] @ x + w[DIMS] >= least))
                 yield pa.RecordBatch.from_arrays(part.filter(pa.array(good)).columns, batch.schema.names)
 
-    return docs.mapInArrow(run, docs.schema)
+    rows = numbered(docs)
+    return rows.mapInArrow(run, rows.schema).toDF(*docs.columns)

@@ -1,11 +1,17 @@
-"""Near copies by the Jaccard similarity of their five-word shingles, verified exactly.
+"""Near copies by the Jaccard similarity of their five-word shingles, found by SimHash and verified exactly.
 
 Equal sets of shingles are one class. Classes that agree in a band of their min-hashes are
-candidates of each other; what candidates join, directly or over others, comes together,
-and there every pair is verified: shingles are ordered rare ones first, a similar pair
-shares one of the first few of its sets, and pairs that do are compared in full. A pair at
-the threshold is missed if all bands differ, which at 0.8 has a probability of 5 in 100,000
-and less above.
+candidates of each other; what candidates join, directly or over others, comes together.
+There the SimHash fingerprints of the sets are compared bit-sliced, as in ``simhash`` but
+with a radius wide enough for the similarity, and the pairs within it are compared in
+full. A pair at the threshold is missed if all bands differ, which at 0.8 has a probability
+of 5 in 100,000, or if its fingerprints differ in more than ``RADIUS`` bits, whose
+probability is a tenth of that (as large for sets of few shingles); above 0.8 both fall.
+
+A large group is cut into chunks. Each chunk is compared within itself and with one member
+of the group, its leader. What is joined to the leader needs no comparison across chunks
+with its like; only the members that are not are compared with all the others. So a large
+group of copies costs one pass over its texts, whatever its size.
 """
 
 from __future__ import annotations
@@ -19,14 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from partflow.llm.common import in_batches, materialise
+from partflow.llm.common import in_batches, materialise, maybe_among, quoted
 from partflow.llm.graph import components
-from partflow.llm.units import chunk_pairs, sorted_groups
+from partflow.llm.simhash import near_pairs
+from partflow.llm.units import forest, sorted_groups
 
 WIDTH = 5
 SIMILARITY = 0.8
 #: Bands of min-hashes, and min-hashes in a band.
 BANDS, DEPTH = 25, 5
+#: Bits in which the fingerprints of similar sets differ at most.
+RADIUS = 24
 #: Texts in a chunk of a group that is compared chunk by chunk.
 CHUNK = 512
 _AT_ONCE = 1 << 13
@@ -64,40 +73,40 @@ def bands(found: np.ndarray) -> np.ndarray:
     return out
 
 
+def sketch(found: np.ndarray) -> int:
+    """SimHash fingerprint of a set of hashes."""
+    counts = np.zeros(64, np.int64)
+    for at in range(0, len(found), 1 << 16):
+        bits = np.unpackbits(found[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > len(found), bitorder="little").view(np.uint64)[0])
+
+
 def similar_links(sets: list[np.ndarray], part: np.ndarray, similarity: float = SIMILARITY) -> list[tuple[int, int]]:
     """Pairs of sets that join what the pairs of ``similarity`` or more join.
 
     ``part`` is 0 or 1 for each set if only pairs across are asked for, and -1 otherwise.
     """
     sizes = np.array([len(s) for s in sets])
-    _, inverse, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(counts), np.int64)
-    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))  # rare ones first
-    held = [np.sort(r) for r in np.split(rank[inverse], np.cumsum(sizes)[:-1])]
-    single = int((counts == 1).sum())  # the lowest ranks
-    heads = [h[: len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1] for h in held]
-    heads = [h[h >= single] for h in heads]
-    shared = np.concatenate(heads)
-    owner = np.repeat(np.arange(len(sets)), [len(h) for h in heads])
-    order = np.argsort(shared, kind="stable")
+    fps = np.array([sketch(s) for s in sets], np.uint64)
+    least, most = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+    allowed = np.triu(least >= similarity * most - 1e-9, 1)
+    allowed &= (part[:, None] < 0) | (part[:, None] != part[None, :])
     root = np.arange(len(sets))
-    tried: set[tuple[int, int]] = set()
     links = []
-    for group in np.split(owner[order], np.flatnonzero(np.diff(shared[order])) + 1) if len(shared) else []:
-        if len(group) < 2 or (root[group] == root[group[0]]).all():
-            continue
-        for n, i in enumerate(group.tolist()):
-            rest = group[n + 1 :]
-            for j in rest[(root[rest] != root[i]) & ((part[rest] < 0) | (part[rest] != part[i]))].tolist():
-                if root[i] == root[j] or (i, j) in tried:
-                    continue
-                tried.add((i, j))
-                if min(sizes[i], sizes[j]) < similarity * max(sizes[i], sizes[j]) - 1e-9:
-                    continue
-                both = len(np.intersect1d(held[i], held[j], assume_unique=True))
-                if both >= similarity * (sizes[i] + sizes[j] - both) - 1e-9:
-                    links.append((i, j))
-                    root[root == root[j]] = root[i]
+    first, second = near_pairs(fps, allowed, RADIUS)
+    order = np.lexsort((second, first))
+    first, second = first[order], second[order]
+    begin = np.flatnonzero(np.diff(first, prepend=-1))
+    for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(first)]):
+        i = int(first[a])
+        for j in second[a:b][root[second[a:b]] != root[i]].tolist():
+            if root[i] == root[j]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if both >= similarity * (sizes[i] + sizes[j] - both) - 1e-9:
+                links.append((i, j))
+                root[root == root[j]] = root[i]
     return links
 
 
@@ -109,39 +118,76 @@ def _candidates(classes: DataFrame) -> DataFrame:
     return components(banded.join(low, "band").where("set <> low"), "set", "low").withColumnRenamed("node", "set")
 
 
-def _verified(texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Links ``a, b`` that join what similar texts join within a component; ``texts`` has ``set, component, text``."""
-    sizes = texts.groupBy("component").agg(F.count("*").alias("size"))
-    large = materialise(sizes.where(F.col("size") > CHUNK).select("component", F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")), "large-groups")
-    rows = texts.join(large, "component", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    chunk = F.pmod(F.xxhash64("set", F.lit(7)), F.col("chunks")).cast("int")
-    units = rows.select("component", "set", "text", F.explode(chunk_pairs(chunk, F.col("chunks"))).alias("u")).select("component", "u.ci", "u.cj", "u.side", "set", "text")
-    by = ["component", "ci", "cj"]
+def _units(rows: DataFrame, by: list[str], compare, schema: str) -> DataFrame:
+    """What ``compare`` finds in each group of rows, given as columns; groups are tasks of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, starts in sorted_groups(batches, by):
-            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), rows.num_rows]):
-                if end - start < 2:
-                    continue
-                unit = rows.slice(start, end - start)
-                across = unit.column("ci")[0] != unit.column("cj")[0]
-                part = unit.column("side").to_numpy() if across else np.full(end - start, -1)
-                links = similar_links([shingles(t.as_py() or "", width) for t in unit.column("text")], part, similarity)
-                ids = unit.column("set").to_numpy()
-                ends = [pa.array(ids[np.array([p[k] for p in links], np.int64)]) for k in (0, 1)]
-                yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+        for table, starts in sorted_groups(batches, by):
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows]):
+                if end - start > 1:
+                    yield compare(table.slice(start, end - start))
+
+    return rows.repartition(*by).sortWithinPartitions(*by, "set").mapInArrow(run, schema)
 
-    return units.repartition(*by).sortWithinPartitions(*by, "set").mapInArrow(run, "a long, b long")
+
+def _links(ids: np.ndarray, found: list[tuple[int, int]]) -> list[pa.Array]:
+    return [pa.array(ids[np.array([p[k] for p in found], np.int64)], pa.int64()) for k in (0, 1)]
+
+
+def _verified(texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Links ``a, b`` that join what similar texts join within a component; ``texts`` (written) has ``set, component, text``."""
+    sizes = texts.groupBy("component").agg(F.count("*").alias("size"), F.min("set").alias("leader"))
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int").alias("chunks")
+    large = materialise(sizes.where(F.col("size") > CHUNK).select("component", "leader", chunks), "large-groups")
+    rows = texts.join(large, "component", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    own = F.pmod(F.xxhash64("set", F.lit(7)), F.col("chunks")).cast("int")
+    rows = rows.withColumn("own", own)
+    leads = F.coalesce(F.col("set") == F.col("leader"), F.lit(False))
+    at = F.when(leads, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))
+    first = rows.select("component", "set", "text", "leader", F.explode(at).alias("chunk"))
+
+    def within(unit: pa.Table) -> pa.RecordBatch:
+        ids, component, leader = unit.column("set").to_numpy(), unit.column("component")[0].as_py(), unit.column("leader")[0].as_py()
+        found = similar_links([shingles(t.as_py() or "", width) for t in unit.column("text")], np.full(len(ids), -1), similarity)
+        a, b = _links(ids, found)
+        if leader is None:
+            return pa.RecordBatch.from_arrays([a, b, pa.nulls(len(found), pa.int64())], ["a", "b", "component"])
+        to = forest(len(ids), *np.array(found, np.int64).reshape(-1, 2).T)
+        apart = ids[to != to[np.flatnonzero(ids == leader)[0]]]
+        arrays = [pa.concat_arrays([a, pa.array(apart, pa.int64())]), pa.concat_arrays([b, pa.nulls(len(apart), pa.int64())])]
+        place = pa.array([None] * len(found) + [component] * len(apart), pa.int64())
+        return pa.RecordBatch.from_arrays([*arrays, place], ["a", "b", "component"])
+
+    found = materialise(_units(first, ["component", "chunk"], within, "a long, b long, component long"), "chunk-links")
+    apart = found.where("component IS NOT NULL").select("component", F.col("a").alias("set"))
+    groups = apart.groupBy("component").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
+    groups = materialise(groups, "groups-apart")
+    every = rows.join(groups, "component").select("component", "set", "text", "chunks", "own", "parts")
+    part = F.pmod(F.xxhash64("set", F.lit(8)), F.col("parts")).cast("int")
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    theirs = every.select("component", "set", "text", F.col("own").alias("chunk"), numbers("parts").alias("part"), F.lit(1).alias("side"))
+    mine = every.join(apart, ["component", "set"], "left_semi")
+    mine = mine.select("component", "set", "text", numbers("chunks").alias("chunk"), part.alias("part"), F.lit(0).alias("side"))
+
+    def across(unit: pa.Table) -> pa.RecordBatch:
+        ids, side = unit.column("set").to_numpy(), unit.column("side").to_numpy()
+        links = similar_links([shingles(t.as_py() or "", width) for t in unit.column("text")], side, similarity)
+        return pa.RecordBatch.from_arrays(_links(ids, links), ["a", "b"])
+
+    further = _units(mine.unionByName(theirs), ["component", "chunk", "part"], across, "a long, b long")
+    return found.where("b IS NOT NULL").select("a", "b").unionAll(further)
 
 
 def drop_similar(docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group that texts of ``similarity`` or more join, with all its columns: that with the smallest key.
 
     Null keys come last, and of rows with equal keys one stays. Null and wordless texts are
-    alike. Runs jobs when called.
+    alike; a text of fewer words than ``width`` is one shingle. Whole texts are compared,
+    however long. An empty table gives no rows; further columns come along, whatever they
+    are called. Runs jobs when called.
     """
     # read back once written, the numbers of rows are fixed
-    marked = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+    marked = docs.select(F.struct(*quoted(docs.columns)).alias("row"), F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     marked = marked.withColumn("at", F.monotonically_increasing_id())
     found = [T.StructField("set", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
     schema = T.StructType([marked.schema["row"], marked.schema["key"], marked.schema["at"], *found])
@@ -159,9 +205,13 @@ def drop_similar(docs: DataFrame, similarity: float = SIMILARITY, width: int = W
     classes = materialise(rows.groupBy("set").agg(first).select("set", "first", "first.at", "first.bands"), "shingle-sets")
     near = materialise(_candidates(classes), "candidates")
     near = materialise(classes.select("set", "at").join(near, "set"), "near-rows")
-    texts = rows.select("at", F.col("row").getField(text).alias("text")).join(near, "at").select("set", "component", "text")
+    # texts are shuffled only of rows that may be among the wanted ones, see maybe_among
+    texts = rows.where(maybe_among(near, "at")(F.col("at"))).select("at", F.col("row").getField(text).alias("text"))
+    texts = texts.join(near.hint("merge"), "at").select("set", "component", "text")
     links = components(_verified(materialise(texts, "near-texts", "zstd"), width, similarity)).select(F.col("node").alias("set"), "component")
     roots = classes.select("set", F.struct("first.no_key", "first.key", "first.at").alias("first")).join(links, "set", "left")
-    kept = roots.groupBy(F.coalesce("component", "set").alias("root")).agg(F.min("first").alias("first")).select("first.at")
-    # as in drop_near_duplicates
-    return rows.join(materialise(kept, "kept-rows").hint("merge"), "at", "left_semi").select("row.*")
+    kept = materialise(roots.groupBy(F.coalesce("component", "set").alias("root")).agg(F.min("first").alias("first")).select("first.at"), "kept-rows")
+    dropped = materialise(rows.select("at").join(kept, "at", "left_anti"), "dropped-rows")
+    doubtful = maybe_among(dropped, "at")(F.col("at"))
+    checked = rows.where(doubtful).join(dropped.hint("merge"), "at", "left_anti")
+    return rows.where(~doubtful).select("row.*").unionAll(checked.select("row.*"))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from partflow.llm.common import materialise
+from partflow.llm.common import materialise, quoted
 
 #: Given names by gender and script; more are made by joining two or more.
 GIVEN = {
@@ -252,7 +252,7 @@ def replace_personal_data(docs: DataFrame, secret: str = "change me", text: str
     named = F.arrays_overlap(words, F.array(*map(F.lit, f"{_TITLE}|{_KNOWN}".split("|")))) & body.rlike(PATTERNS["name"])
     has = F.coalesce((hint & body.rlike(_OTHERS)) | named, F.lit(False))
     matches = F.regexp_extract_all(F.col("body"), F.lit(_ALL), F.lit(0))
-    rows = docs.where(has).select(F.struct(*columns).alias("row"), body.alias("body"))
+    rows = docs.where(has).select(F.struct(*quoted(columns)).alias("row"), body.alias("body"))
     cut = rows.select("row", matches.alias("matches"), F.split("body", _ALL, -1).alias("gaps"))
     parts = F.flatten(F.transform("matches", lambda m, i: _parts(m, F.get(F.col("gaps"), i))))
     # read back once written, the numbers of rows are fixed
