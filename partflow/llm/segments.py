@@ -22,7 +22,7 @@ from partflow.llm.common import tokenizer_file
 #: A space with white space beside it may belong to the piece before it.
 _UNEVEN = re.compile(r"\s\s")
 _EVEN_SPACE = re.compile(r"(?<=\S)(?= \S)")
-_SOLID = re.compile(r"\S+")
+_LINE = re.compile(r" ?\S+")
 #: Pieces that the library gets at a time.
 _TOGETHER = 64
 
@@ -85,20 +85,21 @@ class Library:
         """Ids of each piece, as bytes of type ``kind``.
 
         Most pieces are given to the library many at a time, each on a line of its own: a
-        line break after a piece without white space is a token of its own.
+        line break between two pieces without white space inside is a token of its own.
         """
         width = np.dtype(kind).itemsize
         out: dict[int, bytes] = {}
-        lines = [i for i, p in enumerate(pieces) if _SOLID.fullmatch(p)]
+        given = [p[1:] if p[:1] == "\n" else " " + p for p in pieces]
+        lines = [i for i, p in enumerate(given) if _LINE.fullmatch(p)]
         groups = [lines[i : i + _TOGETHER] for i in range(0, len(lines), _TOGETHER)]
-        for group, ids in zip(groups, self.encode(["\n".join([" " + pieces[i] for i in group]) for group in groups])):
+        for group, ids in zip(groups, self.encode(["\n".join([given[i] for i in group]) for group in groups])):
             ids = np.asarray(ids, kind)
             data, begin = ids.tobytes(), 0
             for i, end in zip(group, np.append(np.flatnonzero(ids == self.line), len(ids)).tolist(), strict=True):
                 out[i] = data[begin * width : end * width]
                 begin = end + 1
         rest = [i for i in range(len(pieces)) if i not in out]
-        alone = [pieces[i][1:] if pieces[i][:1] == "\n" else " " + pieces[i] for i in rest]
+        alone = [given[i] for i in rest]
         out.update((i, np.asarray(ids, kind).tobytes()) for i, ids in zip(rest, self.encode(alone) if alone else []))
         return [out[i] for i in range(len(pieces))]
 
@@ -124,6 +125,18 @@ class Memo:
         self.known: dict[str, object] = {}
         self.bound, self.of = bound, of
 
+    def look(self, texts: list[list[str]]) -> list[list]:
+        """What is known of all pieces of these texts; those that are new are learned first."""
+        get = self.known.get
+        found = [list(map(get, pieces)) for pieces in texts]
+        gaps = [[i for i, value in enumerate(values) if value is None] for values in found]
+        new = [[pieces[i] for i in gap] for pieces, gap in zip(texts, gaps)]
+        self.learn(new)
+        for values, gap, pieces in zip(found, gaps, new):
+            for i, piece in zip(gap, pieces):
+                values[i] = self.known[piece]
+        return found
+
     def learn(self, texts: list[list[str]]) -> None:
         """Make sure that all pieces of these texts are known."""
         known = self.known

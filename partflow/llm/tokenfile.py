@@ -49,27 +49,34 @@ _BLOCK = (
 
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n``, ``ids`` (two bytes an id if the vocabulary allows, else four; little-endian)."""
+    """``doc_id``, ``n``, ``ids`` (two bytes an id if the vocabulary allows, else four; little-endian).
+
+    The last row of each task has no ids but ``counts``: how often each id occurs in all
+    of the task's, as 64-bit integers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lib = library(tokenizer)
         kind = np.dtype(id_type(lib.size))
         memo = ids_memo(tokenizer, CACHE_PIECES, kind.str)
-        known = memo.known.__getitem__
         last = np.asarray([end_id], kind).tobytes()
+        counts = np.zeros(max(lib.size, end_id + 1), np.int64)
         for batch, texts in in_batches(batches):
             cut = [lib.pieces(one) for one in texts]
-            memo.learn([p for p in cut if p is not None])
+            known = iter(memo.look([p for p in cut if p is not None]))
             rest = [one for one, p in zip(texts, cut) if p is None]
             whole = iter([np.asarray(i, kind).tobytes() for i in lib.encode(rest)] if rest else [])
-            ids = [(next(whole) if p is None else b"".join(map(known, p))) + last for p in cut]
+            ids = [(next(whole) if p is None else b"".join(next(known))) + last for p in cut]
+            counts += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(counts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(b) // kind.itemsize for b in ids], pa.int64()), pa.array(ids, pa.binary())],
-                ["doc_id", "n", "ids"],
+                [batch.column("doc_id"), pa.array([len(b) // kind.itemsize for b in ids], pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())],
+                ["doc_id", "n", "ids", "counts"],
             )
+        row = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([counts.astype("<i8").tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(row, ["doc_id", "n", "ids", "counts"])
 
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, "doc_id long, n long, ids binary"
+        run, "doc_id long, n long, ids binary, counts binary"
     )
 
 
@@ -77,20 +84,17 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def count_ids(tokens: DataFrame, kind: str) -> DataFrame:
-    """How often each id occurs in all documents: ``id``, ``n``; one bounded histogram per task."""
+def count_ids(tokens: DataFrame) -> DataFrame:
+    """How often each id occurs in all documents: ``id``, ``n``; from one bounded histogram per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(0, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                found = np.bincount(np.frombuffer(ids, kind), minlength=len(counts))
-                found[: len(counts)] += counts
-                counts = found
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["id", "n"])
+            for one in batch.column("counts").to_pylist():
+                counts = np.frombuffer(one, "<i8")
+                at = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], ["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.select("counts").where("counts IS NOT NULL").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 # --- the coder ------------------------------------------------------------------------
@@ -212,13 +216,14 @@ def write_token_file(docs: DataFrame, tokenizer: str, end_id: int, path: str, ke
     """Tokenize all texts and write them below ``path`` in ascending order of ``key``.
 
     A null text is an empty document (its end id only); null keys come first; rows that
-    repeat a key follow each other, ordered by their ids; further columns are ignored;
+    repeat a key follow each other, ordered by a hash of their ids, so that even a key of
+    very many rows is split over partitions; further columns are ignored;
     an empty table gives a file set without blocks.
     """
     spark, size = docs.sparkSession, library(tokenizer).size
     kind = id_type(size)
     tokens = materialise(tokenize(docs, tokenizer, end_id, key, text), "token-ids", "zstd")
-    counts = count_ids(tokens, kind).orderBy("id").toPandas()  # bounded by the vocabulary
+    counts = count_ids(tokens).orderBy("id").toPandas()  # bounded by the vocabulary
     freqs = Model.scaled(counts["n"].to_numpy(np.int64))
     model_rows = list(zip(counts["id"].tolist(), freqs.tolist()))
     spark.createDataFrame(model_rows, "id long, freq long").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
@@ -244,8 +249,8 @@ def write_token_file(docs: DataFrame, tokenizer: str, end_id: int, path: str, ke
             yield flush()
 
     total = int(counts["n"].sum())
-    ranges = tokens.select("doc_id", "ids").repartitionByRange(max(1, -(-total // PARTITION_IDS)), "doc_id")
-    ordered = ranges.sortWithinPartitions("doc_id", "ids")
+    ranges = tokens.where("counts IS NULL").select("doc_id", "ids").repartitionByRange(max(1, -(-total // PARTITION_IDS)), "doc_id", F.xxhash64("ids"))
+    ordered = ranges.sortWithinPartitions("doc_id", F.xxhash64("ids"))
     ordered.mapInArrow(run, _BLOCK).write.mode("overwrite").option("compression", "uncompressed").parquet(f"{path}/blocks")
 
 
@@ -282,16 +287,18 @@ def read_token_file(spark: SparkSession, path: str, with_ids: bool = True) -> Da
                 starts = ends - lengths
                 docs = np.frombuffer(row["doc_ids"], "<i8")
                 none = np.frombuffer(row["no_id"], "u1").astype(bool)
-                each = [ids[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
+                seen = memoryview(ids)
+                each = [seen[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
                 base = known.value[row["part"]] + row["before"]
                 arrays = [
                     pa.array(docs, pa.int64(), mask=none),
                     pa.array(starts + base, pa.int64()),
                     pa.array(lengths, pa.int64()),
                     pa.array([zlib.crc32(e) for e in each], pa.int64()),
-                    pa.array(each, pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(arrays[: len(columns)], columns)
+                if with_ids:
+                    arrays.append(pa.array([bytes(e) for e in each], pa.binary()))
+                yield pa.RecordBatch.from_arrays(arrays, columns)
 
     return blocks.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * with_ids)
 
