@@ -10,22 +10,27 @@ from pyspark.sql import types as T
 from partflow.catalogue.entries import Tables, day, query
 from partflow.catalogue.keyed import _PROFILE_SQL, _batch, _existing_profile, _responses
 from partflow.catalogue.partitions import STATS_DAILY_SQL
-from partflow.catalogue.quality import _EXPORT_SQL, _export
+from partflow.catalogue.quality import _EXPORT_SQL, _MEASURES_SQL, _authority, _export, _export_measures
 from partflow.functions.keys import source_date
 from partflow.operators import profile
+from partflow.operators.assets import STABLECOIN
 from partflow.operators.enrich import Enrichment, enrich
 from partflow.operators.ledger import run_summary
+from partflow.operators.measures import MEASURES
+from partflow.plans.assets import export_snapshot
+from partflow.plans.corrections import rewrite_measures
 from partflow.plans.enrichment import run_enrichment
 from partflow.plans.migrate import migrate_layout
 from partflow.plans.publish import PublishJob, Truth, publish_all, publish_dataset, retry_failed, validate_partitions
+from partflow.plans.reference_data import POOL_DATA, POOL_REGISTRATIONS, export_pools
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
 from partflow.sinks.snapshots import write_snapshot
 from partflow.sources.inventory import inventory
-from partflow.sources.partitions import footer_stats, read_partition, read_partitions, read_snapshot, read_with_source
-from partflow.sources.storage import Storage
-from partflow.spec import DAILY, EPOCH, PROFILE_SCHEMA, DatasetSpec
+from partflow.sources.partitions import footer_stats, read_exports, read_partition, read_partitions, read_snapshot, read_with_source
+from partflow.sources.storage import Move, Retry, Storage
+from partflow.spec import DAILY, EPOCH, POOL_DATA_SCHEMA, PROFILE_SCHEMA, DatasetSpec
 from partflow.streaming.discover import collect_stats, file_stream
 from partflow.streaming.publish import publish_new_partitions
 
@@ -257,3 +262,120 @@ def enrichment_run(t: Tables):
     run_enrichment(t.spark, job, _land(rows, _ORDERS), target, ledger, _NOW, layout=HIVE)
     published = read_partitions(t.spark, target, DatasetSpec("orders_enriched", "", "", EPOCH))
     return published.select("o_orderkey", "o_custkey", "drep_name", "partition_value")
+
+
+class _Refusing(Storage):
+    """Storage that has no room for some partitions."""
+
+    def replace(self, move: Move) -> None:
+        if move.target.endswith("-05"):
+            raise OSError(f"cannot move {move.source} to {move.target}")
+        super().replace(move)
+
+
+@query("""
+select 'events' as exporter, strftime(ts, '%Y-%m-%d') as partition_value,
+  case when day(ts) = 5 then 'upload_failed' else 'uploaded' end as outcome, case when day(ts) = 5 then 3 end as attempts
+from events group by all
+""")
+def publish_with_blocked_target(t: Tables):
+    ledger = Ledger(t.spark, new_dir(t.spark, "ledger"))
+    job = PublishJob(
+        _land_events(t), new_dir(t.spark, "published"), ledger, t.events.schema, retry=Retry(3, 0, 0), storage=_Refusing
+    )
+    results = publish_dataset(t.spark, job, _EVENTS, Truth(t.events, t.events, "event_id", day()), _NOW)
+    recorded = ledger.uploads().select("exporter", "partition_value", F.lit("uploaded").alias("recorded"))
+    errors = ledger.errors("upload_errors").select("exporter", "partition_value", "attempts")
+    beside = results.join(recorded, ["exporter", "partition_value"], "left").join(errors, ["exporter", "partition_value"], "left")
+    # what was moved and not recorded, or the other way round, would show
+    outcome = F.when(F.col("outcome") == F.coalesce("recorded", F.lit("upload_failed")), F.col("outcome")).otherwise("unrecorded")
+    return beside.select("exporter", "partition_value", outcome.alias("outcome"), "attempts")
+
+
+@query(f"""
+with {_MEASURES_SQL}
+select own.k as epoch, case when auth.k is null then own.treasury else auth.treasury end as treasury,
+  case when auth.k is null then own.reserves else auth.reserves end as reserves,
+  case when auth.k is null then own.fees else auth.fees end as fees,
+  case when auth.k is null then own.deposits_stake else auth.deposits_stake end as deposits_stake,
+  own.reserves as rewards_pot, cast(fees_of.y as varchar) as partition_value
+from own left join auth on own.k = auth.k join (select o_orderkey k, year(o_orderdate) y from orders) fees_of on fees_of.k = own.k
+""")
+def measure_rewrite(t: Tables):
+    own = _export_measures(t).join(t.orders.select(F.col("o_orderkey").alias("epoch"), F.year("o_orderdate").cast("string").alias("partition_value")), "epoch")
+    authority = _authority(own)
+    filed = own.select("epoch", *MEASURES, "rewards_pot", "partition_value")
+    base, ledger = _land(filed, _ORDERS), Ledger(t.spark, new_dir(t.spark, "ledger"))
+    rewrite_measures(t.spark, base, _ORDERS, authority, "epoch", ledger, _NOW)
+    schema = T.StructType([f for f in filed.schema.fields if f.name not in ("partition_value", "epoch")])
+    rows = t.spark.read.option("recursiveFileLookup", True).parquet(f"{base}/orders")
+    year = F.regexp_extract(F.col("_metadata.file_path"), "/epoch=([^/]+)/[^/]+$", 1).alias("partition_value")
+    return rows.select("epoch", *[f.name for f in schema.fields], year)
+
+
+@query("""
+select 'asset_data' as exporter, d || '.' || n as partition_value,
+  count(*) filter (where p_size <= case when n = 1 then 25 else 50 end and not (p_name like 'hot %' and p_type = 'ECONOMY')) as row_count
+from part, (values ('2024-02-01', 1), ('2024-02-01', 2), ('2024-02-02', 1)) as s(d, n) group by d, n
+""")
+def asset_snapshots(t: Tables):
+    # a morning and an evening snapshot, the morning's run repeated, and the next day's
+    assets = t.part.select(
+        "p_partkey", "p_size", F.lit(None).cast("string").alias("ticker"), F.col("p_name").alias("name"),
+        F.when(F.col("p_type") == "ECONOMY", STABLECOIN).otherwise(F.col("p_type")).alias("category"),
+        F.col("p_name").startswith("hot ").alias("is_meme"),
+    )
+    small = assets.where("p_size <= 25")
+    target, ledger = new_dir(t.spark, "published"), Ledger(t.spark, new_dir(t.spark, "ledger"))
+    for rows, hours in ((small, 8), (assets, 20), (small, 8), (small, 32)):
+        export_snapshot(t.spark, rows, target, ledger, _NOW + dt.timedelta(hours=hours))
+    return ledger.uploads().select("exporter", "partition_value", "row_count")
+
+
+@query("""
+with days as (select distinct cast(o_custkey as varchar) as pool_hash, day, '2024-02-0' || day as exported
+    from (select o_custkey, case when o_orderpriority < '3' then 1 when o_orderpriority < '4' then 2 else 3 end as day from orders)),
+rows as (select 'row' as kind, pool_hash as name, exported as day, cast(row_number() over (partition by pool_hash order by day) as bigint) as n from days)
+select * from rows union all select 'upload', 'off_chain_pool_data', exported, count(*) from days group by exported
+""")
+def pool_exports(t: Tables):
+    # three runs, each after another day of registrations; a pool registered again gets a new version
+    rank = F.col("o_orderpriority")
+    number = F.when(rank < "3", 1).when(rank < "4", 2).otherwise(3)
+    pools = t.orders.select(F.col("o_custkey").cast("string").alias("pool_id"), number.alias("number"))
+    base, out, ledger = new_dir(t.spark, "landed"), new_dir(t.spark, "exports"), Ledger(t.spark, new_dir(t.spark, "ledger"))
+    document = F.to_json(F.struct(F.col("pool_id"), F.lit("T").alias("ticker")))
+    answers = pools.select("pool_id").distinct().select(
+        F.col("pool_id").alias("id"), F.lit(200).alias("http_status"), document.alias("body"),
+        F.lit(None).cast("string").alias("transport_error"), F.lit(_NOW).alias("fetched_at"),
+    )
+    answers = materialise(answers, "answers")
+    for n in (1, 2, 3):
+        day_rows = pools.where(F.col("number") == n).select("pool_id", F.lit(f"2024-01-0{n}").alias("partition_value"))
+        publish_partitions(day_rows, base, POOL_REGISTRATIONS, HIVE)
+        export_pools(t.spark, base, out, answers, ledger, _NOW + dt.timedelta(days=n - 1))
+    rows = read_exports(t.spark, out, POOL_DATA, POOL_DATA_SCHEMA)
+    exported = rows.select(F.lit("row").alias("kind"), F.col("pool_hash").alias("name"), F.col("date").alias("day"), F.col("version").cast("bigint").alias("n"))
+    uploads = ledger.uploads().select(F.lit("upload").alias("kind"), F.col("exporter").alias("name"), F.col("partition_value").alias("day"), F.col("row_count").alias("n"))
+    return exported.unionAll(uploads)
+
+
+@query("""
+with types as (select event_type as exporter, count(*) as n, max(value) > 300 as broke_off from events group by 1)
+select exporter, 'first' as run, n as records_fetched, 'completed' as status, false as told from types where not broke_off
+union all select exporter, 'first', 0, 'failed', true from types where broke_off
+union all select exporter, 'second', n, 'completed', false from types
+""")
+def abandoned_runs(t: Tables):
+    # the drivers of some exporters died in their first run; two days later the second one closes it
+    ledger = Ledger(t.spark, new_dir(t.spark, "ledger"))
+    types = t.events.groupBy("event_type").agg(F.count("*").alias("n"), (F.max("value") > 300).alias("broke_off"))
+    kinds = types.orderBy("event_type").toLocalIterator()  # the few types of events
+    for kind in list(kinds):
+        for when, broke_off in ((_NOW, kind.broke_off), (_NOW + dt.timedelta(days=2), False)):
+            run = ledger.start_run(kind.event_type, when)
+            if not broke_off:
+                ledger.complete_run(run, when, kind.n, kind.n)
+    named = F.when(F.col("run_started_at") < F.lit(_NOW + dt.timedelta(days=1)), "first").otherwise("second")
+    told = F.coalesce(F.col("error_details").contains("broke off"), F.lit(False))
+    return ledger.runs().select("exporter", named.alias("run"), "records_fetched", "status", told.alias("told"))

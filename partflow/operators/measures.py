@@ -114,3 +114,26 @@ def correct_measures(
         name: F.coalesce(F.col(f"_authority.{name}"), F.lit(0)).cast(types[name]) for name in measures
     }
     return _beside(export, authority, key, measures).withColumns(corrected).select(*export.columns)
+
+
+def wrong_rows(
+    export: DataFrame, authority: DataFrame, key: str, measures: Sequence[str] = MEASURES
+) -> DataFrame:
+    """Export rows that the authority knows with other measures; its missing ones are zero."""
+    differs = F.lit(False)
+    for name in measures:
+        differs = differs | ~F.col(name).cast("bigint").eqNullSafe(F.coalesce(F.col(f"_authority.{name}"), F.lit(0)))
+    return _beside(export, authority, key, measures).where(F.col("_authority").isNotNull() & differs).select(*export.columns)
+
+
+def correct_known_measures(
+    export: DataFrame, authority: DataFrame, key: str, measures: Sequence[str] = MEASURES
+) -> DataFrame:
+    """Like :func:`correct_measures`, but rows the authority does not know stay as they are."""
+    types = {field.name: field.dataType for field in export.schema.fields}
+    known = F.col("_authority").isNotNull()
+    corrected = {
+        name: F.when(known, F.coalesce(F.col(f"_authority.{name}"), F.lit(0))).otherwise(F.col(name)).cast(types[name])
+        for name in measures
+    }
+    return _beside(export, authority, key, measures).withColumns(corrected).select(*export.columns)

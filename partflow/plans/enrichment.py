@@ -12,10 +12,11 @@ from partflow.operators.enrich import Enrichment, enrich
 from partflow.operators.selection import COMPLETED, keep_pending, keep_requested
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
-from partflow.sinks.partitions import BARE, move_staged, published_objects, stage_partitions, staged_stats, verify_published
+from partflow.sinks.partitions import BARE, move_staged, published_objects, stage_partitions, staged_stats, stays_in_place, verify_published
 from partflow.sources.inventory import inventory, inventory_files
 from partflow.sources.partitions import file_stats, read_partitions, read_snapshot
 from partflow.sources.probe import file_verdicts
+from partflow.sources.storage import Retry, Storage
 from partflow.spec import EPOCH, PROFILE_SCHEMA, DatasetSpec
 
 PROFILE_COLUMNS = ("anchor_url", "drep_name")
@@ -40,14 +41,15 @@ def _enrich(
     values: list[str],
     layout: str,
     schema: T.StructType | None,
+    retry: Retry,
 ) -> DataFrame:
-    """Write the enriched partitions that can be read whole; one row per partition with ``is_published``, ``error_details``."""
+    """Write the enriched partitions that can be read whole; one row per partition with ``is_published``, ``error_details``, ``attempts``."""
     rows = read_partitions(spark, base, source, values, schema, True, listed=listed)
     files = materialise(file_stats(rows), "file-stats")
     pending = listed.where(F.col("partition_value").isin(values))
     faults = materialise(file_verdicts(inventory_files(spark, base, pending), files.drop("partition_value")), "faults")
     enriched = job.transform(rows)
-    staging = stage_partitions(enriched, target)
+    staging = stage_partitions(enriched, target, arranged=stays_in_place(enriched))
     expected = files.groupBy("partition_value").agg(F.sum("row_count").alias("row_count"))
     checked = verify_published(expected, staged_stats(enriched, staging)).join(faults, "partition_value", "full_outer")
     differs = F.lit("Upload verification failed: rows differ at the target")
@@ -57,8 +59,18 @@ def _enrich(
     )
     checked = materialise(checked, "verified")
     arrived = {row.partition_value for row in checked.where("is_published").select("partition_value").toLocalIterator()}
-    move_staged(spark, staging, target, derived, layout, arrived)
-    return checked
+    moved = move_staged(Storage(spark), staging, target, derived, layout, arrived, retry)
+    went = spark.createDataFrame([(v, m.attempts, m.error) for v, m in moved.items()], "partition_value string, attempts int, error string")
+    return materialise(
+        checked.join(went, "partition_value", "left").select(
+            "partition_value",
+            "row_count",
+            (F.col("is_published") & F.col("error").isNull()).alias("is_published"),
+            F.coalesce("error", "error_details").alias("error_details"),
+            F.coalesce("attempts", F.lit(1)).alias("attempts"),
+        ),
+        "moved",
+    )
 
 
 def run_enrichment(
@@ -72,6 +84,7 @@ def run_enrichment(
     dry_run: bool = False,
     layout: str = BARE,
     schema: T.StructType | None = None,
+    retry: Retry = Retry(),
 ) -> dict:
     """Enrich the partitions the ledger does not have under the derived name.
 
@@ -102,12 +115,12 @@ def run_enrichment(
         return summary
 
     try:
-        checked = _enrich(spark, job, base, new_dir(spark, "preview") if run is None else target, source, derived, listed, values, layout, schema)
+        checked = _enrich(spark, job, base, new_dir(spark, "preview") if run is None else target, source, derived, listed, values, layout, schema, retry)
         if run is None:
             return summary
         uploads = (
             checked.where("is_published")
-            .join(published_objects(spark, target, derived), "partition_value")
+            .join(published_objects(spark, target, derived, values, layout), "partition_value")
             .select(
                 F.lit(job.name).alias("exporter"),
                 "partition_value",
@@ -130,7 +143,7 @@ def run_enrichment(
                 "file_path",
                 "file_size",
                 "error_details",
-                F.lit(1).alias("attempts"),
+                "attempts",
                 F.lit(now).alias("created_at"),
                 F.lit(run.run_id).alias("event_seq"),
             ),

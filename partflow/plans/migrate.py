@@ -60,9 +60,10 @@ def migrate_layout(
     checked = materialise(checks, "migration")
     if ledger is not None and checked.where(~F.col("is_published")).isEmpty():
         run = ledger.start_run("layout_migration", now)
-        moved = migrated_uploads(ledger.uploads()).withColumn("event_seq", F.lit(run.run_id))
-        moved = materialise(moved, "moved-keys")
-        ledger.append("uploads", moved)
-        n_moved = moved.count()
-        ledger.complete_run(run, now, n_moved, n_moved)
+        with ledger.closing(run, now):
+            moved = migrated_uploads(ledger.uploads()).withColumn("event_seq", F.lit(run.run_id))
+            moved = materialise(moved, "moved-keys")
+            ledger.append("uploads", moved)
+            n_moved = moved.count()
+            ledger.complete_run(run, now, n_moved, n_moved)
     return checked

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
@@ -24,6 +24,7 @@ from partflow.sinks.partitions import BARE, move_staged, published_objects, stag
 from partflow.sources.inventory import inventory, inventory_files
 from partflow.sources.partitions import file_stats, footer_stats, read_partitions
 from partflow.sources.probe import file_verdicts, is_file_fault
+from partflow.sources.storage import Retry, Storage
 from partflow.spec import DAILY, DatasetSpec, flat_schema, select_datasets
 
 logger = logging.getLogger(__name__)
@@ -36,6 +37,7 @@ _VERDICT = flat_schema(
 
 _RESULT = flat_schema("exporter string, partition_value string, outcome string, was_validated boolean")
 _NAME = flat_schema("exporter string")
+_MOVED = flat_schema("partition_value string, attempts int, error string")
 
 
 @dataclass(frozen=True)
@@ -54,13 +56,19 @@ class Truth:
 
 @dataclass(frozen=True)
 class PublishJob:
-    """Where a dataset is read, published and recorded. ``schema`` saves looking for it in the files."""
+    """Where a dataset is read, published and recorded.
+
+    ``schema`` saves looking for it in the files; ``retry`` says how often a partition that
+    can't be put in its place is tried again.
+    """
 
     base: str
     target: str
     ledger: Ledger
     schema: T.StructType | None = None
     layout: str = BARE
+    retry: Retry = Retry()
+    storage: Callable[[SparkSession], Storage] = Storage
 
 
 def _values(frame: DataFrame) -> list[str]:
@@ -144,19 +152,22 @@ def publish_dataset(
     now: dt.datetime,
     wanted: DataFrame | None = None,
     dry_run: bool = False,
+    scanned: Iterable[str] | None = None,
 ) -> DataFrame:
     """Scan, select, validate, write, verify and record one dataset.
 
     Without ``truth`` validation is skipped: counts are recorded as zero and
     slots as null. A partition that fails takes no other with it: files that can't
-    be read make it invalid, and one that does not arrive whole is an upload error.
+    be read make it invalid, and one that does not arrive whole, or can't be put in its
+    place after all attempts, is an upload error. With ``scanned`` only the directories of
+    these partitions are listed, at the source and at the target.
     A run that ends with an exception is closed as failed. A dry run validates but
     writes nothing, neither data nor ledger.
 
     Returns one row per scanned partition with its ``outcome``.
     """
     ledger = job.ledger
-    listed = materialise(inventory(spark, job.base, spec), "inventory")
+    listed = materialise(inventory(spark, job.base, spec, scanned), "inventory")
     requested = keep_requested(listed, wanted)
     pending = materialise(keep_pending(requested, ledger.uploads()), "pending")
 
@@ -222,10 +233,13 @@ def _write_and_record(
     expected = good.select("partition_value", *[F.col(old).alias(new) for new, old in measures.items()])
     checked = materialise(verify_published(expected, staged_stats(rows, staging, slot)), "verified")
     arrived = checked.where("is_published").select("partition_value")
-    moved = set(move_staged(spark, staging, job.target, spec, job.layout, set(_values(arrived))))
+    moved = move_staged(job.storage(spark), staging, job.target, spec, job.layout, set(_values(arrived)), job.retry)
+    went = materialise(spark.createDataFrame([(v, m.attempts, m.error) for v, m in moved.items()], _MOVED), "moves")
+    arrived = went.where("error IS NULL").select("partition_value")
+    published = {value for value, one in moved.items() if one.error is None}
 
     details = listed.join(good.select("partition_value"), "partition_value", "left_semi")
-    sizes = published_objects(spark, job.target, spec)
+    sizes = published_objects(spark, job.target, spec, sorted(published), job.layout)
     uploads = (
         details.drop("file_size", "file_count")
         .join(arrived, "partition_value", "left_semi")
@@ -246,18 +260,19 @@ def _write_and_record(
         )
     )
     job.ledger.append("uploads", uploads)
-    lost = details.join(arrived, "partition_value", "left_anti").select(
+    differs = F.lit("Upload verification failed: rows or slots differ at the target")
+    lost = details.join(arrived, "partition_value", "left_anti").join(went, "partition_value", "left").select(
         "exporter",
         "partition_value",
         "file_path",
         "file_size",
-        F.lit("Upload verification failed: rows or slots differ at the target").alias("error_details"),
-        F.lit(1).alias("attempts"),
+        F.coalesce("error", differs).alias("error_details"),
+        F.coalesce("attempts", F.lit(1)).alias("attempts"),
         F.lit(now).alias("created_at"),
         F.lit(run_id).alias("event_seq"),
     )
     job.ledger.append("upload_errors", lost)
-    return moved
+    return published
 
 
 def publish_all(

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from partflow.frames import one_row
 from partflow.functions.documents import resolve_pools
 from partflow.operators import registry, versioned
 from partflow.operators.keyed import remove_keys
 from partflow.operators.profile import join_responses
+from partflow.operators.selection import COMPLETED
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger, Run
+from partflow.sources.inventory import list_objects
 from partflow.sources.partitions import read_exports, read_partitions
-from partflow.spec import DAILY, POOL_DATA_SCHEMA, REGISTRY_SCHEMA, DatasetSpec, flat_schema
+from partflow.spec import DAILY, LEDGER_SCHEMAS, POOL_DATA_SCHEMA, REGISTRY_SCHEMA, DatasetSpec, flat_schema
 
 POOL_REGISTRATIONS = DatasetSpec("pool_registration", "", "slot", DAILY)
 POOL_DATA = "off_chain_pool_data"
@@ -42,6 +45,27 @@ def _name(run: Run | None) -> str:
     return "preview" if run is None else f"{run.run_id:09d}"
 
 
+def _record(spark: SparkSession, ledger: Ledger, run: Run, out: str, dataset: str, row_count: int, now: dt.datetime) -> None:
+    """Record an export that wrote rows as the upload of its day."""
+    if not row_count:
+        return
+    day = now.date().isoformat()
+    key = f"{dataset}/date={day}/export={_name(run)}"
+    size = list_objects(spark, f"{out}/{key}", "*.parquet").agg(F.sum("size")).first()[0]
+    record = {
+        "exporter": dataset,
+        "partition_value": day,
+        "s3_key": key,
+        "file_name": key.rsplit("/", 1)[1],
+        "row_count": row_count,
+        "file_size": size,
+        "uploaded_at": now,
+        "status": COMPLETED,
+        "event_seq": run.run_id,
+    }
+    ledger.append("uploads", one_row(spark, LEDGER_SCHEMAS["uploads"], record))
+
+
 def pool_candidates(
     spark: SparkSession, base: str, out: str, watermark: str | None, rebuild: bool = False
 ) -> DataFrame:
@@ -70,6 +94,13 @@ def export_pools(
     The watermark is the last registration day; a dry run leaves the ledger alone.
     """
     run = None if dry_run else ledger.start_run(POOL_DATA, now)
+    with ledger.closing(run, now):
+        return _pools(spark, base, out, responses, ledger, now, rebuild, run)
+
+
+def _pools(
+    spark: SparkSession, base: str, out: str, responses: DataFrame, ledger: Ledger, now: dt.datetime, rebuild: bool, run: Run | None
+) -> DataFrame | None:
     watermark = ledger.watermark(POOL_DATA)
     due = materialise(pool_candidates(spark, base, out, watermark, rebuild), "pools-due")
     resolved = resolve_pools(join_responses(due, responses, "pool_hash").drop("fetched_at"))
@@ -81,6 +112,7 @@ def export_pools(
         rows = read_partitions(spark, base, POOL_REGISTRATIONS, schema=_POOL_KEY)
         last_day = rows.agg(F.max("partition_value")).first()[0] if exported is not None else None
         n_exported = exported.count() if exported is not None else 0
+        _record(spark, ledger, run, out, POOL_DATA, n_exported, now)
         ledger.complete_run(run, now, due.count(), n_exported, watermark=last_day)
     return exported
 
@@ -125,8 +157,15 @@ def export_registry(
         parsed = registry.PARSERS[source](landed, source)
         records = parsed if records is None else records.unionByName(parsed)
 
-    exported = None
     run = None if dry_run else ledger.start_run(REGISTRY, now)
+    with ledger.closing(run, now):
+        return _contracts(spark, out, records, plan, handled, ledger, now, run)
+
+
+def _contracts(
+    spark: SparkSession, out: str, records: DataFrame | None, plan: DataFrame, handled: list[str], ledger: Ledger, now: dt.datetime, run: Run | None
+) -> DataFrame | None:
+    exported = None
     if records is not None:
         known = ledger.registry_hashes()
         best = registry.not_outranked(registry.best_source(records), known)
@@ -147,5 +186,6 @@ def export_registry(
         )
         ledger.append("registry_state", state)
         n = exported.count() if exported is not None else 0
+        _record(spark, ledger, run, out, REGISTRY, n, now)
         ledger.complete_run(run, now, n, n)
     return exported

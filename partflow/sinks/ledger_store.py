@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +13,14 @@ from pyspark.sql import functions as F
 from partflow.frames import empty_frame, one_row
 from partflow.operators import ledger as algebra
 from partflow.operators.keyed import newest_per_key
-from partflow.sources.storage import exists, matching
+from partflow.sources.storage import Storage, exists, matching
 from partflow.spec import LEDGER_SCHEMAS
 
 
+#: How long a run may take before the next one of its exporter holds it for broken off.
+LEASE = dt.timedelta(hours=24)
+
+
 @dataclass(frozen=True)
 class Run:
     """A started run; its number orders all events it writes."""
@@ -102,13 +108,46 @@ class Ledger:
         found = algebra.next_suffixes(mine, day).first()
         return found.next_suffix if found else 1
 
-    def start_run(self, exporter: str, now: dt.datetime) -> Run:
-        """Record the start of a run under the next number."""
-        last = self.events("runs").agg(F.max("run_id")).first()[0]
-        run = Run((last or 0) + 1, exporter, now)
+    def claim_suffix(self, exporter: str, day: str, token: str) -> int:
+        """The number of the caller's snapshot of ``day``, claimed before it is written.
+
+        ``token`` names the snapshot (say, by its time): asked again with it, as a repeated
+        run does, the number is the same. Runs at the same time get different numbers, and
+        none is left out as long as every claim is followed by its snapshot.
+        """
+        storage, number = Storage(self.spark), 1
+        name = "".join(c if c.isalnum() else "-" for c in token)
+        while not storage.claim(f"{self.root}/claims/{exporter}/{day}/{number:06d}", name):
+            number += 1
+        return number
+
+    def start_run(self, exporter: str, now: dt.datetime, lease: dt.timedelta = LEASE) -> Run:
+        """Record the start of a run under the next number.
+
+        Earlier runs of the exporter that have not ended ``lease`` after their start are
+        closed as failed: their driver died. One that ends after all is as it ended.
+        """
+        own, abandoned = F.col("exporter") == exporter, F.col("run_started_at") < F.lit(now - lease)
+        runs = self.runs().select("run_id", F.when(own & abandoned & (F.col("status") == "running"), F.struct("run_id", "run_started_at")).alias("left"))
+        found = runs.agg(F.max("run_id").alias("last"), F.collect_list("left").alias("left")).first()
+        for one in sorted(found.left):
+            late = f"The run broke off: it has not ended within {lease} of its start"
+            old = Run(one.run_id, exporter, one.run_started_at)
+            self._record(old, run_completed_at=now, records_fetched=0, records_exported=0, status="failed", error_details=late, event_seq=1)
+        run = Run((found.last or 0) + 1, exporter, now)
         self._record(run, status="running", event_seq=0)
         return run
 
+    @contextmanager
+    def closing(self, run: Run | None, now: dt.datetime, records_fetched: int = 0) -> Iterator[None]:
+        """Close the run (None: a dry run) as failed if what is done here ends with an exception."""
+        try:
+            yield
+        except Exception as error:
+            if run is not None:
+                self.complete_run(run, now, records_fetched, 0, "failed", f"{type(error).__name__}: {str(error)[:500]}")
+            raise
+
     def complete_run(
         self,
         run: Run,
@@ -128,7 +167,7 @@ class Ledger:
             status=status,
             error_details=error_details,
             source_data_watermark=watermark if status == "completed" else None,
-            event_seq=1,
+            event_seq=2,
         )
 
     def _record(self, run: Run, **values) -> None:

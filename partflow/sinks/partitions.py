@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from partflow.frames import empty_frame
 from partflow.operators.stats import partition_stats
 from partflow.sources.inventory import list_objects
-from partflow.sources.storage import Storage
+from partflow.sources.storage import Move, Moved, Retry, Storage
 from partflow.spec import EPOCH, DatasetSpec
 
 BARE = "bare"
@@ -38,6 +39,11 @@ def stage_partitions(rows: DataFrame, target: str, arranged: bool = False) -> st
     return staging
 
 
+def stays_in_place(rows: DataFrame) -> bool:
+    """Whether rows read from partitioned files are still where they were read: no step shuffles them."""
+    return not re.search(r"(?<!Broadcast)Exchange ", rows._jdf.queryExecution().executedPlan().toString())
+
+
 def staged_stats(like: DataFrame, staging: str, slot: Column | None = None) -> DataFrame:
     """Statistics of the partitions in a staging directory, read back from it."""
     spark = like.sparkSession
@@ -48,27 +54,32 @@ def staged_stats(like: DataFrame, staging: str, slot: Column | None = None) -> D
 
 
 def move_staged(
-    spark: SparkSession, staging: str, target: str, spec: DatasetSpec, layout: str = BARE, only: set[str] | None = None
-) -> list[str]:
+    storage: Storage,
+    staging: str,
+    target: str,
+    spec: DatasetSpec,
+    layout: str = BARE,
+    only: set[str] | None = None,
+    retry: Retry | None = None,
+) -> dict[str, Moved]:
     """Put staged partitions (all, or ``only`` some) in the place of the published ones, and remove the rest.
 
     Readers see the old or the new partition, or for the moment between two
-    renames none. Returns the values published.
+    renames none. Returns how each partition's move went; one that failed stops no
+    other.
     """
-    storage = Storage(spark)
     storage.restore(f"{target}/{spec.name}")
+    between = "-epoch-" if spec.partition_type == EPOCH else "-"
     staged = {path.rsplit("=", 1)[1]: path for path in storage.matching(f"{staging}/{_VALUE}=*")}
-    chosen = {value: path for value, path in staged.items() if only is None or value in only}
-    for value, path in chosen.items():
-        files = storage.matching(f"{path}/*.parquet")
-        if len(files) == 1:  # a partition that is one file has the name partitions have
-            between = "-epoch-" if spec.partition_type == EPOCH else "-"
-            storage.rename(files[0], f"{path}/{spec.name}{between}{value}.parquet")
-    storage.replace_directories(
-        (path, partition_directory(target, spec, value, layout)) for value, path in chosen.items()
-    )
+    moves = {
+        # a partition that is one file has the name partitions have
+        value: Move(path, partition_directory(target, spec, value, layout), f"{spec.name}{between}{value}.parquet")
+        for value, path in staged.items()
+        if only is None or value in only
+    }
+    moved = dict(zip(moves, storage.replace_directories(moves.values(), retry)))
     storage.delete(staging)
-    return list(chosen)
+    return moved
 
 
 def publish_partitions(
@@ -76,18 +87,27 @@ def publish_partitions(
 ) -> list[str]:
     """Write ``rows`` (with ``partition_value``), replacing the partitions they belong to.
 
-    Publishing the same rows again changes nothing. Returns the values published.
+    Publishing the same rows again changes nothing. Returns the values published; if
+    one of them could not be, all others are and an error is raised.
     """
     staging = stage_partitions(rows, target, arranged)
-    return move_staged(rows.sparkSession, staging, target, spec, layout)
+    moved = move_staged(Storage(rows.sparkSession), staging, target, spec, layout)
+    for one in moved.values():
+        if one.error is not None:
+            raise OSError(one.error)
+    return list(moved)
 
 
-def published_objects(spark: SparkSession, target: str, spec: DatasetSpec) -> DataFrame:
+def published_objects(
+    spark: SparkSession, target: str, spec: DatasetSpec, values: Iterable[str] | None = None, layout: str = BARE
+) -> DataFrame:
     """Objects of the published partitions as they are: ``partition_value, s3_key, file_size, file_count``.
 
-    The key is that of a partition's only file, else its directory's.
+    The key is that of a partition's only file, else its directory's. With ``values``
+    only their directories are listed.
     """
-    objects = list_objects(spark, f"{target}/{spec.name}", "*.parquet")
+    folders = None if values is None else [partition_directory(target, spec, value, layout) for value in values]
+    objects = list_objects(spark, f"{target}/{spec.name}", "*.parquet", folders)
     directory = F.regexp_replace("key", "/[^/]+$", "")
     found = objects.groupBy(directory.alias("_directory")).agg(
         F.min("key").alias("_key"), F.sum("size").alias("file_size"), F.count(F.lit(1)).alias("file_count")

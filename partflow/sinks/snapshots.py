@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from partflow.sources.storage import Storage
+from partflow.sources.storage import Move, Storage
 
 
 def write_snapshot(rows: DataFrame, root: str, label: str, order: str) -> int:
@@ -23,5 +23,5 @@ def write_snapshot(rows: DataFrame, root: str, label: str, order: str) -> int:
     if not written:
         Storage(spark).delete(staging)
     else:
-        Storage(spark).replace_directories([(staging, f"{root}/snapshot={label}")])
+        Storage(spark).replace(Move(staging, f"{root}/snapshot={label}"))
     return written

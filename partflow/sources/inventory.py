@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,30 +18,34 @@ INVENTORY_SCHEMA = flat_schema(
     "exporter string, partition_value string, partition_type string, file_path string,"
     " file_size bigint, file_count bigint, is_canonical boolean"
 )
+_LISTING_SCHEMA = flat_schema("path string, length bigint, modificationTime timestamp")
 OBJECT_SCHEMA = flat_schema("key string, size bigint, last_modified timestamp")
 
 
-def _listing(spark: SparkSession, root: str, pattern: str) -> DataFrame:
-    """Path, length and time of change of the files below ``root``.
+def _listing(spark: SparkSession, root: str, pattern: str, folders: Sequence[str] | None = None) -> DataFrame:
+    """Path, length and time of change of the files below ``root``, or of those of its ``folders`` that are there.
 
     A scan plans its tasks by the size of the files even if it opens none, so the
     listing is made under a split size that gives each core one task, and kept.
     """
     path = new_dir(spark, "listing")
+    present = [root] if folders is None else [folder for folder in folders if exists(spark, folder)]
+    if not present:
+        return empty_frame(spark, _LISTING_SCHEMA)
     files = (
         side_session(spark, **{"spark.sql.files.maxPartitionBytes": "1t"})
         .read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .load(root)
+        .load(present)
         .select("path", "length", "modificationTime")
     )
     files.write.parquet(path)
     return spark.read.schema(files.schema).parquet(path)
 
 
-def inventory(spark: SparkSession, base: str, spec: DatasetSpec) -> DataFrame:
-    """One row per partition directory of a dataset that holds parquet files.
+def inventory(spark: SparkSession, base: str, spec: DatasetSpec, values: Iterable[str] | None = None) -> DataFrame:
+    """One row per partition directory of a dataset that holds parquet files; with ``values`` only theirs are listed.
 
     Directories of another shape do not count. Where the canonically named file
     is present the partition is that file; otherwise it is the whole directory,
@@ -59,7 +65,7 @@ def inventory(spark: SparkSession, base: str, spec: DatasetSpec) -> DataFrame:
     canonical = name == file_name(F.lit(spec.name), F.col("partition_value"), F.lit(spec.partition_type))
     whole = F.struct(F.col("path").alias("path"), F.col("length").alias("length"))
     return (
-        _listing(spark, root, "*.parquet")
+        _listing(spark, root, "*.parquet", None if values is None else [f"{root}/{spec.partition_column}={v}" for v in values])
         .withColumn("partition_value", value)
         .where((F.col("partition_value") != "") & below_root)
         .withColumn("_canonical", F.when(canonical, whole))
@@ -89,19 +95,21 @@ def inventory_files(spark: SparkSession, base: str, listed: DataFrame) -> DataFr
     name = listed.select("exporter").first()
     if name is None:
         return listed.select(F.col("file_path").alias("path"), "partition_value")
-    files = _listing(spark, f"{base}/{name.exporter}", "*.parquet").select("path")
+    # directories, as many as the read of the partitions has
+    folders = [row.file_path for row in listed.where("NOT is_canonical").select("file_path").toLocalIterator()]
+    files = _listing(spark, f"{base}/{name.exporter}", "*.parquet", folders).select("path")
     whole = listed.where("is_canonical").select(F.col("file_path").alias("path"), "partition_value")
     parents = listed.where("NOT is_canonical").select(F.col("file_path").alias("_parent"), "partition_value")
     inside = files.withColumn("_parent", F.regexp_replace("path", "/[^/]+$", "")).join(parents, "_parent")
     return whole.unionByName(inside.select("path", "partition_value"))
 
 
-def list_objects(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Every object below ``root``: key relative to it, size, time of change."""
+def list_objects(spark: SparkSession, root: str, pattern: str = "*", folders: Sequence[str] | None = None) -> DataFrame:
+    """Every object below ``root``, or below some folders of it: key relative to it, size, time of change."""
     if not exists(spark, root):
         return empty_frame(spark, OBJECT_SCHEMA)
     prefix = qualified(spark, root).rstrip("/") + "/"
-    return _listing(spark, root, pattern).select(
+    return _listing(spark, root, pattern, folders).select(
         F.expr(f"substring(path, {len(prefix) + 1})").alias("key"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),

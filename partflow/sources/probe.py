@@ -1,12 +1,18 @@
-"""Which files of partitions cannot be read, found by asking Spark for their footers."""
+"""Which files of partitions cannot be read."""
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from partflow.frames import empty_frame
+from partflow.scratch import new_dir
+from partflow.session import side_session
+from partflow.spec import flat_schema
 
 # Texts of the ledger.
 UNREADABLE = "Parquet read error: unreadable file"
@@ -27,43 +33,34 @@ def is_file_fault(error: Exception) -> bool:
     return any(fault in text for fault in _FAULTS)
 
 
-def _counted(spark: SparkSession, paths: list[str]) -> bool:
-    """Whether all these files have a footer; no column is read."""
+def _footer_is_readable(content: bytes) -> bool:
     try:
-        spark.read.schema(T.StructType()).option("ignoreCorruptFiles", False).parquet(*paths).count()
+        pq.read_metadata(pa.BufferReader(content))
         return True
-    except (PySparkException, Py4JError) as error:
-        if not is_file_fault(error):
-            raise
+    except (pa.ArrowInvalid, OSError):
         return False
 
 
-def unreadable_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The files without a readable footer, whatever their size.
+def broken_footers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path`` of the files among ``paths`` without a readable footer, found by executors in one job.
 
-    All are asked at once; where that fails, each half by itself, so a few broken
-    files among many cost a few jobs.
+    Meant for files that gave no row: an empty file is little but its footer, a broken one
+    is read as far as it goes.
     """
-    if not paths or _counted(spark, paths):
-        return []
-    if len(paths) == 1:
-        return paths
-    half = len(paths) // 2
-    return unreadable_files(spark, paths[:half]) + unreadable_files(spark, paths[half:])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            broken = [not _footer_is_readable(content or b"") for content in batch.column("content").to_pylist()]
+            yield batch.select(["path"]).filter(pa.array(broken, pa.bool_()))
 
-def probe_suspects(spark: SparkSession, suspects: DataFrame) -> DataFrame:
-    """``suspects`` (inventory rows without statistics: a file or a directory) with ``error_details``."""
-    paths = [row.file_path for row in suspects.select("file_path").toLocalIterator()]
     if not paths:
-        return suspects.withColumn("error_details", F.lit(None).cast("string"))
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    files = [row.path for row in listed.load(paths).select("path").toLocalIterator()]
-    broken = spark.createDataFrame([(p,) for p in unreadable_files(spark, files)], "path string")
-    either = broken.select(F.explode(F.array("path", F.regexp_replace("path", "/[^/]+$", ""))).alias("file_path")).distinct()
-    marked = suspects.join(either.withColumn("_broken", F.lit(True)), "file_path", "left")
-    details = F.when(F.col("_broken"), UNREADABLE).otherwise(EMPTY)
-    return marked.withColumn("error_details", details).select(*suspects.columns, "error_details")
+        return empty_frame(spark, flat_schema("path string"))
+    # a file is a batch, so a task holds one at a time
+    one_by_one = side_session(spark, **{"spark.sql.execution.arrow.maxRecordsPerBatch": "1"})
+    files = one_by_one.read.format("binaryFile").load(paths).select("path", "content")
+    found = new_dir(spark, "broken-footers")
+    files.mapInArrow(run, "path string").write.parquet(found)
+    return spark.read.schema("path string").parquet(found)
 
 
 def file_verdicts(files: DataFrame, found: DataFrame) -> DataFrame:
@@ -72,12 +69,13 @@ def file_verdicts(files: DataFrame, found: DataFrame) -> DataFrame:
     ``files`` lists the files that count (``path``, ``partition_value``); ``found`` has
     ``path``, ``row_count`` (by the footer) and ``rows_read`` of those that could be read.
     A file whose pages break off counts as unreadable. Only files without rows are opened
-    once more; their paths pass through the driver, as the paths of any read do.
+    once more; their paths pass through the driver, as the paths of any read do. The
+    number of jobs does not depend on how many files are broken.
     """
     spark = files.sparkSession
     beside = files.join(found, "path", "left")
     silent = [r.path for r in beside.where("row_count IS NULL").select("path").toLocalIterator()]
-    broken = spark.createDataFrame([(p,) for p in unreadable_files(spark, silent)], "path string")
+    broken = broken_footers(spark, silent)
     state = beside.join(broken.withColumn("_broken", F.lit(True)), "path", "left").withColumn(
         "_broken", F.coalesce("_broken", F.col("rows_read") < F.col("row_count"), F.lit(False))
     )

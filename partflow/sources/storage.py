@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
@@ -18,6 +20,41 @@ _MOVES_AT_ONCE = 16
 _ASIDE = "_replaced-"
 
 
+# How often and after how many seconds a publication is tried again.
+_ATTEMPTS, _FIRST_WAIT, _LONGEST_WAIT = 10, 10, 120
+
+
+@dataclass(frozen=True)
+class Retry:
+    """How often something is tried, and the seconds between: each wait is twice the one before, up to a longest."""
+
+    attempts: int = _ATTEMPTS
+    first_wait: float = _FIRST_WAIT
+    longest_wait: float = _LONGEST_WAIT
+
+    def wait(self, attempt: int) -> float:
+        """Seconds to wait after the attempt of this number (from 1)."""
+        return min(self.first_wait * 2 ** (attempt - 1), self.longest_wait)
+
+
+@dataclass(frozen=True)
+class Move:
+    """A directory to put in another's place; if it has a single file, that gets the name ``file_name``."""
+
+    source: str
+    target: str
+    file_name: str | None = None
+
+
+@dataclass(frozen=True)
+class Moved:
+    """How a move went: the attempts it took, and why the last one failed (None: done)."""
+
+    move: Move
+    attempts: int
+    error: str | None = None
+
+
 def _aside(target: str) -> str:
     parent, name = target.rstrip("/").rsplit("/", 1)
     return f"{parent}/{_ASIDE}{name}"
@@ -57,20 +94,40 @@ class Storage:
         files, path = self._at(text)
         files.delete(path, True)
 
-    def replace_directories(self, moves: Iterable[tuple[str, str]]) -> None:
+    def replace_directories(self, moves: Iterable[Move], retry: Retry | None = None) -> list[Moved]:
         """Move each source to its target, which it replaces; names change, no data is read.
 
         The old target is moved aside first, brought back if the new one can't be
         put in its place, and deleted last: at no time is it the only copy that is
         deleted. What a crash between the two moves left aside is brought back by
-        :meth:`restore`. Moves wait for the file system, so several go on at once.
+        :meth:`restore`. Moves wait for the file system, so several go on at once; one
+        that fails is tried again and, failing still, stops no other.
         """
         with ThreadPoolExecutor(_MOVES_AT_ONCE) as pool:
-            list(pool.map(lambda move: self._replace(*move), list(moves)))
-
-    def _replace(self, source: str, target: str) -> None:
+            return list(pool.map(lambda move: self._attempt(move, retry or Retry(attempts=1)), list(moves)))
+
+    def _attempt(self, move: Move, retry: Retry) -> Moved:
+        error = None
+        for attempt in range(1, retry.attempts + 1):
+            try:
+                self.replace(move)
+                return Moved(move, attempt)
+            except (OSError, Py4JError) as failure:
+                error = f"{type(failure).__name__}: {str(failure)[:300]}"
+                logger.warning("attempt %d of %d: %s", attempt, retry.attempts, error)
+            if attempt < retry.attempts:
+                time.sleep(retry.wait(attempt))
+        return Moved(move, retry.attempts, error)
+
+    def replace(self, move: Move) -> None:
+        """One attempt at a move."""
+        source, target = move.source, move.target
         files, path = self._at(target)
         aside = self._path(_aside(target))
+        if move.file_name is not None:
+            held = self.matching(f"{source}/*.parquet")
+            if len(held) == 1 and held[0].rsplit("/", 1)[1] != move.file_name:
+                self.rename(held[0], f"{source}/{move.file_name}")
         if files.exists(path):
             files.delete(aside, True)
             if not files.rename(path, aside):
@@ -88,6 +145,25 @@ class Storage:
             raise OSError(f"cannot move {source} to {target}")
         files.delete(aside, True)
 
+    def claim(self, folder: str, token: str) -> bool:
+        """Whether the folder is the caller's: made now, or before with the same ``token``.
+
+        Of several callers at once one makes the file ``taken`` in it, as the file system
+        makes no file twice; the token follows in its name, so a claim broken off between
+        the two is nobody's and stays unused.
+        """
+        files, path = self._at(folder)
+        try:
+            taken = files.createNewFile(self._path(f"{path.toString()}/taken"))
+        except Py4JError as error:  # another one made it since it was looked for
+            if "FileAlreadyExists" not in str(error):
+                raise
+            taken = False
+        mine = self._path(f"{path.toString()}/by-{token}")
+        if taken:
+            files.createNewFile(mine)
+        return taken or files.exists(mine)
+
     def make_directory(self, text: str) -> None:
         files, path = self._at(text)
         files.mkdirs(path)

@@ -33,6 +33,8 @@ def publish_new_partitions(
     def handle(files: DataFrame, batch_id: int) -> None:
         named = files.select(F.lit(spec.name).alias("exporter"), value.alias("partition_value"))
         wanted = materialise(named.distinct(), f"batch-{batch_id}")
-        materialise(publish_dataset(spark, job, spec, truth, now, wanted), f"results-{batch_id}")
+        # a batch looks into its own directories only, whatever else the dataset holds
+        values = sorted(row.partition_value for row in wanted.toLocalIterator())
+        materialise(publish_dataset(spark, job, spec, truth, now, wanted, scanned=values), f"results-{batch_id}")
 
     each_new_batch(listing_stream(spark, f"{job.base}/{spec.name}", max_files), checkpoint, handle)

@@ -17,7 +17,7 @@ from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.partitions import publish_partitions
 from partflow.sources.inventory import list_objects
 from partflow.sources.probe import UNREADABLE
-from partflow.sources.storage import Storage
+from partflow.sources.storage import Move, Retry, Storage
 from partflow.spec import DAILY, EPOCH, DatasetSpec, flat_schema
 
 NOW = dt.datetime(2024, 2, 1)
@@ -97,8 +97,8 @@ def test_a_replacement_that_is_cut_short_loses_nothing(spark, tmp_path, monkeypa
     published = tmp_path / "block" / "2024-01-01"
     storage = Storage(spark)
     # the new directory can't be moved: the old one comes back
-    with pytest.raises(OSError):
-        storage.replace_directories([(f"{target}/nowhere", str(published))])
+    (moved,) = storage.replace_directories([Move(f"{target}/nowhere", str(published))], Retry(3, 0, 0))
+    assert moved.attempts == 3 and "cannot move" in moved.error
     assert spark.read.parquet(str(published)).count() == 5
     # a crash between the two renames leaves the old one aside; the next publication finds it
     storage.rename(str(published), f"{target}/block/_replaced-2024-01-01")

@@ -3,12 +3,12 @@ from pathlib import Path
 import pyarrow as pa
 import pyarrow.parquet as pq
 
-from partflow.operators.reconcile import suspect_partitions
 from partflow.operators.stats import partition_stats
 from partflow.sinks.snapshots import write_snapshot
 from partflow.sources.documents import read_documents, read_responses
-from partflow.sources.inventory import inventory, list_objects
+from partflow.sources.inventory import inventory, inventory_files, list_objects
 from partflow.sources.partitions import (
+    file_stats,
     footer_stats,
     latest_snapshot,
     read_partition,
@@ -16,7 +16,7 @@ from partflow.sources.partitions import (
     read_snapshot,
     read_with_source,
 )
-from partflow.sources.probe import EMPTY, UNREADABLE, probe_suspects
+from partflow.sources.probe import EMPTY, UNREADABLE, file_verdicts
 from partflow.spec import DAILY, EPOCH, REGISTRATION_SCHEMA, DatasetSpec, flat_schema
 from pyspark.sql import functions as F
 
@@ -112,8 +112,8 @@ def test_unreadable_and_empty_partitions(spark, tmp_path):
     write_partition(tmp_path, "block", "date=2024-01-17", {"slot": [], "who": []}, "part-0.parquet", empty)
     listed = inventory(spark, str(tmp_path), BLOCK)
     readable = read_partitions(spark, str(tmp_path), BLOCK, schema=SLOTS, tolerant=True)
-    stats = partition_stats(readable, F.col("partition_value"), F.col("slot"))
-    verdicts = probe_suspects(spark, suspect_partitions(listed, stats))
+    found = file_stats(readable, "slot").drop("partition_value")
+    verdicts = file_verdicts(inventory_files(spark, str(tmp_path), listed), found)
     assert rows(verdicts, "partition_value", "error_details") == [
         ("2024-01-15", EMPTY),
         ("2024-01-16", UNREADABLE),
