@@ -65,6 +65,7 @@ class Storage:
 
     def __init__(self, spark: SparkSession) -> None:
         self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._local = spark._jvm.java.io.File
         self._settings = spark._jsparkSession.sessionState().newHadoopConf()
 
     def _at(self, text: str):
@@ -153,13 +154,17 @@ class Storage:
         the two is nobody's and stays unused.
         """
         files, path = self._at(folder)
-        try:
-            taken = files.createNewFile(self._path(f"{path.toString()}/taken"))
-        except Py4JError as error:  # another one made it since it was looked for
-            if "FileAlreadyExists" not in str(error):
-                raise
-            taken = False
         mine = self._path(f"{path.toString()}/by-{token}")
+        if files.getScheme() == "file":  # Hadoop looks and makes in two steps there
+            files.mkdirs(path)
+            taken = self._local(f"{path.toUri().getPath()}/taken").createNewFile()
+        else:
+            try:
+                taken = files.createNewFile(self._path(f"{path.toString()}/taken"))
+            except Py4JError as error:  # another one made it since it was looked for
+                if "FileAlreadyExists" not in str(error):
+                    raise
+                taken = False
         if taken:
             files.createNewFile(mine)
         return taken or files.exists(mine)
