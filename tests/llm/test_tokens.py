@@ -149,3 +149,14 @@ def test_round_trip_over_several_blocks_and_partitions(spark, expected, monkeypa
 
 def test_round_trip_of_an_empty_table(spark):
     assert tokenfile.round_trip(frame(spark, []), BYTE_BPE, 2).count() == 0
+
+
+def test_pieces_have_the_tokens_that_the_library_finds():
+    import numpy as np
+    from partflow.llm.segments import library
+
+    lib = library("byte_bpe_50k.json")
+    pieces = ["word", "Straße", "ÀÉÎõü", "\nfirst", "\nÀ", "\n", "", "don't", "\nx.", "×", "a×b", "naïve!!", "x" * 5000, "\u00ad", "ÿ", "日本", "\n日本", "a\tb"]
+    want = lib.encode([p[1:] if p[:1] == "\n" else " " + p for p in pieces])
+    for kind in ("<u2", "<u4"):
+        assert [np.frombuffer(ids, kind).tolist() for ids in lib.encode_pieces(pieces, kind)] == want
