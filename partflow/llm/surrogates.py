@@ -10,6 +10,8 @@ gender and script.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,8 +68,9 @@ _OTHERS = "|".join(f"(?:{p})" for kind, p in PATTERNS.items() if kind != "name")
 #: Found in every text in which one of the other patterns is.
 HINT = "[0-9@]|AKIA|ASIA|[A-Fa-f]{32}|[Pp][Aa][Ss][Ss][Ww]|[Pp][Ww][Dd]"
 _DIGITS = ("card", "phone", "ssn", "iban")
-#: Draws after which something is wrong with the corpus or the key.
-MOST_DRAWS = 64
+#: Draws in a row without a free surrogate after which a format is taken to be used up
+#: (names grow with each draw and never are).
+FULL = 64
 
 
 def _at(text: Column, i: Column) -> Column:
@@ -138,7 +141,7 @@ def _parts(match: Column, gap: Column) -> Column:
 def _with_stream(entities: DataFrame, draw: int, secret: str) -> DataFrame:
     """Add the keyed hash of each entity and draw: ``seed``, and two hex digits for every character in ``stream``."""
     seed = F.concat_ws("|", F.lit(secret), "kind", "norm", F.lit(str(draw)))
-    blocks = F.sequence(F.lit(0), (F.length("norm") / 32).cast("int") + 1)
+    blocks = F.sequence(F.lit(0), (F.greatest(F.length("norm"), F.lit(draw)) / 32).cast("int") + 1)
     stream = F.array_join(F.transform(blocks, lambda b: F.sha2(F.concat_ws("|", F.col("seed"), b.cast("string")), 256)), "")
     return entities.withColumn("seed", seed).withColumn("stream", stream)
 
@@ -184,10 +187,10 @@ def _surrogate(kind: Column, norm: Column, draw: Column, secret: str) -> Column:
         return F.array_join(F.transform(F.sequence(F.lit(1), count), lambda i: F.element_at(listed, byte(i) % len(words) + 1)), between)
 
     for (g, script), names in GIVEN.items():
-        several = of(names, F.least(draw, F.lit(6)) + 1, "-")
+        several = of(names, draw + 1, "-")
         chain = chain.when(kind == f"given_{g}_{script}", several)
     for script, syllables in SYLLABLES.items():
-        made = F.initcap(of(syllables, F.least(draw, F.lit(6)) + 3, ""))
+        made = F.initcap(of(syllables, draw + 3, ""))
         if script == "cyrillic":
             for g, end in (("m", "ов"), ("f", "ова"), ("u", "енко")):
                 chain = chain.when(kind == f"surname_cyrillic_{g}", F.concat(made, F.lit(end)))
@@ -213,12 +216,13 @@ def draw_surrogates(entities: DataFrame, secret: str) -> DataFrame:
     """``kind, norm, made`` for distinct entities ``kind, norm``: different ones get different surrogates, none gets an entity's own form.
 
     Each draw is checked against the entities and the surrogates given out so far; only
-    those that fail go on to the next one.
+    those that fail go on to the next one. Names get a part more with each draw, so there
+    are enough of them however many people a corpus names.
     """
     spark = entities.sparkSession
     entities = materialise(entities, "entities")
-    left, done = entities, None
-    for draw in range(MOST_DRAWS):
+    left, done, waiting, vain = entities, None, entities.count(), 0
+    for draw in itertools.count():
         family = F.regexp_replace("kind", "^surname_cyrillic_.*", "surname_cyrillic")
         tried = _with_stream(left, draw, secret).select("kind", "norm", _surrogate(F.col("kind"), F.col("norm"), F.lit(draw), secret).alias("made"))
         tried = materialise(tried.withColumns({"low": F.lower("made"), "family": family}), "drawn")
@@ -230,9 +234,12 @@ def draw_surrogates(entities: DataFrame, secret: str) -> DataFrame:
         good = materialise(tried.join(materialise(won, "won"), ["kind", "norm"], "left_semi"), "settled")
         left = materialise(left.join(good, ["kind", "norm"], "left_anti"), "to-draw-again")
         done = good if done is None else done.unionByName(good)
-        if not left.limit(1).count():
+        before, waiting = waiting, left.count()
+        if not waiting:
             return done.select("kind", "norm", "made")
-    raise RuntimeError(f"entities are left without a surrogate after {MOST_DRAWS} draws")
+        vain = 0 if waiting < before else vain + 1
+        if vain == FULL:
+            raise RuntimeError(f"{waiting} entities found no surrogate of their format in {FULL} draws")
 
 
 def replace_personal_data(docs: DataFrame, secret: str = "change me", text: str = "text") -> DataFrame:

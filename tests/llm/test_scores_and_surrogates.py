@@ -206,3 +206,9 @@ def test_stages_take_clashing_columns_nulls_and_empty_tables(spark, tmp_path):
             assert bool(left) == bool(given), name
             if given and name == "SimHash near-dedup":  # null and wordless texts are alike, and so are the repeated rows
                 assert sorted((r.doc_id or 0, r["a.b"]) for r in left) == [(0, 4), (1, 1), (2, None)]
+
+
+def test_there_are_surrogates_for_more_names_than_are_listed(spark):
+    rows = [("given_u_greek", "α" * (i // 24 + 1) + chr(0x3B1 + i % 24)) for i in range(300)]
+    made = surrogates.draw_surrogates(spark.createDataFrame(rows, "kind string, norm string"), "key").collect()
+    assert len(made) == 300 and len({r.made for r in made}) == 300 and not {r.made.lower() for r in made} & {n for _, n in rows}
