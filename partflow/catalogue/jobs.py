@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from partflow.catalogue.entries import Tables, day, query
-from partflow.catalogue.keyed import _PROFILE_SQL, _batch, _existing_profile, _responses
-from partflow.catalogue.partitions import STATS_DAILY_SQL
+from partflow.catalogue.keyed import _PROFILE_SQL, _batch, _existing_profile, _registrations, _responses
+from partflow.catalogue.partitions import _ENTRIES_SQL, STATS_DAILY_SQL, _objects
 from partflow.catalogue.quality import _EXPORT_SQL, _MEASURES_SQL, _authority, _export, _export_measures
 from partflow.functions.keys import source_date
 from partflow.operators import profile
@@ -21,10 +21,12 @@ from partflow.plans.assets import export_snapshot
 from partflow.plans.corrections import rewrite_measures
 from partflow.plans.enrichment import run_enrichment
 from partflow.plans.migrate import migrate_layout
+from partflow.plans.profile import PROFILE_NAME, REGISTRATIONS, build_profile, pending_lookups
 from partflow.plans.publish import PublishJob, Truth, publish_all, publish_dataset, retry_failed, validate_partitions
 from partflow.plans.reference_data import POOL_DATA, POOL_REGISTRATIONS, export_pools
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
+from partflow.sinks.manifests import read_manifest_document, write_manifest_document
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
 from partflow.sinks.snapshots import write_snapshot
 from partflow.sources.inventory import inventory
@@ -379,3 +381,97 @@ def abandoned_runs(t: Tables):
     named = F.when(F.col("run_started_at") < F.lit(_NOW + dt.timedelta(days=1)), "first").otherwise("second")
     told = F.coalesce(F.col("error_details").contains("broke off"), F.lit(False))
     return ledger.runs().select("exporter", named.alias("run"), "records_fetched", "status", told.alias("told"))
+
+
+_REBUILT_SQL = """
+reg as (select user_id k, event_id b, event_type = 'signup' and value > 80 has_url, strftime(ts, '%Y-%m-%d') d from events),
+early as (select k, max(b) b, bool_or(has_url) has_url, arg_max(d, b) d from reg where d < '2024-01-29' group by 1),
+late as (select k, max(b) b, bool_or(has_url) has_url, arg_max(d, b) d from reg where d >= '2024-01-29' group by 1),
+resp as (select user_id k, arg_max(value, event_id) v from events where event_type = 'view' group by 1),
+one as (select early.k, b, d, case when not has_url then 'no_url' when v <= 60 then 'success' else 'failed' end st
+  from early left join resp on resp.k = early.k),
+two as (select coalesce(one.k, late.k) k, one.b ob, one.d od, one.st ost, late.b nb, late.d nd,
+    case when late.k is null or (one.b is not null and late.b <= one.b) then 'pass' when not has_url then 'no_url'
+      when v <= 60 then 'success' else 'failed' end a
+  from one full join late on one.k = late.k left join resp on resp.k = late.k),
+done as (select *, a = 'pass' or (a <> 'success' and coalesce(ost = 'success', false)) keep from two)
+"""
+
+
+@query(f"""
+with {_REBUILT_SQL}
+select 'after rebuild' as stage, cast(k as varchar) as drep_id, st as fetch_status, b as source_block, d as source_date,
+  'rebuilt' as last_checked_at, 'rebuilt' as updated_at from one
+union all select 'after update', cast(k as varchar), case when keep then ost else a end, case when keep then ob else nb end,
+  case when keep then od else nd end, case when a = 'pass' then 'rebuilt' else 'updated' end, case when keep then 'rebuilt' else 'updated' end from done
+union all select 'to look up', cast(late.k as varchar), null, null, null, null, null from late left join one on one.k = late.k
+  where has_url and (one.b is null or late.b > one.b)
+""")
+def profile_job(t: Tables):
+    # all days but the last ones; then these: the lookups that are due, a dry run and the update itself
+    base, out = new_dir(t.spark, "landed"), new_dir(t.spark, "profiles")
+    events, late = t.events, F.col("ts") >= F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")
+    rows = lambda some: _registrations(t, some).withColumnRenamed("source_date", "partition_value")
+    answers = materialise(_responses(t), "answers")
+    publish_partitions(rows(events.where(~late)), base, REGISTRATIONS, HIVE)
+    build_profile(t.spark, base, out, answers, "b", "rebuilt", rebuild=True)
+    days = publish_partitions(rows(events.where(late)), base, REGISTRATIONS, HIVE)
+    due = materialise(pending_lookups(t.spark, base, out, days), "due")
+    build_profile(t.spark, base, out, answers, "c", "dry", dates=days, dry_run=True)
+    columns = ["drep_id", "fetch_status", "source_block", "source_date", "last_checked_at", "updated_at"]
+    read = lambda: read_snapshot(t.spark, f"{out}/{PROFILE_NAME}", PROFILE_SCHEMA, columns).select(*columns)
+    before = read().select(F.lit("after rebuild").alias("stage"), "*")
+    # a label before the first one's: the pointer says which is current
+    build_profile(t.spark, base, out, answers, "a", "updated", dates=days)
+    after = read().select(F.lit("after update").alias("stage"), "*")
+    return before.unionByName(after).unionByName(due.select(F.lit("to look up").alias("stage"), "drep_id"), allowMissingColumns=True)
+
+
+@query(f"""
+with {_ENTRIES_SQL}
+select 'partition' as kind, x as exporter, p as partition_value, kind as partition_type, x || '/' || p || '/' || f as s3_key,
+  f as file_name, s as file_size_bytes, cast(1 as bigint) as files from entries
+union all select 'exporter', x, max(p), arg_min(kind, x || '/' || p || '/' || f), null, min(p), cast(sum(s) as bigint), count(*) from entries group by x
+""")
+def manifest_readback(t: Tables):
+    # one document in parts, read back line by line
+    target = f"{new_dir(t.spark, 'manifest')}/document"
+    write_manifest_document(_objects(t), target, _NOW)
+    summary, entries = read_manifest_document(t.spark, target)
+    listed = entries.select(
+        F.lit("partition").alias("kind"), "exporter", "partition_value", "partition_type", "s3_key", "file_name",
+        "file_size_bytes", F.lit(1).cast("bigint").alias("files"),
+    )
+    told = summary.select(
+        F.lit("exporter").alias("kind"), "exporter", F.col("latest_partition").alias("partition_value"), "partition_type",
+        F.lit(None).cast("string").alias("s3_key"), F.col("earliest_partition").alias("file_name"),
+        F.col("total_size_bytes").alias("file_size_bytes"), F.col("total_files").alias("files"),
+    )
+    return listed.unionAll(told)
+
+
+@query("""
+with up as (select event_type as exporter, strftime(ts, '%Y-%m-%d') as partition_value, event_id, user_id,
+    event_type <> 'purchase' and day(ts) < 20 as aged from events),
+newest as (select exporter, partition_value, arg_max(user_id, event_id) as row_count, arg_max(aged, event_id) as aged, max(event_id) as event_seq
+  from up group by all)
+select exporter, partition_value, cast(row_count as bigint) as row_count, event_seq,
+  case when not aged then 'completed' end as status, case when not aged then cast(row_count as bigint) end as file_size from newest
+""")
+def ledger_schemas(t: Tables):
+    # files from before there were status and size, with narrower numbers and a column since dropped; read, and rewritten as few
+    rows = t.events.select(
+        F.col("event_type").alias("exporter"), day().alias("partition_value"), F.col("user_id").cast("int").alias("row_count"),
+        F.col("event_id").alias("event_seq"), ((F.col("event_type") != "purchase") & (F.dayofmonth("ts") < 20)).alias("aged"),
+    )
+    root = new_dir(t.spark, "ledger")
+    ledger = Ledger(t.spark, root)
+    ledger.append("uploads", rows.where("not aged").withColumns({"file_size": F.col("row_count"), "status": F.lit("completed")}))
+    old = rows.where("aged").select("event_seq", "exporter", "partition_value", "row_count", F.lit("x").alias("checksum"))
+    old.write.mode("append").parquet(ledger.folder("uploads"))
+    columns = ["exporter", "partition_value", "row_count", "event_seq", "status", "file_size"]
+    before = materialise(ledger.uploads().select(*columns), "before")
+    ledger.compact("uploads")
+    after = ledger.uploads().select(*columns)
+    # a difference would show as rows more
+    return after.unionAll(after.exceptAll(before)).unionAll(before.exceptAll(after))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from partflow.frames import empty_frame
 from partflow.operators import profile
 from partflow.scratch import materialise
-from partflow.sinks.snapshots import write_snapshot
+from partflow.sinks.snapshots import clean_snapshots, write_snapshot
 from partflow.sources.partitions import read_snapshot, read_with_source
 from partflow.spec import DAILY, PROFILE_SCHEMA, REGISTRATION_SCHEMA, DatasetSpec
 
@@ -36,11 +37,14 @@ def build_profile(
     rebuild: bool = False,
     dates: Iterable[str] | None = None,
     dry_run: bool = False,
+    keep: dt.timedelta | None = None,
 ) -> dict:
     """Merge registrations into the profile and write it as snapshot ``label``.
 
     A rebuild starts from nothing and reads all dates; an update reads the given
-    ones. A dry run only counts what would be done.
+    ones. A dry run only counts what would be done. The new snapshot becomes the
+    current one as the last step; with ``keep``, snapshots that ceased to be so longer ago
+    are deleted after it.
     """
     root = f"{out}/{PROFILE_NAME}"
     existing = (
@@ -60,4 +64,6 @@ def build_profile(
         return summary
     merged = profile.merge_profiles(existing, profile.answered_batch(newest, responses), now)
     summary["profiles_after"] = write_snapshot(merged, root, label, "drep_id")
+    if keep is not None:
+        summary["snapshots_deleted"] = clean_snapshots(spark, root, keep)
     return summary

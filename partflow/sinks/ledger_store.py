@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -33,8 +34,9 @@ class Run:
 class Ledger:
     """Tables of upload, error, run and registry events below ``root``.
 
-    Files written before a column existed read as null there, as every read
-    names the full schema.
+    Files of older schemas are read beside new ones: a column that they lack is null
+    there, as every read names the full schema; one that was narrower (an int for a
+    bigint) is widened; one that is not in use any more is left out.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -46,7 +48,8 @@ class Ledger:
         numbers = [int(path.rsplit("/", 2)[1].split("=")[1]) for path in committed]
         return max(numbers, default=0)
 
-    def _location(self, table: str) -> str:
+    def folder(self, table: str) -> str:
+        """Where the files of a table lie."""
         # uploads can be replaced as a whole; each replacement is a new directory
         suffix = f"/generation={self._generation():06d}" if table == "uploads" else ""
         return f"{self.root}/{table}{suffix}"
@@ -54,7 +57,7 @@ class Ledger:
     def events(self, table: str) -> DataFrame:
         """All events of a table."""
         schema = LEDGER_SCHEMAS[table]
-        path = self._location(table)
+        path = self.folder(table)
         if not exists(self.spark, path):
             return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
@@ -69,13 +72,36 @@ class Ledger:
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add events; columns the rows lack become null."""
-        self._conform(table, rows).write.mode("append").parquet(self._location(table))
+        self._conform(table, rows).write.mode("append").parquet(self.folder(table))
 
     def replace_uploads(self, rows: DataFrame) -> None:
         """Make ``rows`` the whole upload history; the old one stays on disk, unread."""
         conformed = self._conform("uploads", rows)
         conformed.write.parquet(f"{self.root}/uploads/generation={self._generation() + 1:06d}")
 
+    def compact(self, table: str) -> int:
+        """Rewrite the files a table has now as few ones of today's schema; returns how many there were.
+
+        Every run appends files of a few rows. All events stay, in their order; rows that
+        are wholly alike become one. Files that are appended meanwhile are left as they are.
+        The new ones are in place before the old ones go, so a run broken off leaves events
+        twice, which no view minds but the listings of errors, until the next compaction. A
+        reader that listed the old files just before has to read again.
+        """
+        storage, root = Storage(self.spark), self.folder(table)
+        old = storage.matching(f"{root}/*.parquet")
+        if len(old) < 2:
+            return len(old)
+        staging = f"{self.root}/_compacted-{uuid.uuid4().hex}"
+        events = self.spark.read.schema(LEDGER_SCHEMAS[table]).parquet(*old).distinct()
+        events.orderBy("event_seq").write.parquet(staging)
+        for path in storage.matching(f"{staging}/*.parquet"):
+            storage.rename(path, f"{root}/{path.rsplit('/', 1)[1]}")
+        for path in old:
+            storage.delete(path)
+        storage.delete(staging)
+        return len(old)
+
     def uploads(self) -> DataFrame:
         return algebra.current_uploads(self.events("uploads"))
 

@@ -150,10 +150,25 @@ def read_exports(spark: SparkSession, base: str, dataset: str, schema: T.StructT
     return spark.read.schema(with_date).parquet(root)
 
 
+#: Where pointers to snapshots lie: a directory for each number, in it a file named by the snapshot.
+POINTERS = "_current"
+
+
+def pointers(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Number and snapshot's directory name of every pointer below ``root``, the current one last."""
+    found = (path.rsplit("/", 2)[1:] for path in matching(spark, f"{root}/{POINTERS}/*/by-*"))
+    return sorted((int(number), name.removeprefix("by-")) for number, name in found)
+
+
 def latest_snapshot(spark: SparkSession, root: str) -> str | None:
-    """Directory of the newest committed snapshot below ``root``."""
-    committed = matching(spark, f"{root}/snapshot=*/_SUCCESS")
-    return committed[-1].rsplit("/", 1)[0] if committed else None
+    """Directory of the snapshot that the last pointer below ``root`` names.
+
+    Pointers to what has no whole snapshot are passed over; without any pointer it
+    is the whole snapshot with the greatest label.
+    """
+    committed = {p.rsplit("/", 2)[1]: p.rsplit("/", 1)[0] for p in matching(spark, f"{root}/snapshot=*/_SUCCESS")}
+    named = [name for _, name in pointers(spark, root) if name in committed]
+    return committed[named[-1] if named else max(committed)] if committed else None
 
 
 def read_snapshot(

@@ -90,6 +90,11 @@ class Storage:
         files, path = self._at(pattern)
         return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
 
+    def modified(self, pattern: str) -> dict[str, float]:
+        """Paths that match a glob pattern, with the seconds since the epoch of their last change."""
+        files, path = self._at(pattern)
+        return {s.getPath().toString(): s.getModificationTime() / 1000 for s in files.globStatus(path) or []}
+
     def delete(self, text: str) -> None:
         """Delete a file or directory, if it is there."""
         files, path = self._at(text)

@@ -107,6 +107,16 @@ RESPONSE_SCHEMA = flat_schema(
     "id string, http_status int, body string, transport_error string, fetched_at timestamp"
 )
 
+#: Entries of a manifest, and what it says of an exporter.
+MANIFEST_SCHEMA = flat_schema(
+    "exporter string, partition_value string, partition_type string, s3_key string, file_name string,"
+    " file_size_bytes bigint, last_modified timestamp"
+)
+MANIFEST_SUMMARY_SCHEMA = flat_schema(
+    "exporter string, partition_type string, total_files bigint, total_size_bytes bigint,"
+    " earliest_partition string, latest_partition string"
+)
+
 #: Ledger tables. ``event_seq`` orders the events of one table; it is the run number.
 LEDGER_SCHEMAS: dict[str, T.StructType] = {
     "uploads": flat_schema(
