@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,16 +25,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from partflow.llm.common import in_batches, numbered
+from partflow.llm.common import in_batches, materialise, numbered
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score at which it is retrieved, and share of runs that verifies it.
 THRESHOLD = 0.75
 OVERLAP = 0.8
 RUN = 5
-#: Words of a passage (more if an item is longer than half of it); passages begin every half.
+#: Words of a passage, doubled until it is twice as long as the item looked for; passages begin every half.
 PASSAGE = 128
-#: Items of an index; a larger benchmark is searched in blocks of so many items.
+#: Items of an index in memory; a larger benchmark is searched by several, with the statistics of all its items.
 INDEX_ITEMS = 20_000
 _BLOCK = 32
 _CACHE = 400_000
@@ -88,23 +89,54 @@ def stretch(n: int) -> int:
     return n + n // 4
 
 
+def passage_words(n: int, passage: int) -> int:
+    """Words of the passages in which what takes ``n`` words is looked for; no other item has a say in it."""
+    while passage < 2 * n:
+        passage *= 2
+    return passage
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """What BM25 asks of a benchmark: items with words, their mean length, and for terms how many items hold them."""
+
+    items: int
+    mean: float
+    held: Mapping[str, int]
+
+
+def statistics_of(docs: list[list[str]]) -> Statistics:
+    return Statistics(len(docs), sum(map(len, docs)) / max(1, len(docs)), Counter(t for d in docs for t in set(d)))
+
+
 class Index:
-    """BM25 over items: ``(item_id, question words, answer words)``; no answer (None): the item is verified as a whole."""
+    """BM25 over items: ``(item_id, question words, answer words)``; no answer (None): the item is verified as a whole.
+
+    ``statistics`` are those of the whole benchmark if these are only some of its items.
+    """
 
-    def __init__(self, items: list[tuple[int, list[str], list[str]]], threshold: float = THRESHOLD) -> None:
+    def __init__(
+        self, items: list[tuple[int, list[str], list[str]]], threshold: float = THRESHOLD,
+        passage: int = PASSAGE, statistics: Statistics | None = None,
+    ) -> None:
         self.items = [i for i in items if i[1] or i[2]]
         self.threshold = threshold
         docs = [q + a if a is not None and q is not a else q for _, q, a in self.items]
-        self.longest = max((stretch(len(d)) if i[2] is None else len(d) for d, i in zip(docs, self.items)), default=0)
-        held = Counter(t for d in docs for t in set(d))
-        n, mean = len(docs), sum(map(len, docs)) / max(1, len(docs))
-        idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in held.items()}
-        self.term = {t: i for i, t in enumerate(held)}
-        self.must = np.zeros(len(self.term) + 1, bool)  # the last stands for words of no item
-        self.essential: dict[int, list[int]] = {}
+        known = statistics or statistics_of(docs)
+        held, n, mean = known.held, known.items, known.mean
+        words = {t: None for d in docs for t in d}
+        idf = {t: math.log(1 + (n - held[t] + 0.5) / (held[t] + 0.5)) for t in words}
+        self.term = {t: i for i, t in enumerate(words)}
+        # by words of a passage: the terms of which a passage must hold one, and the items that each brings
+        self.must: dict[int, np.ndarray] = {}
+        self.essential: dict[int, dict[int, list[int]]] = {}
         self.blocks: list[dict[int, float]] = [{} for _ in self.term]
         self.impacts: list[list[tuple[int, float]]] = []
         for at, d in enumerate(docs):
+            size = passage_words(stretch(len(d)) if self.items[at][2] is None else len(d), passage)
+            if size not in self.must:
+                self.must[size] = np.zeros(len(self.term) + 1, bool)  # the last stands for words of no item
+                self.essential[size] = {}
             tf = Counter(d)
             raw = {t: idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(d) / mean)) for t, c in tf.items()}
             own = sum(raw.values())
@@ -112,8 +144,8 @@ class Index:
             self.impacts.append([(self.term[t], w / own) for t, w in raw.items()])
             for t in sorted(raw, key=lambda t: (held[t], -len(t), t)):  # rare ones first
                 if spare > -1e-9 * own:  # without these terms the rest is below the threshold
-                    self.must[self.term[t]] = True
-                    self.essential.setdefault(self.term[t], []).append(at)
+                    self.must[size][self.term[t]] = True
+                    self.essential[size].setdefault(self.term[t], []).append(at)
                 spare -= raw[t]
                 most = self.blocks[self.term[t]]
                 most[at // _BLOCK] = max(most.get(at // _BLOCK, 0.0), raw[t] / own)
@@ -123,12 +155,13 @@ class Index:
         self.width = [(min(RUN, len(q)), min(RUN, len(q if a is None else a))) for _, q, a in self.items]
         self.whole = [code(q) if a is None and len(q) >= RUN else None for _, q, a in self.items]
 
-    def search(self, terms: list[int]) -> list[tuple[int, float]]:
-        """Items (by place) with their share of their own score, if at the threshold or above."""
+    def search(self, terms: list[int], size: int) -> list[tuple[int, float]]:
+        """Items (by place) looked for in passages of ``size`` words, with their share of their own score, if at the threshold or above."""
         limit = self.threshold - 1e-9
         pivots: dict[int, set[int]] = {}
+        essential = self.essential[size]
         for t in terms:
-            for item in self.essential.get(t, ()):
+            for item in essential.get(t, ()):
                 pivots.setdefault(item // _BLOCK, set()).add(item)
         found, held = [], set(terms)
         for block in sorted(pivots):
@@ -174,27 +207,28 @@ def passages_of(n: int, size: int) -> Iterator[tuple[int, int]]:
         yield begin, min(n, begin + size)
 
 
-def search_text(index: Index, places: Places, text: str, size: int, overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
+def search_text(index: Index, places: Places, text: str, overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
     """Per verified item: place of the item, first word of its best passage, score, question and answer overlap."""
     raw = text.split()
     at = np.fromiter(map(places.__getitem__, raw), np.int64, len(raw))
     at = at[at > -2]
-    hits = np.flatnonzero(index.must[at])
-    if not len(hits):
-        return []
     best: dict[int, tuple] = {}
-    for begin, end in passages_of(len(at), size):
-        k = np.searchsorted(hits, begin)
-        if k == len(hits) or hits[k] >= end:
+    for size, must in index.must.items():
+        hits = np.flatnonzero(must[at])
+        if not len(hits):
             continue
-        part = at[begin:end]
-        terms = np.unique(part[part >= 0]).tolist()
-        for item, score in index.search(terms):
-            question, answer = index.verify(item, part.tolist())
-            if question >= overlap and answer >= overlap:
-                one = (score, question + answer, -begin, question, answer)
-                if item not in best or one > best[item]:
-                    best[item] = one
+        for begin, end in passages_of(len(at), size):
+            k = np.searchsorted(hits, begin)
+            if k == len(hits) or hits[k] >= end:
+                continue
+            part = at[begin:end]
+            terms = np.unique(part[part >= 0]).tolist()
+            for item, score in index.search(terms, size):
+                question, answer = index.verify(item, part.tolist())
+                if question >= overlap and answer >= overlap:
+                    one = (score, question + answer, -begin, question, answer)
+                    if item not in best or one > best[item]:
+                        best[item] = one
     return [(item, -b[2], b[0], b[3], b[4]) for item, b in sorted(best.items())]
 
 
@@ -221,7 +255,8 @@ def find_leaks(
     wordless texts and items match nothing. Items of fewer than five words, or parts of
     them, are looked for as a whole. Repeated rows are judged each; rows that repeat an
     item id are items of their own; further columns are ignored; empty tables give no
-    rows. The benchmark is read to the driver and broadcast in blocks of ``index_items``.
+    rows. The benchmark passes the driver in blocks of ``index_items`` and is broadcast; each
+    block is a pass over the documents and scores as one index of all items would.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item].dataType
@@ -231,10 +266,11 @@ def find_leaks(
     for shared in _blocks(items, item, item_text, answer, index_items, whole):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, threshold)
-            places, size = Places(index.term), max(passage, 2 * index.longest)
+            block, statistics = shared.value
+            index = Index(block, threshold, passage, statistics)
+            places = Places(index.term)
             for batch, texts in in_batches(batches):
-                leaks = [(i, *f) for i, one in enumerate(texts) for f in search_text(index, places, one, size, overlap)]
+                leaks = [(i, *f) for i, one in enumerate(texts) for f in search_text(index, places, one, overlap)]
                 columns = list(zip(*leaks)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -269,11 +305,12 @@ def drop_leaks(
     for shared in _blocks(items, item, item_text, answer, index_items, whole):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, threshold)
-            places, size = Places(index.term), max(passage, 2 * index.longest)
+            block, statistics = shared.value
+            index = Index(block, threshold, passage, statistics)
+            places = Places(index.term)
             for batch in batches:
                 for part, texts in in_batches([batch], f"c{at_text}"):
-                    clean_ = [not search_text(index, places, one, size, overlap) for one in texts]
+                    clean_ = [not search_text(index, places, one, overlap) for one in texts]
                     yield pa.RecordBatch.from_arrays(part.filter(pa.array(clean_)).columns, batch.schema.names)
 
         docs = docs.mapInArrow(run, schema)
@@ -281,17 +318,53 @@ def drop_leaks(
 
 
 def _blocks(items: DataFrame, item: str, item_text: str, answer: str | None, size: int, whole: bool = False) -> list:
-    """Broadcasts of the items' words, ``size`` items each; one without items if there are none."""
+    """Broadcasts of ``(items, statistics)``, ``size`` items each; one without items if there are none.
+
+    The statistics are of the whole benchmark, for the terms of the block: Spark counts
+    them and lays them beside each item's terms. The driver holds one block at a time.
+    """
     spark = items.sparkSession
     given = items.select(F.col(item).alias("item"), F.col(item_text).alias("text"), (F.col(answer) if answer else F.lit(None).cast("string")).alias("answer"))
-    blocks: list[list] = [[]]
-    for r in given.where(F.col("text").isNotNull()).toLocalIterator():
-        words = words_of(r["text"])
-        if len(blocks[-1]) == size:
-            blocks.append([])
-        if r["answer"] is not None:
-            parts = words, words_of(r["answer"])
-        else:
-            parts = (words, None) if whole else split_item(words)
-        blocks[-1].append((r["item"], *parts))
-    return [spark.sparkContext.broadcast(block) for block in blocks]
+    kind = given.schema["item"].dataType.simpleString()
+    schema = f"item {kind}, question array<string>, answer array<string>, same boolean"
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for text, separate in zip(batch.column("text").to_pylist(), batch.column("answer").to_pylist()):
+                words = words_of(text)
+                if separate is not None:
+                    parts.append((words, words_of(separate)))
+                else:
+                    parts.append((words, None) if whole else split_item(words))
+            words = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("item"),
+                    pa.array([q for q, _ in parts], words),
+                    pa.array([a for _, a in parts], words),
+                    pa.array([a is q for q, a in parts]),
+                ],
+                ["item", "question", "answer", "same"],
+            )
+
+    number = F.monotonically_increasing_id().alias("row")
+    known = materialise(given.where(F.col("text").isNotNull()).mapInArrow(cut, schema).select("*", number), "benchmark-words")
+    both = F.when(F.col("answer").isNull() | F.col("same"), F.col("question")).otherwise(F.concat("question", "answer"))
+    every = known.select("row", both.alias("words")).where(F.size("words") > 0)
+    total = every.agg(F.count(F.lit(1)).alias("items"), F.coalesce(F.avg(F.size("words")), F.lit(0.0)).alias("mean")).first()
+    terms = every.select("row", F.explode(F.array_distinct("words")).alias("term"))
+    held = materialise(terms.groupBy("term").agg(F.count(F.lit(1)).alias("held")), "benchmark-terms")
+    beside = terms.join(held, "term").groupBy("row").agg(F.collect_list(F.struct("term", "held")).alias("held"))  # an item's own terms
+    rows = materialise(known.join(beside, "row"), "benchmark-items").orderBy(F.size("question"), "row")
+    shared, block, counts = [], [], {}
+    for r in rows.toLocalIterator():
+        if len(block) == size:
+            shared.append(spark.sparkContext.broadcast((block, Statistics(total.items, total.mean, counts))))
+            block, counts = [], {}
+        question = list(r.question)
+        block.append((r["item"], question, question if r.same else None if r.answer is None else list(r.answer)))
+        counts.update((h.term, h.held) for h in r.held)
+    if block or not shared:
+        shared.append(spark.sparkContext.broadcast((block, Statistics(total.items, total.mean, counts))))
+    return shared

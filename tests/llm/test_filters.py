@@ -119,14 +119,16 @@ def plain_leaks(doc_rows, item_rows, threshold=decontaminate.THRESHOLD, passage=
         tf, idf = d.count(word), np.log(1 + (n - held[word] + 0.5) / (held[word] + 0.5))
         return idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(d) / mean))
 
-    size = max([passage, *(2 * len(d) for _, d in items)])
     out = []
     for key, text in doc_rows:
         words = decontaminate.words_of(text)
         best = {}
-        for begin, end in decontaminate.passages_of(len(words), size):
-            part = words[begin:end]
-            for at, (i, d) in enumerate(items):
+        for at, (i, d) in enumerate(items):
+            size = passage
+            while size < 2 * len(d):
+                size *= 2
+            for begin, end in decontaminate.passages_of(len(words), size):
+                part = words[begin:end]
                 score = sum(impact(w, d) for w in set(part) & set(d)) / sum(impact(w, d) for w in set(d))
                 if score < threshold - 1e-9:
                     continue
@@ -146,7 +148,7 @@ def leak_rows():
     dice = random.Random(7)
     words = [a + b for a in "re th on in er st al or".split() for b in "an es ti en he ou ne ar".split()]
     some = lambda n: [dice.choice(words) for _ in range(n)]
-    items = [(i, some(dice.randint(6, 60))) for i in range(30)] + [(30, some(3)), (31, some(1))]
+    items = [(i, some(dice.randint(6, 60))) for i in range(30)] + [(30, some(3)), (31, some(1)), (32, some(150)), (33, some(400))]
     docs = []
     for i in range(60):
         text = some(dice.randint(5, 500))
@@ -157,6 +159,7 @@ def leak_rows():
             at = dice.randrange(len(text))
             text[at:at] = [w.upper() + "," for w in item] if i % 4 == 0 else item
         docs.append((i, " ".join(text)))
+    docs += [(200 + n, " ".join(some(90) + items[n][1] + some(200))) for n in (32, 33)]
     docs += [(100, None), (101, ""), (102, "!! ??"), (103, " ".join(some(9000) + items[4][1])), (None, " ".join(items[5][1])), (7, docs[0][1]), (7, docs[0][1])]
     return docs, [(i, " ".join(t)) for i, t in items] + [(40, None), (41, ""), (42, "..."), (3, " ".join(items[3][1]))]
 
@@ -186,8 +189,10 @@ def test_blocks_of_items_and_empty_tables(spark):
     docs, items = leak_rows()
     frame, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     pairs = lambda df: {(r.doc_id, r.item_id) for r in df.collect()}
-    exact = {(k, i) for k, i, *_, q, a in plain_leaks(docs, items) if q == a == 1 and i < 30}
-    assert exact <= pairs(decontaminate.find_leaks(frame, bench, index_items=10))
+    # blocks score with the statistics of all items
+    cut = decontaminate.find_leaks(frame, bench, threshold=0.6, index_items=10)
+    found = sorted([(r[0], r[1], r[2], round(r[3], 9), r[4], r[5]) for r in cut.collect()], key=str)
+    assert found == plain_leaks(docs, items, 0.6) and {(232, 32), (233, 33)} <= {f[:2] for f in found}
     assert pairs(decontaminate.find_leaks(frame, bench.limit(0))) == pairs(decontaminate.find_leaks(frame.limit(0), bench)) == set()
     assert decontaminate.drop_leaks(frame, bench.limit(0)).count() == len(docs)
 

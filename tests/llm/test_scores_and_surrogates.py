@@ -172,7 +172,7 @@ def test_pipeline_equals_its_operators_done_plainly(spark, tmp_path):
     near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
     left = [r for r in left if not any(near(r[0], o[0]) and o[0] < r[0] for o in left)]  # groups here are cliques
     index = decontaminate.Index([(1, *decontaminate.split_item(decontaminate.words_of(item)))])
-    left = [r for r in left if not decontaminate.search_text(index, decontaminate.Places(index.term), r[1], 128)]
+    left = [r for r in left if not decontaminate.search_text(index, decontaminate.Places(index.term), r[1])]
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["quality classifier", "SimHash near-dedup", "benchmark decontamination", "PII surrogates", "SentencePiece"]
     out = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
