@@ -18,6 +18,7 @@ import functools
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -78,18 +79,34 @@ class Pieces:
         self.pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
-        """The pieces of a short text by merging neighbours, best score first, the leftmost of equals."""
-        parts, score = list(text), self.score
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if at < 0:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        """The pieces of a text by merging neighbours, best score first, the leftmost of equals.
+
+        Merges wait in a heap, so time grows with the length and its logarithm. One is
+        out of date if its two parts are not neighbours any more as they were.
+        """
+        score, n = self.score, len(text)
+        parts: list[str | None] = list(text)
+        waiting = [(-score[text[i : i + 2]], i, text[i : i + 2]) for i in range(n - 1) if text[i : i + 2] in score]
+        heapify(waiting)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while waiting:
+            _, at, both = heappop(waiting)
+            right = after[at]
+            if parts[at] is None or right == n or len(parts[at]) + len(parts[right]) != len(both) or parts[at] + parts[right] != both:
+                continue
+            parts[at], parts[right] = both, None
+            after[at] = beyond = after[right]
+            if beyond < n:
+                before[beyond] = at
+                longer = both + parts[beyond]
+                if longer in score:
+                    heappush(waiting, (-score[longer], at, longer))
+            left = before[at]
+            if left >= 0:
+                longer = parts[left] + both
+                if longer in score:
+                    heappush(waiting, (-score[longer], left, longer))
+        return [p for p in parts if p is not None]
 
     def compatible(self, a: int, b: int) -> bool:
         key = a << 32 | b

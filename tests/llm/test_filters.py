@@ -231,6 +231,14 @@ def test_words_sharing_prefixes(sentence_pieces):
     assert all(known[w] == sentence_pieces.encode(w[1:]) for w in words)
 
 
+def test_long_runs_of_spaces_and_words_behind_them(sentence_pieces):
+    own = pieces.pieces(MODEL)
+    for text in (" " * 200_000, "  " + "abcdefghij" * 20_000, "x" + " " * 99_999 + "y  the", "  " + "  ".join(["the", "of", "▁and"]) * 3_000):
+        words = own.words(text)
+        known = own.encode_words(set(words))
+        assert [i for w in words for i in known[w]] == sentence_pieces.encode(text)
+
+
 def test_encoding_and_decoding(spark, sentence_pieces):
     texts = [None, "", " ", "  lead", "trail  ", "The quick brown fox", "a\nb\tc", "▁mark▁", "日本語 🙂", "word " * 20_000, "x" * 3000]
     rows = [(i, t) for i, t in enumerate(texts)] + [(3, "again"), (3, "again"), (None, "no key")]
