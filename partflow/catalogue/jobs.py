@@ -11,6 +11,7 @@ from partflow.catalogue.entries import Tables, day, query
 from partflow.catalogue.keyed import _PROFILE_SQL, _batch, _existing_profile, _registrations, _responses
 from partflow.catalogue.partitions import _ENTRIES_SQL, STATS_DAILY_SQL, _objects
 from partflow.catalogue.quality import _EXPORT_SQL, _MEASURES_SQL, _authority, _export, _export_measures
+from partflow.functions.documents import resolve_pools
 from partflow.functions.keys import source_date
 from partflow.operators import profile
 from partflow.operators.assets import STABLECOIN
@@ -29,6 +30,7 @@ from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.manifests import read_manifest_document, write_manifest_document
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
 from partflow.sinks.snapshots import write_snapshot
+from partflow.sources.documents import read_documents, read_responses
 from partflow.sources.inventory import inventory
 from partflow.sources.partitions import footer_stats, read_exports, read_partition, read_partitions, read_snapshot, read_with_source
 from partflow.sources.storage import Move, Retry, Storage
@@ -475,3 +477,60 @@ def ledger_schemas(t: Tables):
     after = ledger.uploads().select(*columns)
     # a difference would show as rows more
     return after.unionAll(after.exceptAll(before)).unionAll(before.exceptAll(after))
+
+
+@query("""
+select 'events' as exporter, 'by name' as chosen, count(distinct strftime(ts, '%Y-%m-%d')) as uploaded, cast(0 as bigint) as skipped_existing from events
+union all select 'orders', 'by group', count(distinct year(o_orderdate)), 0 from orders
+union all select 'events', 'by both names', 0, count(distinct strftime(ts, '%Y-%m-%d')) from events
+union all select 'orders', 'by both names', 0, count(distinct year(o_orderdate)) from orders
+union all select 'parts', 'refused', 0, 0
+""")
+def publish_by_selection(t: Tables):
+    # one dataset by its name, one by its group, then both, which have nothing left to do; a name that there isn't stops all
+    orders = t.orders.withColumn("partition_value", F.year("o_orderdate").cast("string"))
+    yearly = DatasetSpec("orders", "orders", "o_year", EPOCH, "yearly")
+    ledger, target = Ledger(t.spark, new_dir(t.spark, "ledger")), new_dir(t.spark, "published")
+    jobs = {
+        "events": (PublishJob(_land_events(t), target, ledger), Truth(t.events, t.events, "event_id", day())),
+        "orders": (PublishJob(_land(orders, yearly), target, ledger), Truth(t.orders.select(F.year("o_orderdate").alias("o_year")))),
+    }
+    specs = [_EVENTS, yearly]
+
+    def chosen(label: str, **choice):
+        summary = publish_all(t.spark, jobs, specs, _NOW, **choice)
+        return materialise(summary.select("exporter", F.lit(label).alias("chosen"), "uploaded", "skipped_existing"), "chosen")
+
+    refused = []
+    try:
+        chosen("unknown", names=["events", "parts"])
+    except ValueError as error:
+        refused.append((str(error).rsplit(" ", 1)[1], "refused", 0, 0))
+    found = chosen("by name", names=["events"]).unionAll(chosen("by group", group="yearly")).unionAll(chosen("by both names", names=["orders", "events"]))
+    return found.unionAll(t.spark.createDataFrame(refused, found.schema))
+
+
+@query("""
+select 'file' as kind, cast(s_suppkey as varchar) as name, s_name as title, true as success from supplier
+union all select 'response', cast(c_custkey as varchar), case when c_acctbal >= 0 then c_name end, c_acctbal >= 0 from customer
+""")
+def landed_documents(t: Tables):
+    # a text file for each supplier, and answers landed in two deliveries, read back from disk
+    files, answers = new_dir(t.spark, "files"), new_dir(t.spark, "answers")
+    document = F.to_json(F.struct(F.col("s_name").alias("title")))
+    t.supplier.select(F.col("s_suppkey"), document.alias("value")).write.partitionBy("s_suppkey").text(files)
+    read = read_documents(t.spark, files, "*.txt")
+    listed = read.select(
+        F.lit("file").alias("kind"), F.regexp_extract("path", "^s_suppkey=([^/]+)/[^/]+$", 1).alias("name"),
+        F.get_json_object("content", "$.title").alias("title"), F.lit(True).alias("success"),
+    )
+    solvent, key = F.col("c_acctbal") >= 0, F.col("c_custkey").cast("string")
+    body = F.struct(key.alias("pool_id"), F.when(solvent, F.col("c_mktsegment")).alias("ticker"), F.when(solvent, F.col("c_name")).alias("name"))
+    landed = t.customer.select(
+        key.alias("id"), F.lit(200).alias("http_status"), F.to_json(body).alias("body"),
+        F.lit(None).cast("string").alias("transport_error"), F.lit(_NOW).alias("fetched_at"), solvent.alias("first"),
+    )
+    for n, part in enumerate((F.col("first"), ~F.col("first"))):
+        landed.where(part).drop("first").write.parquet(f"{answers}/delivery={n}")
+    resolved = resolve_pools(read_responses(t.spark, answers))
+    return listed.unionAll(resolved.select(F.lit("response"), F.col("id"), F.col("name"), F.col("success")))
