@@ -30,6 +30,7 @@ from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.manifests import read_manifest_document, write_manifest_document
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
 from partflow.sinks.snapshots import write_snapshot
+from partflow.sinks.versions import compact_versions, highest_versions
 from partflow.sources.documents import read_documents, read_responses
 from partflow.sources.inventory import inventory
 from partflow.sources.partitions import footer_stats, read_exports, read_partition, read_partitions, read_snapshot, read_with_source
@@ -364,6 +365,21 @@ def pool_exports(t: Tables):
     return exported.unionAll(uploads)
 
 
+@query("""
+select cast(o_custkey as varchar) as pool_hash, cast(max(n) as integer) as max_version
+from (select o_custkey, count(*) as n from orders group by o_custkey, year(o_orderdate)) group by 1
+""")
+def compacted_versions(t: Tables):
+    # an export for each year, its versions the orders of the year; after every third the versions so far are written as one state
+    key, out = POOL_DATA_SCHEMA["pool_hash"], new_dir(t.spark, "exports")
+    years = t.orders.groupBy(F.col("o_custkey").cast("string").alias("pool_hash"), F.year("o_orderdate").alias("year"))
+    counts = materialise(years.agg(F.count("*").cast("int").alias("version")), "counts")
+    for (year,) in counts.select("year").distinct().orderBy("year").toLocalIterator():
+        counts.where(F.col("year") == year).drop("year").write.parquet(f"{out}/{POOL_DATA}/date={year}-12-31/export={year}")
+        compact_versions(t.spark, out, POOL_DATA, key, after=3)
+    return highest_versions(t.spark, out, POOL_DATA, key)
+
+
 @query("""
 with types as (select event_type as exporter, count(*) as n, max(value) > 300 as broke_off from events group by 1)
 select exporter, 'first' as run, n as records_fetched, 'completed' as status, false as told from types where not broke_off

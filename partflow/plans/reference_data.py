@@ -16,14 +16,16 @@ from partflow.operators.profile import join_responses
 from partflow.operators.selection import COMPLETED
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger, Run
+from partflow.sinks.versions import compact_versions, highest_versions
 from partflow.sources.inventory import list_objects
-from partflow.sources.partitions import read_exports, read_partitions
+from partflow.sources.partitions import read_partitions
 from partflow.spec import DAILY, LEDGER_SCHEMAS, POOL_DATA_SCHEMA, REGISTRY_SCHEMA, DatasetSpec, flat_schema
 
 POOL_REGISTRATIONS = DatasetSpec("pool_registration", "", "slot", DAILY)
 POOL_DATA = "off_chain_pool_data"
 REGISTRY = "smart_contract_registry"
 _POOL_KEY = flat_schema("pool_id string")
+_POOL, _CONTRACT = POOL_DATA_SCHEMA["pool_hash"], REGISTRY_SCHEMA["script_hash"]
 
 
 def _export(rows: DataFrame, out: str, dataset: str, day: str, schema: T.StructType, name: str) -> DataFrame | None:
@@ -73,7 +75,7 @@ def pool_candidates(
     registered = read_partitions(spark, base, POOL_REGISTRATIONS, schema=_POOL_KEY).select(
         F.col("pool_id").alias("pool_hash"), "partition_value"
     )
-    exported = read_exports(spark, out, POOL_DATA, POOL_DATA_SCHEMA)
+    exported = highest_versions(spark, out, POOL_DATA, _POOL)
     since = versioned.keys_since(registered, "pool_hash", F.col("partition_value"), watermark)
     return versioned.candidates(registered, exported, since, "pool_hash", rebuild)
 
@@ -104,7 +106,7 @@ def _pools(
     watermark = ledger.watermark(POOL_DATA)
     due = materialise(pool_candidates(spark, base, out, watermark, rebuild), "pools-due")
     resolved = resolve_pools(join_responses(due, responses, "pool_hash").drop("fetched_at"))
-    versions = versioned.max_versions(read_exports(spark, out, POOL_DATA, POOL_DATA_SCHEMA), "pool_hash")
+    versions = highest_versions(spark, out, POOL_DATA, _POOL)
     numbered = versioned.assign_versions(resolved, versions, "pool_hash", rebuild)
     stamped = numbered.withColumn("fetched_at", F.lit(now))
     exported = _export(stamped, _root(spark, out, run), POOL_DATA, now.date().isoformat(), POOL_DATA_SCHEMA, _name(run))
@@ -113,6 +115,7 @@ def _pools(
         last_day = rows.agg(F.max("partition_value")).first()[0] if exported is not None else None
         n_exported = exported.count() if exported is not None else 0
         _record(spark, ledger, run, out, POOL_DATA, n_exported, now)
+        compact_versions(spark, out, POOL_DATA, _POOL)
         ledger.complete_run(run, now, due.count(), n_exported, watermark=last_day)
     return exported
 
@@ -170,7 +173,7 @@ def _contracts(
         known = ledger.registry_hashes()
         best = registry.not_outranked(registry.best_source(records), known)
         best = materialise(best, "contracts")
-        versions = versioned.max_versions(read_exports(spark, out, REGISTRY, REGISTRY_SCHEMA), "script_hash")
+        versions = highest_versions(spark, out, REGISTRY, _CONTRACT)
         numbered = versioned.assign_versions(best.withColumn("success", F.lit(True)), versions, "script_hash")
         stamped = numbered.withColumn("fetched_at", F.lit(now))
         exported = _export(stamped, _root(spark, out, run), REGISTRY, now.date().isoformat(), REGISTRY_SCHEMA, _name(run))
@@ -187,5 +190,6 @@ def _contracts(
         ledger.append("registry_state", state)
         n = exported.count() if exported is not None else 0
         _record(spark, ledger, run, out, REGISTRY, n, now)
+        compact_versions(spark, out, REGISTRY, _CONTRACT)
         ledger.complete_run(run, now, n, n)
     return exported

@@ -14,6 +14,7 @@ from partflow.sinks import snapshots
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.manifests import read_manifest_document, write_manifest_document
 from partflow.sinks.snapshots import clean_snapshots, point_to, write_snapshot
+from partflow.sinks.versions import compact_versions, highest_versions
 from partflow.sources.partitions import latest_snapshot, read_snapshot
 from partflow.spec import flat_schema
 
@@ -126,3 +127,41 @@ def test_a_compaction_broken_off_is_mended_by_the_next(spark, tmp_path, monkeypa
     assert rows(ledger.uploads(), "exporter", "row_count") == [("a", 3), ("b", 3)]
     ledger.compact("uploads")
     assert rows(ledger.events("uploads")) == before
+
+
+def test_a_run_reads_the_version_state_and_what_came_after_it(spark, tmp_path):
+    out, key = str(tmp_path / "out"), flat_schema("k string")["k"]
+    highest = lambda: highest_versions(spark, out, "pools", key)
+
+    def export(n, *values):
+        path = f"{out}/pools/date=2024-01-0{n}/export={n}"
+        spark.createDataFrame(list(values), "k string, version int, text string").coalesce(1).write.mode("overwrite").parquet(path)
+
+    assert rows(highest()) == [] and not compact_versions(spark, out, "pools", key, after=0)
+    export(1, ("a", 1, "x"), ("b", 1, "x"), (None, 4, "x"))
+    export(2, ("a", 2, "x"), ("a", 2, "x"))
+    assert not compact_versions(spark, out, "pools", key, after=3)
+    assert compact_versions(spark, out, "pools", key, after=2)
+    read = lambda: {path.split("/out/")[1].rsplit("/", 1)[0] for path in highest().inputFiles()}
+    assert all(folder.startswith("_versions/pools/state=000001-") for folder in read())
+    export(3, ("b", 2, "x"), ("c", 1, "x"))
+    assert {folder.split("/")[0] for folder in read()} == {"_versions", "pools"} and "pools/date=2024-01-03/export=3" in read()
+    assert rows(highest()) == [("a", 2), ("b", 2), ("c", 1), (None, 4)]
+    # what is not known to be whole is read, but never covered
+    (Path(out) / "pools/date=2024-01-03/export=3/_SUCCESS").unlink()
+    assert not compact_versions(spark, out, "pools", key, after=1)
+    export(4, ("c", 7, "x"))
+    assert compact_versions(spark, out, "pools", key, after=1)
+    assert rows(highest()) == [("a", 2), ("b", 2), ("c", 7), (None, 4)]
+    assert "pools/date=2024-01-03/export=3" in read() and "pools/date=2024-01-04/export=4" not in read()
+    # a state whose writer died is passed over
+    (state,) = Path(out).glob("_versions/pools/state=000002-*")
+    (state.parent / "state=000003-x" / "keys").mkdir(parents=True)
+    assert rows(highest()) == [("a", 2), ("b", 2), ("c", 7), (None, 4)]
+    # an export that is written anew or taken back makes the state void
+    export(4, ("c", 3, "x"))
+    assert rows(highest()) == [("a", 2), ("b", 2), ("c", 3), (None, 4)]
+    export(5, ("d", 1, "x"))
+    assert compact_versions(spark, out, "pools", key, after=1)
+    assert len(list(Path(out).glob("_versions/pools/state=*/keys/_SUCCESS"))) == 2
+    assert rows(highest()) == [("a", 2), ("b", 2), ("c", 3), ("d", 1), (None, 4)]
