@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from partflow.scratch import new_dir
 
-__all__ = ["attach", "in_batches", "materialise", "maybe_among", "new_dir", "numbered", "quoted", "table", "tokenizer_file"]
+__all__ = ["attach", "in_batches", "in_slices", "materialise", "maybe_among", "new_dir", "numbered", "quoted", "table", "tokenizer_file"]
 
 #: Texts handled at once by a Python task: rows, and characters, whichever comes first.
 BATCH_ROWS = 256
@@ -39,7 +39,13 @@ def tokenizer_file(name: str) -> str:
 
 
 def in_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of the batches, of bounded rows and characters, with their texts (null: empty).
+    """Slices of the batches, of bounded rows and characters, with their texts (null: empty)."""
+    for part in in_slices(batches, column):
+        yield part, [t or "" for t in part.column(column).to_pylist()]
+
+
+def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text", rows: int = BATCH_ROWS, chars: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches, of bounded rows and bytes of text.
 
     A single text above the bound is a slice of its own; no text is cut.
     """
@@ -49,17 +55,12 @@ def in_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Itera
         start = size = 0
         for i, length in enumerate(lengths):
             length = length or 0
-            if i > start and (i - start >= BATCH_ROWS or size + length > BATCH_CHARS):
-                yield _part(batch, column, start, i)
+            if i > start and (i - start >= rows or size + length > chars):
+                yield batch.slice(start, i - start)
                 start, size = i, 0
             size += length
         if len(lengths) > start:
-            yield _part(batch, column, start, len(lengths))
-
-
-def _part(batch: pa.RecordBatch, column: str, start: int, end: int) -> tuple[pa.RecordBatch, list[str]]:
-    part = batch.slice(start, end - start)
-    return part, [t or "" for t in part.column(column).to_pylist()]
+            yield batch.slice(start, len(lengths) - start)
 
 
 def attach(rows: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -20,11 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partflow.llm.common import in_batches, materialise, new_dir
+from partflow.llm.common import in_slices, materialise, new_dir
 from partflow.llm.segments import ids_memo, library
 
 SCALE_BITS = 18
@@ -36,6 +37,9 @@ LANES = 1024
 CHECKPOINT_STEPS = 256
 #: Ids that a written partition holds, about.
 PARTITION_IDS = 1 << 23
+#: Texts that are cut and looked up at a time: rows, and bytes, whichever comes first.
+SLICE_ROWS = 4096
+SLICE_CHARS = 1 << 22
 #: Pieces in a worker's cache, at some 200 bytes each.
 CACHE_PIECES = 1_400_000
 
@@ -61,12 +65,17 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id",
         memo = ids_memo(tokenizer, CACHE_PIECES, kind.str)
         last = np.asarray([end_id], kind).tobytes()
         counts = np.zeros(max(lib.size, end_id + 1), np.int64)
-        for batch, texts in in_batches(batches):
-            cut = [lib.pieces(one) for one in texts]
+        for batch in in_slices(batches, "text", SLICE_ROWS, SLICE_CHARS):
+            texts = pc.fill_null(batch.column("text"), "")
+            even, pieces = lib.split(texts)
+            found = iter(memo.joined(pieces))
+            rest = texts.filter(pa.array(~even)).to_pylist()
+            cut = [lib.pieces(one) for one in rest]
             known = iter(memo.look([p for p in cut if p is not None]))
-            rest = [one for one, p in zip(texts, cut) if p is None]
-            whole = iter([np.asarray(i, kind).tobytes() for i in lib.encode(rest)] if rest else [])
-            ids = [(next(whole) if p is None else b"".join(next(known))) + last for p in cut]
+            uncut = [one for one, p in zip(rest, cut) if p is None]
+            whole = iter([np.asarray(i, kind).tobytes() for i in lib.encode(uncut)] if uncut else [])
+            others = iter([next(whole) if p is None else b"".join(next(known)) for p in cut])
+            ids = [next(found if one else others) + last for one in even.tolist()]
             counts += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=len(counts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(b) // kind.itemsize for b in ids], pa.int64()), pa.array(ids, pa.binary()), pa.nulls(len(ids), pa.binary())],

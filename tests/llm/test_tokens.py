@@ -160,3 +160,18 @@ def test_pieces_have_the_tokens_that_the_library_finds():
     want = lib.encode([p[1:] if p[:1] == "\n" else " " + p for p in pieces])
     for kind in ("<u2", "<u4"):
         assert [np.frombuffer(ids, kind).tolist() for ids in lib.encode_pieces(pieces, kind)] == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("abÉ' .,!\n\t中1\x1c\x85\xa0 _|"), max_size=12)), max_size=8))
+def test_texts_cut_together_are_cut_as_each_by_itself(texts):
+    import pyarrow as pa
+    from partflow.llm.segments import ids_memo
+
+    lib, given_texts = library(BYTE_BPE), [t or "" for t in texts]
+    even, pieces = lib.split(pa.array(given_texts, pa.string()))
+    cut = [t for t, one in zip(given_texts, even) if one]
+    assert pieces.to_pylist() == [lib.pieces(t) for t in cut]
+    assert all("  " not in t and "\n\t" not in t and "\xa0\xa0" not in t for t in cut)
+    got = ids_memo(BYTE_BPE, 7, "<u2").joined(pieces)
+    assert [np.frombuffer(ids, "<u2").tolist() for ids in got] == lib.encode(cut)
