@@ -24,7 +24,7 @@ from partflow.plans.enrichment import run_enrichment
 from partflow.plans.migrate import migrate_layout
 from partflow.plans.profile import PROFILE_NAME, REGISTRATIONS, build_profile, pending_lookups
 from partflow.plans.publish import PublishJob, Truth, publish_all, publish_dataset, retry_failed, validate_partitions
-from partflow.plans.reference_data import POOL_DATA, POOL_REGISTRATIONS, export_pools
+from partflow.plans.reference_data import POOL_DATA, POOL_REGISTRATIONS, REGISTRY, export_pools, export_registry
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.manifests import read_manifest_document, write_manifest_document
@@ -35,7 +35,7 @@ from partflow.sources.documents import read_documents, read_responses
 from partflow.sources.inventory import inventory
 from partflow.sources.partitions import footer_stats, read_exports, read_partition, read_partitions, read_snapshot, read_with_source
 from partflow.sources.storage import Move, Retry, Storage
-from partflow.spec import DAILY, EPOCH, POOL_DATA_SCHEMA, PROFILE_SCHEMA, DatasetSpec
+from partflow.spec import DAILY, EPOCH, POOL_DATA_SCHEMA, PROFILE_SCHEMA, REGISTRY_SCHEMA, DatasetSpec
 from partflow.streaming.discover import collect_stats, file_stream
 from partflow.streaming.publish import publish_new_partitions
 
@@ -228,6 +228,23 @@ def layout_migration(t: Tables):
     return checked.select("exporter", "partition_value", "row_count", "found_row_count", "is_published")
 
 
+@query("""
+with days as (select strftime(ts, '%Y-%m-%d') as d, day(ts) % 4 as kind, count(*) as n from events group by all)
+select d as partition_value, kind = 3 as is_published, case when kind = 3 then n end as found_row_count,
+  case when kind = 2 then 'Partition holds no rows' when kind <> 3 then 'Parquet read error: unreadable file' end as error_details,
+  case when kind = 3 then 'events/' else 'events/date=' end || d || '/events-' || d || '.parquet' as s3_key from days
+""")
+def layout_migration_with_broken_files(t: Tables):
+    # whole partitions move, and their keys in the ledger; the others stay where they are
+    ledger, base = Ledger(t.spark, new_dir(t.spark, "ledger")), _spoiled(t)
+    days = t.events.select(F.lit("events").alias("exporter"), day().alias("partition_value")).distinct()
+    old = F.format_string("events/date=%1$s/events-%1$s.parquet", "partition_value")
+    ledger.append("uploads", days.select("*", old.alias("s3_key"), F.lit("completed").alias("status"), F.lit(0).alias("event_seq")))
+    checked = migrate_layout(t.spark, base, new_dir(t.spark, "bare"), [_EVENTS], _NOW, ledger)
+    moved = checked.select("partition_value", "is_published", F.when(F.col("is_published"), F.col("found_row_count")).alias("found_row_count"), "error_details")
+    return moved.join(ledger.uploads().select("partition_value", "s3_key"), "partition_value")
+
+
 @query("""
 select 'events/date=' || strftime(ts, '%Y-%m-%d') as old_directory, 'events/' || strftime(ts, '%Y-%m-%d') as new_directory from events group by 1, 2
 """)
@@ -365,6 +382,43 @@ def pool_exports(t: Tables):
     return exported.unionAll(uploads)
 
 
+@query("""
+with s as (select cast(s_suppkey as varchar) as h, bool_or(s_acctbal >= 0) as early from supplier group by 1)
+select 'row' as kind, h as name, '2024-02-01' as day, cast(1 as bigint) as n from s where early
+union all select 'row', h, '2024-02-02', case when early then 2 else 1 end from s
+union all select 'upload', 'smart_contract_registry', '2024-02-01', count(*) from s where early
+union all select 'upload', 'smart_contract_registry', '2024-02-02', count(*) from s
+union all select 'held', case when early then 'crfa_v2' else 'stricahq' end, null, count(*) from s group by early
+union all select 'source', 'crfa_v2', 'c1', 0 union all select 'source', 'stricahq', 's1', 0
+""")
+def registry_export(t: Tables):
+    # the first run finds the files of one source only, the second those of the better one as well, the third nothing new
+    suppliers = t.supplier.groupBy(F.col("s_suppkey").cast("string").alias("h")).agg(
+        F.min("s_name").alias("title"), F.bool_or(F.col("s_acctbal") >= 0).alias("early"), F.expr("first(s_suppkey div 50)").alias("bucket")
+    )
+    suppliers = materialise(suppliers, "contracts")
+    item = F.struct(F.col("h").alias("scriptHash"), F.col("title").alias("name"))
+
+    def files(rows, folder: str, project: str, member: str):
+        grouped = rows.groupBy("bucket").agg(F.collect_list(item).alias(member))  # at most 50 a file
+        document = F.struct(F.concat(F.lit("P"), "bucket").alias(project), F.lit("DeFi").alias("category"), member)
+        return grouped.select(F.format_string(folder + "/%d.json", "bucket").alias("path"), F.to_json(document).alias("content"))
+
+    best = files(suppliers, "projects", "projectName", "contracts")
+    other = files(suppliers.where("early"), "dApps_v2", "dAppName", "scripts")
+    latest = t.spark.createDataFrame([("stricahq", "s1"), ("crfa_v2", "c1")], "source string, latest_sha string")
+    out, ledger = new_dir(t.spark, "exports"), Ledger(t.spark, new_dir(t.spark, "ledger"))
+    for n, landed in enumerate(({"crfa_v2": other}, {"crfa_v2": other, "stricahq": best}, {"crfa_v2": other, "stricahq": best})):
+        export_registry(t.spark, out, landed, latest, ledger, _NOW + dt.timedelta(days=n))
+    rows = read_exports(t.spark, out, REGISTRY, REGISTRY_SCHEMA)
+    exported = rows.select(F.lit("row").alias("kind"), F.col("script_hash").alias("name"), F.col("date").alias("day"), F.col("version").cast("bigint").alias("n"))
+    uploads = ledger.uploads().select(F.lit("upload"), "exporter", "partition_value", "row_count")
+    holders = ledger.registry_hashes().groupBy("script_hash").agg(F.concat_ws(", ", F.sort_array(F.collect_set("source"))).alias("by"))
+    held = holders.groupBy("by").agg(F.count("*").alias("n")).select(F.lit("held"), "by", F.lit(None).cast("string"), "n")
+    state = ledger.registry_state().select(F.lit("source"), "source", "last_commit_sha", F.lit(0).cast("bigint"))
+    return exported.unionAll(uploads).unionAll(held).unionAll(state)
+
+
 @query("""
 select cast(o_custkey as varchar) as pool_hash, cast(max(n) as integer) as max_version
 from (select o_custkey, count(*) as n from orders group by o_custkey, year(o_orderdate)) group by 1

@@ -10,13 +10,13 @@ from pyspark.sql import types as T
 
 from partflow.operators.enrich import Enrichment, enrich
 from partflow.operators.selection import COMPLETED, keep_pending, keep_requested
+from partflow.plans.transfer import transfer_partitions
 from partflow.scratch import materialise, new_dir
 from partflow.sinks.ledger_store import Ledger
-from partflow.sinks.partitions import BARE, move_staged, published_objects, stage_partitions, staged_stats, stays_in_place, verify_published
-from partflow.sources.inventory import inventory, inventory_files
-from partflow.sources.partitions import file_stats, read_partitions, read_snapshot
-from partflow.sources.probe import file_verdicts
-from partflow.sources.storage import Retry, Storage
+from partflow.sinks.partitions import BARE, published_objects
+from partflow.sources.inventory import inventory
+from partflow.sources.partitions import read_snapshot
+from partflow.sources.storage import Retry
 from partflow.spec import EPOCH, PROFILE_SCHEMA, DatasetSpec
 
 PROFILE_COLUMNS = ("anchor_url", "drep_name")
@@ -30,49 +30,6 @@ def profile_enrichment(spark: SparkSession, out: str) -> Enrichment:
     )
 
 
-def _enrich(
-    spark: SparkSession,
-    job: Enrichment,
-    base: str,
-    target: str,
-    source: DatasetSpec,
-    derived: DatasetSpec,
-    listed: DataFrame,
-    values: list[str],
-    layout: str,
-    schema: T.StructType | None,
-    retry: Retry,
-) -> DataFrame:
-    """Write the enriched partitions that can be read whole; one row per partition with ``is_published``, ``error_details``, ``attempts``."""
-    rows = read_partitions(spark, base, source, values, schema, True, listed=listed)
-    files = materialise(file_stats(rows), "file-stats")
-    pending = listed.where(F.col("partition_value").isin(values))
-    faults = materialise(file_verdicts(inventory_files(spark, base, pending), files.drop("partition_value")), "faults")
-    enriched = job.transform(rows)
-    staging = stage_partitions(enriched, target, arranged=stays_in_place(enriched))
-    expected = files.groupBy("partition_value").agg(F.sum("row_count").alias("row_count"))
-    checked = verify_published(expected, staged_stats(enriched, staging)).join(faults, "partition_value", "full_outer")
-    differs = F.lit("Upload verification failed: rows differ at the target")
-    whole = F.coalesce("is_published", F.lit(False)) & F.col("error_details").isNull()
-    checked = checked.withColumn("is_published", whole).withColumn(
-        "error_details", F.when(~whole, F.coalesce("error_details", differs))
-    )
-    checked = materialise(checked, "verified")
-    arrived = {row.partition_value for row in checked.where("is_published").select("partition_value").toLocalIterator()}
-    moved = move_staged(Storage(spark), staging, target, derived, layout, arrived, retry)
-    went = spark.createDataFrame([(v, m.attempts, m.error) for v, m in moved.items()], "partition_value string, attempts int, error string")
-    return materialise(
-        checked.join(went, "partition_value", "left").select(
-            "partition_value",
-            "row_count",
-            (F.col("is_published") & F.col("error").isNull()).alias("is_published"),
-            F.coalesce("error", "error_details").alias("error_details"),
-            F.coalesce("attempts", F.lit(1)).alias("attempts"),
-        ),
-        "moved",
-    )
-
-
 def run_enrichment(
     spark: SparkSession,
     job: Enrichment,
@@ -100,9 +57,10 @@ def run_enrichment(
     requested = keep_requested(named, wanted)
     pending = materialise(keep_pending(requested, ledger.uploads()), "pending")
     values = [row.partition_value for row in pending.select("partition_value").toLocalIterator()]
-    n_requested = requested.count()
+    counts = listed.join(requested.select("partition_value", F.lit(1).alias("_r")), "partition_value", "left")
+    scanned, n_requested = counts.agg(F.count(F.lit(1)), F.count("_r")).first()
     summary = {
-        "scanned": listed.count(),
+        "scanned": scanned,
         "skipped_existing": n_requested - len(values),
         "enriched": len(values),
         "uploaded": 0,
@@ -115,7 +73,8 @@ def run_enrichment(
         return summary
 
     try:
-        checked = _enrich(spark, job, base, new_dir(spark, "preview") if run is None else target, source, derived, listed, values, layout, schema, retry)
+        where = new_dir(spark, "preview") if run is None else target
+        checked = transfer_partitions(spark, base, where, source, derived, listed, values, job.transform, layout, schema, retry)
         if run is None:
             return summary
         uploads = (
@@ -134,26 +93,27 @@ def run_enrichment(
             )
         )
         ledger.append("uploads", uploads)
-        lost = checked.where("NOT is_published").join(listed.drop("error_details"), "partition_value")
-        ledger.append(
-            "upload_errors",
-            lost.select(
-                F.lit(job.name).alias("exporter"),
-                "partition_value",
-                "file_path",
-                "file_size",
-                "error_details",
-                "attempts",
-                F.lit(now).alias("created_at"),
-                F.lit(run.run_id).alias("event_seq"),
-            ),
-        )
+        summary["uploaded"] = checked.where("is_published").count()
+        summary["errors"] = len(values) - summary["uploaded"]
+        if summary["errors"]:
+            lost = checked.where("NOT is_published").join(listed.drop("error_details"), "partition_value")
+            ledger.append(
+                "upload_errors",
+                lost.select(
+                    F.lit(job.name).alias("exporter"),
+                    "partition_value",
+                    "file_path",
+                    "file_size",
+                    "error_details",
+                    "attempts",
+                    F.lit(now).alias("created_at"),
+                    F.lit(run.run_id).alias("event_seq"),
+                ),
+            )
     except Exception as error:
         if run is not None:
             ledger.complete_run(run, now, len(values), 0, "failed", f"{type(error).__name__}: {str(error)[:500]}")
         raise
-    summary["uploaded"] = checked.where("is_published").count()
-    summary["errors"] = len(values) - summary["uploaded"]
     furthest = max(values, key=int) if job.partition_type == EPOCH else max(values)
     ok = summary["errors"] == 0
     ledger.complete_run(

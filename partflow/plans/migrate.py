@@ -7,14 +7,19 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from partflow.frames import empty_frame
 from partflow.functions.keys import migrate_key
-from partflow.operators.stats import partition_stats
+from partflow.plans.transfer import transfer_partitions
 from partflow.scratch import materialise
 from partflow.sinks.ledger_store import Ledger
-from partflow.sinks.partitions import publish_partitions, published_stats, verify_published
-from partflow.sources.inventory import list_objects
-from partflow.sources.partitions import read_partitions
-from partflow.spec import DatasetSpec
+from partflow.sources.inventory import inventory, list_objects
+from partflow.sources.storage import Retry
+from partflow.spec import DatasetSpec, flat_schema
+
+_CHECKED = flat_schema(
+    "exporter string, partition_value string, row_count bigint, found_row_count bigint,"
+    " is_published boolean, error_details string, attempts int"
+)
 
 
 def planned_moves(objects: DataFrame) -> DataFrame:
@@ -32,6 +37,18 @@ def migrated_uploads(uploads: DataFrame) -> DataFrame:
     return uploads.where(key != F.col("s3_key")).withColumn("s3_key", key)
 
 
+def _migrate(spark: SparkSession, source: str, target: str, specs: list[DatasetSpec], retry: Retry) -> DataFrame:
+    """One row per partition of all datasets; see :func:`migrate_layout`."""
+    checks = empty_frame(spark, _CHECKED)
+    for spec in specs:
+        listed = materialise(inventory(spark, source, spec), "inventory")
+        values = [row.partition_value for row in listed.select("partition_value").toLocalIterator()]
+        if values:
+            checked = transfer_partitions(spark, source, target, spec, spec, listed, values, retry=retry)
+            checks = checks.unionByName(checked.withColumn("exporter", F.lit(spec.name)))
+    return materialise(checks, "migration")
+
+
 def migrate_layout(
     spark: SparkSession,
     source: str,
@@ -40,30 +57,27 @@ def migrate_layout(
     now: dt.datetime,
     ledger: Ledger | None = None,
     dry_run: bool = False,
+    retry: Retry = Retry(),
 ) -> DataFrame:
-    """Write every dataset anew under bare directories and compare both trees.
+    """Write every dataset anew under bare directories, each partition compared before it is moved into place.
 
-    The old tree stays until its owner deletes it. The ledger's keys change only
-    if every partition arrived. Returns the planned moves on a dry run, else one
-    row per partition with ``is_published``.
+    The old tree stays until its owner deletes it. A partition with a file that can't be
+    read, or that does not arrive whole, takes no other with it. The ledger's keys change
+    for the partitions that arrived; the run counts as failed if one did not. Returns the
+    planned moves on a dry run, else one row per partition with ``is_published`` and
+    ``error_details``; running it again does the same once more.
     """
     if dry_run:
         return planned_moves(list_objects(spark, source, "*.parquet"))
-    checks = None
-    for spec in specs:
-        rows = read_partitions(spark, source, spec)
-        values = publish_partitions(rows, target, spec, arranged=True)
-        expected = partition_stats(rows, F.col("partition_value"))
-        verified = verify_published(expected, published_stats(rows, target, spec, values))
-        verified = verified.select(F.lit(spec.name).alias("exporter"), *verified.columns)
-        checks = verified if checks is None else checks.unionByName(verified)
-    checked = materialise(checks, "migration")
-    if ledger is not None and checked.where(~F.col("is_published")).isEmpty():
-        run = ledger.start_run("layout_migration", now)
-        with ledger.closing(run, now):
-            moved = migrated_uploads(ledger.uploads()).withColumn("event_seq", F.lit(run.run_id))
-            moved = materialise(moved, "moved-keys")
-            ledger.append("uploads", moved)
-            n_moved = moved.count()
-            ledger.complete_run(run, now, n_moved, n_moved)
+    if ledger is None:
+        return _migrate(spark, source, target, specs, retry)
+    run = ledger.start_run("layout_migration", now)
+    with ledger.closing(run, now):
+        checked = _migrate(spark, source, target, specs, retry)
+        arrived = checked.where("is_published").select("exporter", "partition_value")
+        moved = migrated_uploads(ledger.uploads()).join(arrived, ["exporter", "partition_value"], "left_semi")
+        ledger.append("uploads", materialise(moved.withColumn("event_seq", F.lit(run.run_id)), "moved-keys"))
+        n, n_arrived = checked.agg(F.count(F.lit(1)), F.count_if("is_published")).first()
+        lost = f"{n - n_arrived} partitions did not arrive" if n_arrived < n else None
+        ledger.complete_run(run, now, n, n_arrived, "failed" if lost else "completed", lost)
     return checked

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from partflow.functions.keys import day_of_epoch_seconds
 from partflow.operators.stats import truth_day_bounds, truth_epoch_counts
+from partflow.plans import transfer
 from partflow.plans.enrichment import Enrichment, run_enrichment
+from partflow.plans.migrate import migrate_layout
 from partflow.plans.publish import PublishJob, Truth, publish_dataset
 from partflow.plans.reference_data import export_registry
 from partflow.sinks.ledger_store import Ledger
@@ -158,3 +160,46 @@ def test_a_dry_enrichment_leaves_the_published_tree_alone(spark, tmp_path):
         path.write_bytes(b"x") if path.suffix == ".parquet" else path.unlink()
     done = run_enrichment(spark, job, base, str(tmp_path / "again"), Ledger(spark, str(tmp_path / "third")), NOW)
     assert (done["uploaded"], done["errors"]) == (2, 1)
+
+
+def test_a_broken_file_stops_no_other_partition_of_a_migration(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    for n in (1, 2):
+        write(tmp_path / "old", n, f"block-2024-01-0{n}.parquet", range(10 * n))
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    keys = [("block", f"2024-01-0{n}", f"block/date=2024-01-0{n}/f.parquet", 0) for n in (1, 2)]
+    ledger.append("uploads", spark.createDataFrame(keys, "exporter string, partition_value string, s3_key string, event_seq bigint"))
+    (tmp_path / "old/block/date=2024-01-02/block-2024-01-02.parquet").write_bytes(b"broken")
+    migrate = lambda: {r.partition_value: r for r in migrate_layout(spark, old, new, [BLOCK], NOW, ledger).collect()}
+    first = migrate()
+    assert first["2024-01-01"].is_published and first["2024-01-01"].found_row_count == 10
+    assert not first["2024-01-02"].is_published and "unreadable" in first["2024-01-02"].error_details
+    assert {r.s3_key for r in ledger.uploads().collect()} == {"block/2024-01-01/f.parquet", "block/date=2024-01-02/f.parquet"}
+    assert [(r.status, r.records_fetched, r.records_exported) for r in ledger.runs().collect()] == [("failed", 2, 1)]
+    # repaired, it follows; what is at the target already is written once more
+    write(tmp_path / "old", 2, "block-2024-01-02.parquet", range(20))
+    assert all(r.is_published for r in migrate().values())
+    assert {r.s3_key for r in ledger.uploads().collect()} == {"block/2024-01-01/f.parquet", "block/2024-01-02/f.parquet"}
+    assert sorted(r.status for r in ledger.runs().collect()) == ["completed", "failed"]
+    # broken again, the target keeps what it has
+    (tmp_path / "old/block/date=2024-01-02/block-2024-01-02.parquet").write_bytes(b"broken")
+    assert not migrate()["2024-01-02"].is_published
+    assert spark.read.parquet(f"{new}/block/2024-01-02").count() == 20
+    assert migrate_layout(spark, str(tmp_path / "none"), new, [BLOCK], NOW).count() == 0
+    # all footers are whole, but a page of one file is not
+    break_page(write(tmp_path / "old", 2, "block-2024-01-02.parquet", range(20)))
+    spoiled = migrate()
+    assert spoiled["2024-01-01"].is_published and "rows differ" in spoiled["2024-01-02"].error_details
+
+
+def test_a_migration_that_breaks_off_is_closed_as_failed(spark, tmp_path, monkeypatch):
+    write(tmp_path / "old", 1, "block-2024-01-01.parquet", range(10))
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+
+    def no_room(*_, **__):
+        raise OSError("no room")
+
+    monkeypatch.setattr(transfer, "stage_partitions", no_room)
+    with pytest.raises(OSError):
+        migrate_layout(spark, str(tmp_path / "old"), str(tmp_path / "new"), [BLOCK], NOW, ledger)
+    assert [(r.status, "no room" in r.error_details) for r in ledger.runs().collect()] == [("failed", True)]
