@@ -51,13 +51,15 @@ def words_of(doc_id: object, text: str) -> Counter[bytes]:
     """
     found = Counter(_RUN.findall(text.encode().lower()))
     start = zlib.crc32(b":" if doc_id is None else f"{doc_id}:".encode())
-    for run, n in list(found.items()):
-        h = zlib.crc32(run, start)
+    hashed = [(run, zlib.crc32(run, start)) for run in found]
+    cut = []
+    for run, h in hashed:
         if h % ONE_IN == 0:
             letters = run.decode()
             at = h % len(letters)
-            del found[run]
-            found[(letters[:at] + letters[at + 1 :]).encode()] += n
+            cut.append(((letters[:at] + letters[at + 1 :]).encode(), found.pop(run)))
+    for word, n in cut:  # only now: what is left of one run may be another one that loses a letter
+        found[word] += n
     return found
 
 

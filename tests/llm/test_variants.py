@@ -70,6 +70,16 @@ def spelled(rng, size):
     return stems
 
 
+def test_a_run_that_becomes_another_run_that_loses_a_letter():
+    # in each of these documents one run loses a letter and becomes the next one, which loses a letter as well
+    text = " ".join("a" * k for k in range(39, 3, -1) for _ in range(3))
+    for doc in (88, 1193, 1217):
+        assert any(zlib.crc32(f"{doc}:{'a' * k}".encode()) % 97 == 0 == zlib.crc32(f"{doc}:{'a' * (k + 1)}".encode()) % 97 for k in range(4, 39))
+        found = variants.words_of(doc, text)
+        assert {w.decode(): n for w, n in found.items() if len(w) >= 5} == plain_words([(doc, text)])
+        assert sum(found.values()) == 36 * 3
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_both_searches_find_all_words_one_letter_apart(seed):
     words = sorted({w for w in spelled(random.Random(seed), 120) if len(w) >= 4})
