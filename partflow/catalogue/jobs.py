@@ -26,6 +26,7 @@ from partflow.plans.profile import PROFILE_NAME, REGISTRATIONS, build_profile, p
 from partflow.plans.publish import PublishJob, Truth, publish_all, publish_dataset, retry_failed, validate_partitions
 from partflow.plans.reference_data import POOL_DATA, POOL_REGISTRATIONS, REGISTRY, export_pools, export_registry
 from partflow.scratch import materialise, new_dir
+from partflow.sinks.documents import write_documents
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.manifests import read_manifest_document, write_manifest_document
 from partflow.sinks.partitions import HIVE, publish_partitions, published_stats
@@ -588,10 +589,10 @@ def landed_documents(t: Tables):
     # a text file for each supplier, and answers landed in two deliveries, read back from disk
     files, answers = new_dir(t.spark, "files"), new_dir(t.spark, "answers")
     document = F.to_json(F.struct(F.col("s_name").alias("title")))
-    t.supplier.select(F.col("s_suppkey"), document.alias("value")).write.partitionBy("s_suppkey").text(files)
+    write_documents(t.supplier.select(F.col("s_suppkey"), document.alias("value")), files)
     read = read_documents(t.spark, files, "*.txt")
     listed = read.select(
-        F.lit("file").alias("kind"), F.regexp_extract("path", "^s_suppkey=([^/]+)/[^/]+$", 1).alias("name"),
+        F.lit("file").alias("kind"), F.regexp_extract("path", r"^s_suppkey=([^/]+?)(?:\.txt|/[^/]+)$", 1).alias("name"),
         F.get_json_object("content", "$.title").alias("title"), F.lit(True).alias("success"),
     )
     solvent, key = F.col("c_acctbal") >= 0, F.col("c_custkey").cast("string")

@@ -9,6 +9,9 @@ from partflow.frames import empty_frame
 from partflow.sources.storage import exists, qualified
 from partflow.spec import RESPONSE_SCHEMA, flat_schema
 
+#: Beyond so many tasks a core, a task takes several of the splits that Spark makes of the files, this many at most.
+_TASKS_PER_CORE, _SPLITS_AT_ONCE = 4, 16
+
 
 def read_documents(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
     """Whole text files below ``root`` as ``path`` (relative to it) and ``content``."""
@@ -16,13 +19,16 @@ def read_documents(spark: SparkSession, root: str, pattern: str = "*.json") -> D
         return empty_frame(spark, flat_schema("path string, content string"))
     prefix = qualified(spark, root).rstrip("/") + "/"
     location = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/")
-    return (
+    found = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .text(root, wholetext=True)
         .select(location.alias("_at"), F.col("value").alias("content"))
         .select(F.expr(f"substring(_at, {len(prefix) + 1})").alias("path"), "content")
     )
+    # Spark counts megabytes for opening each file, so small ones give a task for every few of them
+    tasks, enough = found.rdd.getNumPartitions(), _TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return found.coalesce(max(enough, -(-tasks // _SPLITS_AT_ONCE))) if tasks > enough else found
 
 
 def read_responses(spark: SparkSession, root: str) -> DataFrame:

@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from partflow.catalogue import CATALOGUE
 from partflow.functions.keys import day_of_epoch_seconds
 from partflow.operators import registry
 from partflow.operators.ledger import run_summary
@@ -14,9 +15,11 @@ from partflow.plans.migrate import migrate_layout
 from partflow.plans.profile import build_profile, pending_lookups
 from partflow.plans.publish import PublishJob, Truth, publish_dataset, retry_failed
 from partflow.plans.reference_data import export_pools, export_registry
+from partflow.sinks.documents import write_documents
 from partflow.sinks.ledger_store import Ledger
 from partflow.sinks.manifests import write_file_index, write_manifest
 from partflow.sinks.partitions import publish_day_snapshot, publish_partitions, published_stats, verify_published
+from partflow.sources.documents import read_documents
 from partflow.sources.inventory import list_objects
 from partflow.sources.partitions import read_exports, read_partitions, read_snapshot
 from partflow.spec import DAILY, EPOCH, POOL_DATA_SCHEMA, PROFILE_SCHEMA, DatasetSpec, flat_schema
@@ -350,3 +353,37 @@ def test_stream_publishes_new_partitions(spark, job, truth, tmp_path):
     write_partition(job.base, "block", "date=2024-01-05", {"slot": list(range(40, 50)), "note": ["x"] * 10}, "part-0.parquet")
     publish_new_partitions(spark, job, BLOCK, truth, NOW, mark)
     assert job.ledger.uploads().where("partition_value = '2024-01-05'").count() == 1
+
+
+def test_documents_are_files_of_one_directory(spark, tmp_path):
+    root = tmp_path / "documents"
+    written = [(1, "one"), (2, "ü\u2028two"), (2, "another"), (-3, ""), (4, None), (None, "nobody's")] + [(n, f"text {n}") for n in range(10, 200)]
+    write_documents(spark.createDataFrame(written, "k long, value string").repartition(7), str(root))
+    assert not [p for p in root.iterdir() if p.is_dir() or not p.name.startswith("k=")]
+    want = {"k=1.txt": "one\n", "k=2.txt": "another\nü\u2028two\n", "k=-3.txt": "\n", "k=4.txt": "\n", "k=__HIVE_DEFAULT_PARTITION__.txt": "nobody's\n"}
+    want |= {f"k={n}.txt": f"text {n}\n" for n in range(10, 200)}
+    assert rows(read_documents(spark, str(root), "*.txt")) == sorted(want.items())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")  # as little as counts for opening one file
+    try:
+        found = read_documents(spark, str(root), "*.txt")
+        assert found.rdd.getNumPartitions() == 4 * 4
+        assert rows(found) == sorted(want.items())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_landed_documents_list_one_directory(spark, tmp_path, monkeypatch):
+    # a directory for each file has to be made, moved and listed: at 60,000 suppliers most of the time
+    tables, shared = tmp_path / "tables", tmp_path / "shared"
+    suppliers = [(n, f"Supplier {n}") for n in range(300)] + [(300, None), (7, "Supplier 7")]
+    spark.createDataFrame(suppliers, "s_suppkey long, s_name string").repartition(3).write.parquet(f"{tables}/supplier.parquet")
+    customers = [(1, "a", "X", 2.5), (2, "b", "Y", -1.0), (3, "c", "Z", None)]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_mktsegment string, c_acctbal double").write.parquet(f"{tables}/customer.parquet")
+    monkeypatch.setattr("partflow.catalogue.jobs.new_dir", lambda spark, label: f"{shared}/{label}")
+    found = rows(CATALOGUE["landed_documents"].run(spark, str(tables)))
+    files = {("file", str(n), f"Supplier {n}", True) for n in range(300)} | {("file", "300", None, True)}
+    assert {r for r in found if r[0] == "file"} == files
+    assert {r for r in found if r[0] == "response"} == {("response", "1", "a", True), ("response", "2", None, False)}
+    assert len(found) == 303
+    assert len([p for p in (shared / "files").iterdir() if p.suffix == ".txt"]) == 301
+    assert not [p for p in (shared / "files").iterdir() if p.is_dir()]
